@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from citespark.llm.mixing import mix
 from citespark.llm.pii import find_pii
 from citespark.llm.sharding import shard
+from citespark.llm.simhash import simhash_components
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=16)
 
@@ -28,6 +33,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op7_shards": op7_shards,
     "op9_pii": op9_pii,
     "op10_mix": op10_mix,

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from citespark.llm.langid import language_id
 from citespark.llm.mixing import mix
 from citespark.llm.pii import find_pii
 from citespark.llm.sharding import shard
@@ -20,6 +21,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(_table(spark, sf_dir, "documents"), per_lang=2000, max_words=30_000, max_grams=10_000)
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=16)
 
@@ -34,6 +39,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_language": op3_language,
     "op7_shards": op7_shards,
     "op9_pii": op9_pii,
     "op10_mix": op10_mix,

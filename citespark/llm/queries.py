@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citespark.llm.langid import language_id
 from citespark.llm.mixing import mix
+from citespark.llm.oracles import ORACLE_SQL  # noqa: F401
 from citespark.llm.pii import find_pii
 from citespark.llm.sharding import shard
 from citespark.llm.simhash import simhash_components
+from citespark.llm.warc import archive_round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,10 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=16)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(spark, _table(spark, sf_dir, "pages")).drop("url")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_language": op3_language,
     "op7_shards": op7_shards,
+    "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_mix": op10_mix,
 }

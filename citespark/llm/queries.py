@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from citespark.llm.ann import nearest
 from citespark.llm.decontam import find_leaks
 from citespark.llm.langid import language_id
 from citespark.llm.mixing import mix
@@ -28,6 +29,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"), per_lang=2000, max_words=30_000, max_grams=10_000)
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +56,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_language": op3_language,
+    "op4_neighbours": op4_neighbours,
     "op5_decontamination": op5_decontamination,
     "op7_shards": op7_shards,
     "op8_warc": op8_warc,

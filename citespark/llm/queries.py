@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citespark.llm.ann import nearest
 from citespark.llm.decontam import find_leaks
-from citespark.llm.langid import language_id
+from citespark.llm.katz import score_texts
+from citespark.llm.langid import held_out, language_id
 from citespark.llm.mixing import mix
 from citespark.llm.oracles import ORACLE_SQL  # noqa: F401
 from citespark.llm.pii import find_pii
@@ -25,6 +26,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"), held_out(7, 2))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"), per_lang=2000, max_words=30_000, max_grams=10_000)
 
@@ -55,6 +60,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_katz": op2_katz,
     "op3_language": op3_language,
     "op4_neighbours": op4_neighbours,
     "op5_decontamination": op5_decontamination,

@@ -38,7 +38,7 @@ def source_targets(sized: DataFrame, weights=(1, 2, 3), cap: int = 3) -> DataFra
     )
 
 
-def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, seed: str = "mix", carry: dict | None = None) -> DataFrame:
     """Words that a mix takes of each document of (doc_id, text, source).
 
     Result: doc_id, source, size, source_size, target, taken. Inside each source documents stand in
@@ -46,11 +46,13 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, seed: str = "mix") ->
     holds them, then documents in that order up to the exact budget, the last one in part. So a
     source's taken words equal its rounded target, and no document exceeds `cap` times its size.
 
+    `carry` names further columns (expressions over `docs`) to keep.
+
     Null or blank texts have size 0 and take 0. A null source is a source of its own, ranked last.
     Repeated rows count each; rows that tie in every column are interchangeable. An empty table
     gives an empty result. Other columns of `docs` are ignored.
     """
-    sized = store(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    sized = store(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *[c.alias(n) for n, c in (carry or {}).items()]))
     targets = store(source_targets(sized, weights, cap))
     budget = F.floor(F.col("target") + 0.5)
     per = targets.select(
@@ -63,4 +65,4 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, seed: str = "mix") ->
     placed = running_totals(keyed, ["rank"], ["key", "doc_id", "size"], {"size": "before"})
     rest = F.col("budget") - F.col("epochs") * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", *(carry or {}), (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))

@@ -13,6 +13,7 @@ from citespark.llm.langid import held_out, language_id
 from citespark.llm.mixing import mix
 from citespark.llm.oracles import ORACLE_SQL  # noqa: F401
 from citespark.llm.pii import find_pii
+from citespark.llm.repeats import remove_repeats
 from citespark.llm.sharding import shard
 from citespark.llm.simhash import simhash_components
 from citespark.llm.warc import archive_round_trip
@@ -42,6 +43,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"), length=200)
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=16)
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_neighbours": op4_neighbours,
     "op5_decontamination": op5_decontamination,
+    "op6_repeats": op6_repeats,
     "op7_shards": op7_shards,
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,

@@ -1,4 +1,767 @@
-"""Registered queries of the engine and their SQL."""
+"""Registered queries of the engine, by operator, and the SQL that DuckDB answers them with."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from citespark.functions import text as T
+from citespark.functions import urls as U
+from citespark.functions.analyze import STOPWORDS, lexemes_col, stem_col
+from citespark.operators import audit as M
+from citespark.operators import blocks as B
+from citespark.operators import corpus as C
+from citespark.operators import ledger as G
+from citespark.operators import search as Z
+from citespark.operators import selectors as L
+from citespark.plans import sql as S
+from citespark.plans.query import compile_query
+from citespark.sources.tables import table
+from citespark.streaming import leases
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def _docs(spark, d):
+    return table(spark, d, "documents")
+
+
+def _blocks(spark, d):
+    return B.text_blocks(_docs(spark, d))
+
+
+def _pages(spark, d):
+    return table(spark, d, "pages")
+
+
+def _index(spark, d):
+    return Z.postings(Z.vectors(_blocks(spark, d)))
+
+
+def _gate(spark, d):
+    return Z.gate(_blocks(spark, d), table(spark, d, "labels"))
+
+
+# --- sources -----------------------------------------------------------------------------------------------------------
+
+CAPTURES = "select o_custkey as url_hash, o_orderkey as capture_id, o_orderdate as finished_at, case when o_orderstatus = 'F' then 'success' else 'failed' end as status, o_totalprice as bytes from orders"
+
+
+def _captures(spark, d):
+    return table(spark, d, "orders").select(
+        F.col("o_custkey").alias("url_hash"), F.col("o_orderkey").alias("capture_id"), F.col("o_orderdate").alias("finished_at"),
+        F.when(F.col("o_orderstatus") == "F", "success").otherwise("failed").alias("status"), F.col("o_totalprice").alias("bytes"),
+    )
+
+
+@register("src08_newest_capture", f"select url_hash, capture_id, finished_at::varchar as finished_at from ({CAPTURES}) where status = 'success' qualify row_number() over (partition by url_hash order by finished_at desc, capture_id desc) = 1")
+def _(spark, d):
+    out = C.newest(_captures(spark, d).where("status = 'success'"), "url_hash", [F.desc("finished_at"), F.desc("capture_id")])
+    return out.select("url_hash", "capture_id", F.col("finished_at").cast("string").alias("finished_at"))
+
+
+@register("src10_corpus_scan", "select source, lang, count(*) as n_docs, sum(n_chars)::bigint as n_chars from documents group by all")
+def _(spark, d):
+    return _docs(spark, d).groupBy("source", "lang").agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"))
+
+
+@register("snk05_rejects", "select conv_id, turn, case when role in ('user', 'assistant', 'system') and text is not null then 'load' else 'reject' end as route from conversations")
+def _(spark, d):
+    ok = F.col("role").isin("user", "assistant", "system") & F.col("text").isNotNull()
+    return table(spark, d, "conversations").select("conv_id", "turn", F.when(ok, "load").otherwise("reject").alias("route"))
+
+
+# --- URLs --------------------------------------------------------------------------------------------------------------
+
+def _url_query(name: str, alias: str, column, sql: str):
+    @register(name, f"select page_id, {sql} as {alias} from pages")
+    def _(spark, d):
+        return _pages(spark, d).select("page_id", column(F.col("url")).alias(alias))
+
+
+_url_query("u01_canonical_url", "canonical", U.canonical_url, S.canonical_url("url"))
+_url_query("u02_archive_id", "archive_id", U.archive_id, f"sha256({S.canonical_url('url')})")
+_url_query("u03_outlet", "outlet", U.outlet_of, S.outlet("url"))
+_url_query("u04_match_url", "match_url", U.match_url, "regexp_replace(regexp_replace(trim(url), '#.*$', ''), '/+$', '')")
+_url_query("u05_host", "host", U.host_of, f"regexp_replace({S.url_parts('url')['host']}, ':[0-9]+$', '')")
+_url_query("u06_slug", "slug", lambda u: U.slugify(u), f"left(regexp_replace(regexp_replace({S.fold('url')}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 80)")
+_url_query("u09_storage_path", "path", U.storage_path, f"{S.outlet('url')} || '/' || left(sha256({S.canonical_url('url')}), 2) || '/' || sha256({S.canonical_url('url')})")
+_url_query("e21_platform", "platform", lambda u: F.coalesce(U.platform_of(u), F.lit("none")), "'none'")
+
+
+@register("u10_same_page", f"""
+with own as (select page_id, {S.canonical_url('url')} as canonical from pages),
+bare as (select page_id, canonical, regexp_replace(regexp_replace(canonical, '^[a-z]+://', ''), '^www\\.', '') as b from own),
+form as (select page_id, unnest(range(0, 4)) as pos, unnest(['https://' || b, 'https://www.' || b, 'http://' || b, 'http://www.' || b]) as form from bare)
+select f.page_id, min(o.page_id * 10 + f.pos) // 10 as any_page, min(f.pos) as best_pos from form f join own o on o.canonical = f.form group by all""")
+def _(spark, d):
+    own = _pages(spark, d).select("page_id", U.canonical_url(F.col("url")).alias("canonical"), F.col("url"))
+    forms = own.select(F.col("page_id").alias("p"), F.posexplode(U.same_page_forms(F.col("url"))).alias("pos", "canonical"))
+    hit = forms.join(own.select("page_id", "canonical"), "canonical")
+    return hit.groupBy(F.col("p").alias("page_id")).agg(F.floor(F.min(F.col("page_id") * 10 + F.col("pos")) / 10).alias("any_page"), F.min("pos").alias("best_pos"))
+
+
+@register("e17_language_section", "select page_id, lower(split_part(replace(regexp_extract(html, '<html lang=\"([^\"]*)\"', 1), '_', '-'), '-', 1)) as language, coalesce(list_filter(string_split(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '' and not regexp_matches(x, '^[0-9]'))[1], '') as section from pages")
+def _(spark, d):
+    path = F.regexp_extract("url", "^[^:/?#]+://[^/?#]*([^?#]*)", 1)
+    names = F.filter(F.split(path, "/"), lambda x: (x != "") & ~x.rlike("^[0-9]"))
+    lang = F.lower(F.split(F.replace(F.regexp_extract("html", '<html lang="([^"]*)"', 1), F.lit("_"), F.lit("-")), "-")[0])
+    return _pages(spark, d).select("page_id", lang.alias("language"), F.coalesce(F.get(names, F.lit(0)), F.lit("")).alias("section"))
+
+
+# --- text --------------------------------------------------------------------------------------------------------------
+
+@register("n01_collapse", f"select doc_id, sha256({S.collapse('text')}) as digest, length({S.collapse('text')})::int as n from documents")
+def _(spark, d):
+    t = T.collapse("text")
+    return _docs(spark, d).select("doc_id", F.sha2(t, 256).alias("digest"), F.length(t).alias("n"))
+
+
+@register("n02_html_text", f"select page_id, sha256({S.html_text('html')}) as digest from pages")
+def _(spark, d):
+    return _pages(spark, d).select("page_id", F.sha2(T.html_text("html"), 256).alias("digest"))
+
+
+@register("n03_fold", f"select doc_id, md5({S.fold('text')}) as folded, {S.fold('text')} <> lower(text) as accented from documents")
+def _(spark, d):
+    return _docs(spark, d).select("doc_id", F.md5(T.fold("text")).alias("folded"), T.has_accent("text").alias("accented"))
+
+
+@register("n04_tokens", f"select t as token, count(*) as n from (select unnest({S.tokens('text')}) as t from documents) group by all")
+def _(spark, d):
+    return _docs(spark, d).select(F.explode(T.tokens("text")).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+
+
+@register("n05_same_text", f"with {S.BLOCKS} select a.article_id, b.block_index from bl a join bl b on a.article_id = b.article_id and a.block_index = 1 and b.block_index > 1 and lower({S.collapse('a.block_text')}) = lower({S.collapse('b.block_text')})")
+def _(spark, d):
+    b = _blocks(spark, d)
+    first = b.where("block_index = 1").select("article_id", F.col("block_text").alias("first"))
+    return b.where("block_index > 1").join(first, "article_id").where(T.same_text("first", "block_text")).select("article_id", "block_index")
+
+
+@register("n06_array_to_string", "select conv_id, string_agg(role, ' ' order by turn) as roles from conversations group by all")
+def _(spark, d):
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("r"))
+    return c.select("conv_id", T.array_to_string(F.transform("r", lambda x: x["role"])).alias("roles"))
+
+
+# --- extraction --------------------------------------------------------------------------------------------------------
+
+STRIPPED = S.strip_furniture("html", B.FURNITURE_TAGS)
+PAGE_BLOCKS = f"""
+body as (select page_id, translate(regexp_extract({STRIPPED}, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1), chr(1) || chr(2) || chr(3), '') as body from pages),
+marked as (
+  select page_id, regexp_replace(regexp_replace(body, '(?i)<(p|h[1-6]|blockquote|ul)(?:\\s[^>]*)?>', chr(1) || '\\1' || chr(3), 'g'), '(?i)</(?:p|h[1-6]|blockquote|ul)\\s*>', chr(2), 'g') as m from body
+),
+piece as (select page_id, list_filter(list_transform(string_split(m, chr(1))[2:], lambda x: {{'tag': lower(split_part(x, chr(3), 1)), 'text': {S.html_text("split_part(split_part(x, chr(3), 2), chr(2), 1)")}}}), lambda x: x.text <> '') as l from marked),
+pb0 as (select page_id, unnest(range(1, len(l) + 1))::int as block_index, unnest(l) as b from piece),
+pb1 as (
+  select page_id, block_index, b.text as block_text, regexp_matches(b.tag, '^h[1-6]$') as heading,
+         case when regexp_matches(b.tag, '^h[1-6]$') then 'h' || greatest(substring(b.tag, 2, 1)::int, 2) else b.tag end as name from pb0
+),
+pb as (
+  select page_id, block_index, case when heading then 'heading' when name = 'blockquote' then 'quote' when name = 'ul' then 'list' else 'paragraph' end as block_type,
+         case when heading then substring(name, 2, 1)::int end as heading_level, block_text,
+         '/html/body/article/div/' || name || case when count(*) over (partition by page_id, name) > 1 then '[' || row_number() over (partition by page_id, name order by block_index) || ']' else '' end as xpath
+  from pb1
+)"""
+
+
+@register("e01_furniture", f"select page_id, length({STRIPPED})::int as n, md5({STRIPPED}) as digest from pages")
+def _(spark, d):
+    s = B.strip_furniture(F.col("html"))
+    return _pages(spark, d).select("page_id", F.length(s).alias("n"), F.md5(s).alias("digest"))
+
+
+@register("e07_page_blocks", f"with {PAGE_BLOCKS} select * from pb")
+def _(spark, d):
+    return B.page_blocks(_pages(spark, d))
+
+
+@register("e08_link_strips", r"""with ul as (select page_id, unnest(regexp_extract_all(html, '(?is)<ul>(.*?)</ul>', 1)) as x from pages),
+m as (select page_id, len(regexp_extract_all(x, '<a ')) as anchors, length(array_to_string(regexp_extract_all(x, '(?s)<a [^>]*>(.*?)</a>', 1), '')) as linked, length(regexp_replace(x, '<[^>]*>', '', 'g')) as total, regexp_replace(x, '<[^>]*>', '', 'g') as t from ul)
+select page_id, anchors::int as anchors, (anchors >= 2 and linked >= 0.8 * total and not regexp_matches(t, '[.!?…]')) as strip from m""")
+def _(spark, d):
+    u = _pages(spark, d).select("page_id", F.explode(F.regexp_extract_all("html", F.lit("(?is)<ul>(.*?)</ul>"), F.lit(1))).alias("x"))
+    plain = F.regexp_replace("x", "<[^>]*>", "")
+    anchors = F.size(F.regexp_extract_all("x", F.lit("(<a )"), F.lit(1)))
+    linked = F.length(F.array_join(F.regexp_extract_all("x", F.lit("(?s)<a [^>]*>(.*?)</a>"), F.lit(1)), ""))
+    return u.select("page_id", anchors.alias("anchors"), B.link_strip(anchors, linked, F.length(plain), plain).alias("strip"))
+
+
+@register("e09_boilerplate_lines", f"with {S.BLOCKS} select article_id, block_index from bl where {S.is_boilerplate('block_text')}")
+def _(spark, d):
+    return _blocks(spark, d).where(T.is_boilerplate("block_text")).select("article_id", "block_index")
+
+
+@register("e10_clean_lines", f"""with {S.BLOCKS}, f as (select article_id, length(block_text) as n, {S.is_boilerplate('block_text')} as flag from bl)
+select article_id, count(*) filter (where flag) as boilerplate_lines, count(*) filter (where not flag) as clean_lines, coalesce(sum(n) filter (where not flag), 0)::bigint as clean_chars,
+round(greatest(0.0, least(1.0, coalesce(sum(n) filter (where flag), 0) / sum(n))), 6) as boilerplate_ratio from f group by all""")
+def _(spark, d):
+    return B.clean_lines(_blocks(spark, d))
+
+
+META_SQL = "coalesce(nullif(trim(regexp_extract(html, '<meta property=\"og:title\" content=\"([^\"]*)\"', 1)), ''), nullif({title}, ''), nullif(url, ''))"
+
+
+@register("e13_title_chain", "select page_id, " + META_SQL.format(title=S.html_text("regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1)")) + " as title from pages")
+def _(spark, d):
+    first = lambda *xs: F.coalesce(*[F.nullif(F.trim(x), F.lit("")) for x in xs])
+    og = F.regexp_extract("html", '<meta property="og:title" content="([^"]*)"', 1)
+    return _pages(spark, d).select("page_id", first(og, B.page_title(F.col("html")), F.col("url")).alias("title"))
+
+
+@register("e26_verdict", f"""with {PAGE_BLOCKS}, n as (select page_id, count(*) as prose from pb where block_type <> 'heading' group by all),
+j as (select p.page_id, coalesce(n.prose, 0) as prose, {S.html_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} as title, regexp_matches(html, '<p><b>') as warn from pages p left join n using (page_id))
+select page_id, case when prose = 0 then 'invalid' else 'partial_valid' end as quality,
+case when prose = 0 then 'no_content_blocks' else array_to_string(list_filter([case when title = '' then 'no_title' end, 'no_published_at', case when warn then 'extraction_warnings' end], lambda x: x is not null), ',') end as reasons from j""")
+def _(spark, d):
+    pages = _pages(spark, d)
+    prose = B.page_blocks(pages).where("block_type <> 'heading'").groupBy("page_id").agg(F.count("*").alias("prose"))
+    j = pages.join(prose, "page_id", "left")
+    quality, reasons = B.verdict(F.coalesce("prose", F.lit(0)), B.page_title(F.col("html")), F.lit(None), F.col("html").contains("<p><b>").cast("int"))
+    return j.select("page_id", quality.alias("quality"), F.array_join(reasons, ",").alias("reasons"))
+
+
+@register("e27_counts", f"with {PAGE_BLOCKS} select page_id, count(*) as n_blocks, sum(len(string_split(block_text, ' ')))::bigint as n_words, sum(length(block_text))::bigint as n_chars_total from pb group by all")
+def _(spark, d):
+    return B.counts(B.page_blocks(_pages(spark, d)), "page_id")
+
+
+# --- selectors ---------------------------------------------------------------------------------------------------------
+
+NEEDLES = f"needle as (select item_id, {S.collapse('split_part(text, chr(10), 1)')} as needle from benchmark where length({S.collapse('split_part(text, chr(10), 1)')}) >= 20)"
+QUOTES = f"""{S.BLOCKS}, {NEEDLES},
+qt as (
+  select article_id, block_index, item_id, strpos(block_text, needle)::int - 1 as "start", strpos(block_text, needle)::int - 1 + length(needle)::int as "end", needle as exact,
+         nullif(substring(block_text, greatest(strpos(block_text, needle) - 32, 1), least(strpos(block_text, needle) - 1, 32)), '') as prefix,
+         nullif(substring(block_text, strpos(block_text, needle) + length(needle), 32), '') as suffix, block_text
+  from bl join needle on contains(block_text, needle)
+)"""
+
+
+def _quotes(spark, d):
+    n = table(spark, d, "benchmark").select("item_id", T.collapse(F.split_part(F.col("text"), F.lit("\n"), F.lit(1))).alias("needle")).where("length(needle) >= 20")
+    return L.locate_quotes(_blocks(spark, d), n).dropDuplicates(["article_id", "block_index", "item_id"])
+
+
+@register("l02_find_quotes", f"with {QUOTES} select article_id, block_index, item_id, \"start\", \"end\", exact, prefix, suffix from qt")
+def _(spark, d):
+    return _quotes(spark, d).drop("block_text")
+
+
+@register("l02_second_occurrence", f"with {S.BLOCKS} select article_id, block_index, strpos(substring(block_text, strpos(block_text, 'the') + 1), 'the')::int + strpos(block_text, 'the')::int - 1 as start from bl where contains(block_text, 'the') and strpos(substring(block_text, strpos(block_text, 'the') + 1), 'the') > 0")
+def _(spark, d):
+    s = L.find_selector(F.col("block_text"), F.lit("the"), 2)
+    return _blocks(spark, d).select("article_id", "block_index", s.alias("s")).where("s is not null").select("article_id", "block_index", F.col("s.start").alias("start"))
+
+
+TAMPER = """select article_id, block_index, item_id, case item_id % 4 when 1 then "start" + 1 when 2 then "start" + 100000 else "start" end as s, case item_id % 4 when 1 then "end" + 1 when 2 then "end" + 100000 else "end" end as e, exact, case when item_id % 4 = 3 then null else block_text end as t, prefix, suffix, block_text from qt"""
+VERIFY = "case when t is null then 'xpath_unresolved' when s < 0 or e > length(t) or s >= e then 'range_out_of_bounds' when substring(t, s + 1, e - s) <> exact then 'quote_mismatch' else 'ok' end"
+
+
+def _tampered(spark, d):
+    q, k = _quotes(spark, d), F.col("item_id") % 4
+    off = F.when(k == 1, 1).when(k == 2, 100_000).otherwise(0)
+    return q.select("article_id", "block_index", "item_id", (F.col("start") + off).alias("s"), (F.col("end") + off).alias("e"), "exact", F.when(k != 3, F.col("block_text")).alias("t"), "prefix", "suffix", "block_text")
+
+
+@register("l03_verify", f"with {QUOTES}, tp as ({TAMPER}) select article_id, block_index, item_id, {VERIFY} as status from tp")
+def _(spark, d):
+    return _tampered(spark, d).select("article_id", "block_index", "item_id", L.verify(F.col("t"), F.col("s"), F.col("e"), F.col("exact")).alias("status"))
+
+
+@register("l04_slices", f"with {QUOTES} select count(*) as n, count(*) filter (where substring(block_text, \"start\" + 1, \"end\" - \"start\") = exact) as n_equal from qt")
+def _(spark, d):
+    q = _quotes(spark, d)
+    return q.agg(F.count("*").alias("n"), F.count_if(L.cut(F.col("block_text"), F.col("start"), F.col("end")) == F.col("exact")).alias("n_equal"))
+
+
+@register("l05_passage", f"with {S.BLOCKS}, {NEEDLES} select item_id, count(*) as n_blocks from needle join bl on contains(block_text, needle) group by all")
+def _(spark, d):
+    return _quotes(spark, d).groupBy("item_id").agg(F.count("*").alias("n_blocks"))
+
+
+@register("l07_repair", f"""with {QUOTES}, tp as ({TAMPER}), v as (select *, {VERIFY} as status, coalesce(prefix, '') || exact || coalesce(suffix, '') as around from tp)
+select article_id, block_index, item_id, case when status = 'ok' then 'ok' when (length(block_text) - length(replace(block_text, around, ''))) // length(around) = 1 then 'repaired' else 'quote_not_found' end as resolution from v""")
+def _(spark, d):
+    t = _tampered(spark, d)
+    status = L.verify(F.col("t"), F.col("s"), F.col("e"), F.col("exact"))
+    return t.select("article_id", "block_index", "item_id", L.repair(F.col("block_text"), F.col("exact"), F.col("prefix"), F.col("suffix"), status).alias("resolution"))
+
+
+@register("l08_selector_json", f"""with {QUOTES} select article_id, block_index, item_id, json_array_length('["' || 'x' || '"]')::int as one, '/html/body/article/div/p[' || block_index || ']' as xpath, "start", "end" from qt""")
+def _(spark, d):
+    q = _quotes(spark, d).withColumn("xpath", F.concat(F.lit("/html/body/article/div/p["), F.col("block_index").cast("string"), F.lit("]")))
+    j = q.withColumn("j", L.to_json(F.col("start"), F.col("end"), F.col("exact"), F.col("prefix"), F.col("suffix"), F.col("xpath")))
+    get = lambda p: F.get_json_object("j", p)
+    return j.select("article_id", "block_index", "item_id", F.lit(1).alias("one"), get("$.value").alias("xpath"), get("$.refinedBy.start").cast("int").alias("start"), get("$.refinedBy.end").cast("int").alias("end"))
+
+
+@register("l09_citation_audit", f"with {QUOTES}, tp as ({TAMPER}), v as (select {VERIFY} as status from tp) select status, count(*) as n from v group by all")
+def _(spark, d):
+    return _tampered(spark, d).groupBy(L.verify(F.col("t"), F.col("s"), F.col("e"), F.col("exact")).alias("status")).agg(F.count("*").alias("n"))
+
+
+# --- lexical analysis --------------------------------------------------------------------------------------------------
+
+@register("q01_analyzers", f"select distinct t as token, {S.fold('t')} as surface, {S.fold(S.stem('t'))} as lemma, {S.stem('t')} as accented_lemma, list_contains({S.STOPS}, {S.fold('t')}) as stopword from (select unnest({S.tokens('text')}) as t from documents)")
+def _(spark, d):
+    t = _docs(spark, d).select(F.explode(T.tokens("text")).alias("token")).distinct()
+    return t.select("token", T.fold("token").alias("surface"), T.fold(stem_col(F.col("token"))).alias("lemma"), stem_col(F.col("token")).alias("accented_lemma"), T.fold("token").isin(*STOPWORDS).alias("stopword"))
+
+
+@register("q02_postings", f"with {S.POSTINGS} select * from post")
+def _(spark, d):
+    return _index(spark, d)
+
+
+@register("q04_short_lemma_guard", f"""with t as (select distinct unnest({S.tokens('text')}) as t from documents), x as (select t, {S.fold(S.stem('t'))} as l, {S.fold('t')} as s from t)
+select t as token, case when length(l) > 2 or l = s then l else '' end as lemma from x""")
+def _(spark, d):
+    t = _docs(spark, d).select(F.explode(T.tokens("text")).alias("token")).distinct()
+    lemma, surface = T.fold(stem_col(F.col("token"))), T.fold("token")
+    return t.select("token", F.when((F.length(lemma) > 2) | (lemma == surface), lemma).otherwise("").alias("lemma"))
+
+
+def _match_query(name: str, query: str):
+    @register(name, f"with {S.POSTINGS}, {S.hits(query)} select article_id from cand")
+    def _(spark, d):
+        plan = compile_query(query)
+        return Z.candidates(Z.term_hits(_index(spark, d), plan), len(plan.terms))
+
+
+_match_query("q05_prefix_term", "thintion")
+_match_query("q06_accented_term", "für")
+_match_query("q06_folded_term", "fur")
+_match_query("q09_hyphen_terms", "thanedble-thintion with")
+_match_query("q10_all_terms", "with from")
+
+
+@register("n04_compounds", f"with {S.BLOCKS} select article_id, block_index, unnest(regexp_extract_all(lower(block_text), '{T.COMPOUND}')) as compound from bl")
+def _(spark, d):
+    return _blocks(spark, d).select("article_id", "block_index", F.explode(T.compounds("block_text")).alias("compound"))
+
+
+def _phrase_query(name: str, needle: str):
+    @register(name, f"with {S.BLOCKS} select article_id, block_index from bl where {S.phrase_match('block_text', needle)}")
+    def _(spark, d):
+        return _blocks(spark, d).where(Z.phrase_match(F.col("block_text"), needle)).select("article_id", "block_index")
+
+
+_phrase_query("q14_phrase", "with this")
+_phrase_query("q14_phrase_gap", "with the this")
+_phrase_query("q14_phrase_accent", "über für")
+_phrase_query("q14_phrase_one", "fur")
+
+
+# --- filters, joins, sets ----------------------------------------------------------------------------------------------
+
+ARTICLES = "art as (select doc_id as article_id, source as outlet, lang as section, timestamp '2024-01-01' + to_days((doc_id % 60)::int) + to_hours((doc_id % 24)::int) as published_at, [lang, source] as tags, ['author' || doc_id % 7] as authors from documents)"
+
+
+def _articles(spark, d):
+    at = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(doc_id % 60 as int), cast(doc_id % 24 as int))").cast("timestamp")
+    return _docs(spark, d).select(F.col("doc_id").alias("article_id"), F.col("source").alias("outlet"), F.col("lang").alias("section"), at.alias("published_at"), F.array("lang", "source").alias("tags"), F.array(F.concat(F.lit("author"), (F.col("doc_id") % 7).cast("string"))).alias("authors"))
+
+
+def _filter_query(name: str, where: str, **options):
+    @register(name, f"with {ARTICLES} select article_id from art where {where}")
+    def _(spark, d):
+        return C.filter_rows(_articles(spark, d), **options).select("article_id")
+
+
+_filter_query("f01_tag", "list_contains(tags, 'src3')", tag="src3")
+_filter_query("f01_author", "list_contains(authors, 'author2')", author="author2")
+_filter_query("f02_outlet_section", "outlet = 'src1' and section = 'en'", outlet="src1", section="en")
+_filter_query("f03_date_range", "published_at >= timestamp '2024-01-05' and published_at < timestamp '2024-01-21'", date_from="2024-01-05", date_to="2024-01-20")
+_filter_query("f04_no_filter", "true")
+
+
+@register("f05_gate", f"with {S.BLOCKS}, {S.GATE} select * from gate")
+def _(spark, d):
+    return _gate(spark, d)
+
+
+READINGS = "reading as (select o_custkey as url_hash, o_orderkey as version, o_orderdate as ingested_at, case o_orderstatus when 'F' then 'success' when 'O' then 'partial' else 'failed' end as status from orders)"
+
+
+def _readings(spark, d):
+    status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "partial").otherwise("failed")
+    return table(spark, d, "orders").select(F.col("o_custkey").alias("url_hash"), F.col("o_orderkey").alias("version"), F.col("o_orderdate").alias("ingested_at"), status.alias("status"))
+
+
+CURRENT = f"{READINGS}, cur as (select *, status <> 'failed' and row_number() over (partition by url_hash order by status <> 'failed' desc, ingested_at desc, version desc) = 1 as is_current from reading)"
+
+
+@register("f06_current_only", f"with {CURRENT} select url_hash, version from cur where is_current")
+def _(spark, d):
+    return C.current_readings(_readings(spark, d)).where("is_current").select("url_hash", "version")
+
+
+@register("v01_snapshot", f"with {CURRENT} select url_hash, version, status, is_current from cur")
+def _(spark, d):
+    r = _readings(spark, d)
+    old, new = C.current_readings(r.where("version % 3 <> 0")), r.where("version % 3 = 0")
+    return C.merge_readings(old, new).select("url_hash", "version", "status", "is_current")
+
+
+@register("f09_strata", "select doc_id, case when n_chars < 200 then 'thin' when n_chars > 20000 then 'giant' when source = 'src3' then 'hunt' when lang = 'en' then 'nominal' else 'unaudited' end as stratum from documents")
+def _(spark, d):
+    s = F.when(F.col("n_chars") < 200, "thin").when(F.col("n_chars") > 20_000, "giant").when(F.col("source") == "src3", "hunt").when(F.col("lang") == "en", "nominal").otherwise("unaudited")
+    return _docs(spark, d).select("doc_id", s.alias("stratum"))
+
+
+@register("j03_semi_join", f"with {S.BLOCKS} select doc_id, quality from labels where exists (select 1 from bl where article_id = doc_id and {S.phrase_match('block_text', 'with')})")
+def _(spark, d):
+    hit = _blocks(spark, d).where(Z.phrase_match(F.col("block_text"), "with")).select(F.col("article_id").alias("doc_id"))
+    return table(spark, d, "labels").select("doc_id", "quality").join(hit, "doc_id", "left_semi")
+
+
+@register("j05_anti_join", "select doc_id from documents where doc_id not in (select doc_id from labels)")
+def _(spark, d):
+    return _docs(spark, d).select("doc_id").join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
+
+
+@register("j06_left_join", "select d.doc_id, d.n_chars, coalesce(l.quality, -1) as quality from documents d left join labels l using (doc_id)")
+def _(spark, d):
+    return _docs(spark, d).select("doc_id", "n_chars").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left").select("doc_id", "n_chars", F.coalesce("quality", F.lit(-1)).alias("quality"))
+
+
+@register("j08_inbound_links", """with l as (select page_id, unnest(regexp_extract_all(html, '<a href="/([^"]*)"', 1)) as target from pages), c as (select target, count(distinct page_id) as inbound from l group by all)
+select target, inbound from c""")
+def _(spark, d):
+    a = _pages(spark, d).select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a href="/([^"]*)"'), F.lit(1))).alias("target"))
+    return a.groupBy("target").agg(F.count_distinct("page_id").alias("inbound"))
+
+
+@register("j09_scalar_subquery", "select c_custkey, (select max(o_totalprice) from orders where o_custkey = c_custkey) as top_price from customer")
+def _(spark, d):
+    top = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("top_price"))
+    return table(spark, d, "customer").select("c_custkey").join(top, "c_custkey", "left")
+
+
+@register("t01_union_hits", f"with {S.POSTINGS} select distinct article_id from (select article_id from post where lexeme = 'with' and vec_kind = 'm' union select article_id from post where lexeme = 'this')")
+def _(spark, d):
+    i = _index(spark, d)
+    return i.where("lexeme = 'with' and vec_kind = 'm'").select("article_id").union(i.where("lexeme = 'this'").select("article_id")).distinct()
+
+
+@register("t02_union_all_typed_nulls", "select doc_id as id, lang, null::bigint as turn from documents union all select conv_id, null, turn from conversations")
+def _(spark, d):
+    a = _docs(spark, d).select(F.col("doc_id").alias("id"), "lang")
+    return a.unionByName(table(spark, d, "conversations").select(F.col("conv_id").alias("id"), "turn"), allowMissingColumns=True)
+
+
+@register("t03_intersect_except", f"with {S.POSTINGS}, a as (select article_id from post where lexeme = 'with'), b as (select article_id from post where lexeme = 'from') select 'both' as part, article_id from (select * from a intersect select * from b) union all select 'first only', article_id from (select * from a except select * from b)")
+def _(spark, d):
+    i = _index(spark, d)
+    a, b = i.where("lexeme = 'with'").select("article_id"), i.where("lexeme = 'from'").select("article_id")
+    return a.intersect(b).select(F.lit("both").alias("part"), "article_id").union(a.subtract(b).select(F.lit("first only"), "article_id"))
+
+
+@register("t04_array_containment", f"with {ARTICLES} select article_id, array_to_string(list_concat(tags, authors), ',') as labels from art where list_has_all(tags, ['en'])")
+def _(spark, d):
+    a = _articles(spark, d).where(F.size(F.array_except(F.array(F.lit("en")), "tags")) == 0)
+    return a.select("article_id", F.array_join(F.concat("tags", "authors"), ",").alias("labels"))
+
+
+# --- aggregates, windows, order ----------------------------------------------------------------------------------------
+
+@register("a01_document_and", f"with {S.POSTINGS}, {S.hits('with this from')} select article_id, count(*) as vectors from th where article_id in (select article_id from cand) group by all")
+def _(spark, d):
+    plan = compile_query("with this from")
+    h = Z.term_hits(_index(spark, d), plan)
+    return h.join(Z.candidates(h, 3), "article_id", "left_semi").groupBy("article_id").agg(F.count("*").alias("vectors"))
+
+
+@register("a02_ranks", f"with {S.POSTINGS}, {S.hits('with thintion')}, {S.ranked('with thintion')} select * from ranked")
+def _(spark, d):
+    plan = compile_query("with thintion")
+    return Z.ranks(Z.term_hits(_index(spark, d), plan), plan).select("article_id", "term_rank", "accent_rank", "meta_rank", "body_rank", "score", "match_reason")
+
+
+@register("a05_conditional_counts", "select event_type, count(*) as n, count(*) filter (where value > 50) as n_large, count(*) filter (where user_id % 2 = 0) as n_even, max(value) as top from events group by all")
+def _(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("n_large"), F.count_if(F.col("user_id") % 2 == 0).alias("n_even"), F.max("value").alias("top"))
+
+
+@register("a07_ordered_lists", "select source, string_agg(distinct lang, ',' order by lang) as langs, count(distinct lang) as n from documents group by all")
+def _(spark, d):
+    return _docs(spark, d).groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"), F.count_distinct("lang").alias("n"))
+
+
+@register("a08_prose_blocks", f"with {S.BLOCKS} select article_id, count(*) as blocks, count(*) filter (where length(block_text) >= 80) as prose from bl group by all")
+def _(spark, d):
+    return _blocks(spark, d).groupBy("article_id").agg(F.count("*").alias("blocks"), F.count_if(F.length("block_text") >= 80).alias("prose"))
+
+
+@register("a09_recurring_lines", f"with {S.BLOCKS} select source, md5(block_text) as line, count(distinct article_id) as articles, min(block_text) as sample from bl group by all having count(distinct article_id) >= 2")
+def _(spark, d):
+    return M.recurring(_blocks(spark, d), "source", 2)
+
+
+@register("a10_nearest_rank", """with p as (select source, n_chars, row_number() over (partition by source order by n_chars) - 1 as i, count(*) over (partition by source) as n from documents)
+select source, max(n_chars) filter (where i = round_even(0.5 * (n - 1), 0)) as p50, max(n_chars) filter (where i = round_even(0.9 * (n - 1), 0)) as p90 from p group by all""")
+def _(spark, d):
+    return C.nearest_rank(_docs(spark, d), "source", "n_chars", (0.5, 0.9))
+
+
+@register("a11_document_frequency", f"with {S.POSTINGS} select lexeme, count(distinct article_id) as ndoc, sum(tf)::bigint as nentry from post group by all")
+def _(spark, d):
+    return _index(spark, d).groupBy("lexeme").agg(F.count_distinct("article_id").alias("ndoc"), F.sum("tf").alias("nentry"))
+
+
+@register("a12_summaries", "select lang, round(avg(n_chars), 6) as mean, median(n_chars)::double as median, max(n_chars) as most from documents group by all")
+def _(spark, d):
+    return _docs(spark, d).groupBy("lang").agg(F.round(F.avg("n_chars"), 6).alias("mean"), F.median("n_chars").alias("median"), F.max("n_chars").alias("most"))
+
+
+@register("a13_facets", "select date_trunc('month', o_orderdate)::date::varchar as month, o_orderpriority as kind, count(*) as n from orders group by all")
+def _(spark, d):
+    return table(spark, d, "orders").groupBy(F.date_trunc("month", "o_orderdate").cast("date").cast("string").alias("month"), F.col("o_orderpriority").alias("kind")).agg(F.count("*").alias("n"))
+
+
+@register("w01_total_with_page", "select doc_id, n_chars, (select count(*) from documents where lang = 'en') as total from documents where lang = 'en' order by n_chars desc, doc_id limit 20")
+def _(spark, d):
+    en = _docs(spark, d).where("lang = 'en'").select("doc_id", "n_chars")
+    return en.orderBy(F.desc("n_chars"), "doc_id").limit(20).crossJoin(F.broadcast(en.agg(F.count("*").alias("total"))))  # one row
+
+
+@register("w02_stratified_sample", "select doc_id, source, rn from (select doc_id, source, row_number() over (partition by source order by md5(doc_id::varchar || 'seed')) as rn from documents) where rn <= case source when 'src0' then 8 else 5 end")
+def _(spark, d):
+    return C.stratified_sample(_docs(spark, d), "source", "doc_id", "seed", 5, {"src0": 8}).select("doc_id", "source", "rn")
+
+
+@register("w03_ordinality", f"select conv_id, turn, unnest(range(0, len(string_split(text, ' ')))) as pos, unnest(string_split(text, ' ')) as word from conversations where turn = 0")
+def _(spark, d):
+    return table(spark, d, "conversations").where("turn = 0").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+
+
+@register("o01_total_order", f"with {ARTICLES} select article_id, row_number() over (order by article_id % 5 desc, published_at desc nulls last, article_id) as place from art qualify place <= 50")
+def _(spark, d):
+    a = _articles(spark, d).withColumn("score", F.col("article_id") % 5)
+    order = [F.desc("score"), F.desc_nulls_last("published_at"), F.asc("article_id")]
+    page = a.orderBy(*order).limit(50)
+    return page.select("article_id", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)).alias("place"))  # of 50 rows
+
+
+@register("o02_paging", "select doc_id, n_chars from documents order by n_chars desc, doc_id limit 15 offset 30")
+def _(spark, d):
+    return _docs(spark, d).select("doc_id", "n_chars").orderBy(F.desc("n_chars"), "doc_id").offset(30).limit(15)
+
+
+@register("o03_top_per_group", "select source, doc_id, n_chars from documents qualify row_number() over (partition by source order by n_chars desc, doc_id) <= 3")
+def _(spark, d):
+    w = Window.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id")
+    return _docs(spark, d).withColumn("rn", F.row_number().over(w)).where("rn <= 3").select("source", "doc_id", "n_chars")
+
+
+# --- search entry points -----------------------------------------------------------------------------------------------
+
+def _search_query(name: str, query: str, where=None, where_sql: str = "true", **options):
+    @register(name, S.search(query, where=where_sql, **{k: v for k, v in options.items() if k != "blocks_per_article"}, k=options.get("blocks_per_article", 1)))
+    def _(spark, d):
+        return Z.search_articles(_index(spark, d), _blocks(spark, d), _gate(spark, d), query, where=where, **options)
+
+
+_search_query("z01_search_two_words", "thanedble with", blocks_per_article=2)
+_search_query("z01_search_one_word", "thintion")
+_search_query("z01_search_accented", "für")
+_search_query("z01_search_filtered", "with from", where=(F.col("source") == "src1") & (F.col("lang") == "en"), where_sql="source = 'src1' and lang = 'en'")
+_search_query("z01_search_phrase", "with this", phrase="with this", limit=20)
+_search_query("z01_search_page_two", "with from this", limit=5, offset=5)
+
+
+@register("z02_matching_ids", f"with {S.POSTINGS}, {S.GATE}, {S.hits('with from')} select article_id from cand where article_id in (select article_id from gate)")
+def _(spark, d):
+    return Z.matching_ids(_index(spark, d), "with from", _gate(spark, d))
+
+
+@register("z03_search_blocks", f"with {S.POSTINGS}, {S.GATE}, {S.hits('with this')}, bs as (select article_id, vec_id as block_index, sum(rank)::bigint as rank from th where vec_kind = 'b' and article_id in (select article_id from gate) group by all having count(*) = 2) select bs.article_id, bs.block_index, rank, block_text from bs join bl using (article_id, block_index)")
+def _(spark, d):
+    return Z.search_blocks(_index(spark, d), _blocks(spark, d), _gate(spark, d), "with this")
+
+
+@register("z04_by_tag_and_author", f"with {S.BLOCKS}, {S.GATE}, {ARTICLES} select article_id from art where article_id in (select article_id from gate) and (list_contains(tags, 'fr') or list_contains(authors, 'author3'))")
+def _(spark, d):
+    a, g = _articles(spark, d), _gate(spark, d).select("article_id")
+    both = C.filter_rows(a, tag="fr").select("article_id").union(C.filter_rows(a, author="author3").select("article_id")).distinct()
+    return both.join(g, "article_id", "left_semi")
+
+
+@register("z05_passages_per_term", f"""with {S.POSTINGS}, {S.hits('with this from')}, f as (select article_id, vec_id, ord, rank from th where vec_kind = 'b' qualify row_number() over (partition by article_id, ord order by rank desc, vec_id) = 1)
+select article_id, vec_id, min(ord) as ord, max(rank) as rank from f group by all""")
+def _(spark, d):
+    return Z.best_blocks_per_term(Z.term_hits(_index(spark, d), compile_query("with this from")))
+
+
+@register("z06_headline")
+def _(spark, d):
+    rows = Z.search_blocks(_index(spark, d), _blocks(spark, d), _gate(spark, d), "with this")
+    return rows.select("article_id", "block_index", Z.headline(F.col("block_text"), "with this").alias("headline"))
+
+
+@register("z07_cited_hits", f"""with {S.POSTINGS}, {S.GATE}, {S.hits('thintion')}, bs as (select article_id, vec_id as block_index from th where vec_kind = 'b' and article_id in (select article_id from gate))
+select article_id, block_index, (strpos(lower(block_text), 'thintion') - 1)::int as "start", (strpos(lower(block_text), 'thintion') + 7)::int as "end", substring(block_text, strpos(lower(block_text), 'thintion')::int, 8) as exact from bs join bl using (article_id, block_index)""")
+def _(spark, d):
+    return Z.cite(Z.search_blocks(_index(spark, d), _blocks(spark, d), _gate(spark, d), "thintion"), "thintion")
+
+
+@register("z08_by_date", f"with {ARTICLES} select article_id, published_at::varchar as published_at from art order by published_at desc nulls last, article_id limit 30")
+def _(spark, d):
+    return _articles(spark, d).select("article_id", "published_at").orderBy(F.desc_nulls_last("published_at"), "article_id").limit(30).select("article_id", F.col("published_at").cast("string").alias("published_at"))
+
+
+@register("z09_article_blocks", f"with {S.BLOCKS} select article_id, block_index, block_text from bl where article_id in (0, 7, 42)")
+def _(spark, d):
+    return _blocks(spark, d).where(F.col("article_id").isin(0, 7, 42)).select("article_id", "block_index", "block_text")
+
+
+# --- ledger ------------------------------------------------------------------------------------------------------------
+
+KINDS = "case event_type when 'signup' then 'seed' when 'view' then 'heartbeat' when 'click' then 'claim' when 'purchase' then 'finish' else 'fail' end"
+TASKS = f"""ev as (select user_id as task, event_id as seq, ts, {KINDS} as kind, 'w' || event_id % 4 as worker from events),
+task as (
+  select task, arg_max(kind, (ts, seq)) filter (where kind <> 'heartbeat') as last, count(*) filter (where kind = 'claim') as attempts, max(ts) filter (where kind in ('claim', 'heartbeat')) as seen_at,
+         arg_max(worker, (ts, seq)) filter (where kind = 'claim') as worker from ev group by all
+),
+st as (select *, case when last = 'claim' then 'processing' when last = 'finish' then 'done' when last = 'fail' and attempts >= 3 then 'quarantined' when last = 'fail' then 'failed' else 'pending' end as state from task)"""
+
+
+def _events(spark, d):
+    t = F.col("event_type")
+    kind = F.when(t == "signup", "seed").when(t == "view", "heartbeat").when(t == "click", "claim").when(t == "purchase", "finish").otherwise("fail")
+    return table(spark, d, "events").select(F.col("user_id").alias("task"), F.col("event_id").alias("seq"), "ts", kind.alias("kind"), F.concat(F.lit("w"), (F.col("event_id") % 4).cast("string")).alias("worker"))
+
+
+@register("g01_seed", f"with cap as ({CAPTURES}), n as (select * from cap where status = 'success' and bytes <= 200000 qualify row_number() over (partition by url_hash order by finished_at desc, capture_id desc) = 1) select url_hash, capture_id from n where url_hash not in (select c_custkey from customer where c_custkey % 3 = 0)")
+def _(spark, d):
+    caps = _captures(spark, d).withColumn("http_status", F.lit("200"))
+    done = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("url_hash"))
+    return C.seed_tasks(caps, done, 200_000).select("url_hash", "capture_id")
+
+
+@register("g02_claims", f"with {TASKS}, r as (select task from st where state in ('pending', 'failed') and attempts < 3) select count(*) as n_ready from r")
+def _(spark, d):
+    return G.claim_batches(G.fold_events(_events(spark, d)), 8, 8).agg(F.count("*").alias("n_ready"))
+
+
+@register("g03_heartbeats", f"with {TASKS} select task, worker, max(ts)::varchar as seen_at from ev where kind = 'heartbeat' group by all")
+def _(spark, d):
+    return _events(spark, d).where("kind = 'heartbeat'").groupBy("task", "worker").agg(F.max("ts").cast("string").alias("seen_at"))
+
+
+@register("g04_stale", f"with {TASKS} select task, case when attempts >= 3 then 'quarantined' else 'pending' end as next_state from st where state = 'processing' and seen_at < timestamp '2024-01-28 00:00:00' - interval 900 seconds")
+def _(spark, d):
+    return G.stale(G.fold_events(_events(spark, d)), F.expr("timestamp_ntz'2024-01-28 00:00:00'")).select("task", "next_state")
+
+
+@register("g05_states", f"with {TASKS} select task, last, attempts, worker, state from st")
+def _(spark, d):
+    return G.fold_events(_events(spark, d)).select("task", "last", "attempts", "worker", "state")
+
+
+@register("g06_summary", f"with {TASKS} select count(*) as total, {', '.join(f'count(*) filter (where state = {S.quoted(s)}) as {s}' for s in ('pending', 'processing', 'done', 'ingested', 'failed', 'quarantined'))}, max(attempts) as max_attempts from st")
+def _(spark, d):
+    return G.summary(G.fold_events(_events(spark, d)))
+
+
+@register("g08_lease_sessions", """with g as (select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) < interval 900 seconds then 0 else 1 end as fresh from events),
+s as (select *, sum(fresh) over (partition by user_id order by ts, event_id) as k from g)
+select user_id, min(ts)::varchar as session_start, (max(ts) + interval 900 seconds)::varchar as expires_at, count(*) as n, min(ts)::varchar as first_at, max(ts)::varchar as last_at from s group by user_id, k""")
+def _(spark, d):
+    s = leases.lease_sessions(table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts")))
+    return s.select("user_id", *[F.col(c).cast("string").alias(c) for c in ("session_start", "expires_at")], "n", *[F.col(c).cast("string").alias(c) for c in ("first_at", "last_at")])
+
+
+@register("g08_daily_windows", "select date_trunc('day', ts)::date::varchar as window_start, event_type, count(*) as n from events group by all")
+def _(spark, d):
+    w = leases.windowed_counts(table(spark, d, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts")))
+    return w.select(F.col("window_start").cast("date").cast("string").alias("window_start"), "event_type", "n")
+
+
+# --- audits ------------------------------------------------------------------------------------------------------------
+
+@register("m01_fidelity", f"""with {PAGE_BLOCKS}, b as (select page_id, block_index, unnest(list_distinct({S.tokens('block_text')})) as word from pb), c as (select page_id, unnest(list_distinct({S.tokens(S.html_text('html'))})) as word from pages),
+j as (select b.page_id, b.block_index, count(*) as n_words, count(c.word) as n_found from b left join c on b.page_id = c.page_id and b.word = c.word group by all)
+select *, round(n_found / n_words, 6) as overlap, round(n_found / n_words, 6) < 0.8 and n_words - n_found >= 2 as suspect from j""")
+def _(spark, d):
+    pages = _pages(spark, d)
+    return M.token_overlap(B.page_blocks(pages), pages.select("page_id", T.html_text("html").alias("capture_text")), "page_id")
+
+
+@register("m02_prose_coverage", f"""with {S.BLOCKS} select article_id, count(*) filter (where length(block_text) >= 80 and regexp_matches(block_text, '[.!?:]$')) as paragraphs,
+coalesce(sum(length(block_text)) filter (where length(block_text) >= 80 and regexp_matches(block_text, '[.!?:]$')), 0)::bigint as prose_chars, sum(length(block_text))::bigint as all_chars from bl group by all""")
+def _(spark, d):
+    p, n = (F.length("block_text") >= 80) & F.col("block_text").rlike("[.!?:]$"), F.length("block_text")
+    return _blocks(spark, d).groupBy("article_id").agg(F.count_if(p).alias("paragraphs"), F.coalesce(F.sum(F.when(p, n)), F.lit(0)).alias("prose_chars"), F.sum(n).alias("all_chars"))
+
+
+@register("m04_yardsticks", f"""with {S.BLOCKS}, t as (select article_id, unnest({S.tokens('block_text')}) as w from bl) select article_id, min(case when w = 'für' then 0 when {S.fold('w')} = 'fur' then 1 else 2 end) as tier from t where starts_with({S.fold('w')}, 'fur') group by all""")
+def _(spark, d):
+    t = _blocks(spark, d).select("article_id", F.explode(T.tokens("block_text")).alias("w")).where(T.fold("w").startswith("fur"))
+    return t.groupBy("article_id").agg(F.min(F.when(F.col("w") == "für", 0).when(T.fold("w") == "fur", 1).otherwise(2)).alias("tier"))
+
+
+@register("m05_recall_precision", f"""with {S.POSTINGS}, {S.hits('fur')}, truth as (select distinct article_id from bl where regexp_matches({S.fold('block_text')}, '(^|[^\\p{{L}}\\p{{N}}])fur([^\\p{{L}}\\p{{N}}]|$)')),
+n as (select (select count(*) from cand) as n_found, (select count(*) from truth) as n_truth, (select count(*) from cand where article_id in (select article_id from truth)) as n_both)
+select *, round(n_both / n_truth, 6) as recall, round(n_both / n_found, 6) as precision from n""")
+def _(spark, d):
+    plan = compile_query("fur")
+    truth = _blocks(spark, d).where(T.fold("block_text").rlike(r"(^|[^\p{L}\p{N}])fur([^\p{L}\p{N}]|$)")).select("article_id")
+    return M.compare(Z.candidates(Z.term_hits(_index(spark, d), plan), 1), truth, "article_id")
+
+
+@register("m06_probe_words", f"with {S.BLOCKS}, t as (select article_id, unnest({S.tokens('block_text')}) as w from bl), n as (select {S.fold('w')} as folded, w, count(*) as n, count(distinct article_id) as nd from t where length(w) >= 5 group by all), f as (select folded, sum(nd)::bigint as ndoc, arg_max(w, (n, w)) as spelling from n group by all) select * from f where ndoc >= 2")
+def _(spark, d):
+    t = _blocks(spark, d).select("article_id", F.explode(T.tokens("block_text")).alias("w")).where(F.length("w") >= 5)
+    n = t.groupBy(T.fold("w").alias("folded"), "w").agg(F.count("*").alias("n"), F.count_distinct("article_id").alias("nd"))
+    return n.groupBy("folded").agg(F.sum("nd").alias("ndoc"), F.max_by("w", F.struct("n", "w")).alias("spelling")).where("ndoc >= 2")
+
+
+@register("m08_contiguity", "select conv_id, min(turn) as lo, max(turn) as hi, count(*) as n, count(distinct turn) as d from conversations group by all having min(turn) <> 0 or max(turn) - min(turn) + 1 <> count(*) or count(distinct turn) <> count(*)")
+def _(spark, d):
+    return M.contiguity(table(spark, d, "conversations"), "conv_id", "turn", 0)
+
+
+@register("m08_one_current", f"with {CURRENT} select url_hash, count(*) filter (where is_current) as n from cur group by all having count(*) filter (where is_current) > 1")
+def _(spark, d):
+    return C.current_readings(_readings(spark, d)).groupBy("url_hash").agg(F.count_if("is_current").alias("n")).where("n > 1")
+
+
+@register("m09_violations", """select doc_id, rule from (select doc_id, unnest(list_filter([case when not coalesce(n_chars = length(text), false) then 'n_chars' end, case when not coalesce(lang in ('en', 'fr'), false) then 'lang' end, case when not coalesce(n_chars >= 50, false) then 'short' end], lambda x: x is not null)) as rule from documents)""")
+def _(spark, d):
+    return M.violations(_docs(spark, d), "doc_id", {"n_chars": "n_chars = length(text)", "lang": "lang in ('en', 'fr')", "short": "n_chars >= 50"})
+
+
+@register("m10_misses", f"with {S.POSTINGS}, {S.hits('thanedble')}, p as (select distinct article_id from post where starts_with(lexeme, 'thaned')) select article_id from p where article_id not in (select article_id from cand)")
+def _(spark, d):
+    i, plan = _index(spark, d), compile_query("thanedble")
+    near = i.where(F.col("lexeme").startswith("thaned")).select("article_id").distinct()
+    return near.join(Z.candidates(Z.term_hits(i, plan), 1), "article_id", "left_anti")
+
+
+@register("m11_identity", f"select count(*) as n, count(distinct sha256({S.canonical_url('url')})) as n_ids from pages")
+def _(spark, d):
+    return _pages(spark, d).agg(F.count("*").alias("n"), F.count_distinct(U.archive_id(F.col("url"))).alias("n_ids"))
+
+
+@register("m12_prose_only_words", f"""with {S.POSTINGS}, x as (select lexeme, count(distinct article_id) as nd, count(*) filter (where vec_kind = 'm') as nm, min(article_id) as article_id from post where length(lexeme) >= 8 group by all)
+select lexeme, article_id from x where nd = 1 and nm = 0""")
+def _(spark, d):
+    x = _index(spark, d).where(F.length("lexeme") >= 8).groupBy("lexeme").agg(F.count_distinct("article_id").alias("nd"), F.count_if(F.col("vec_kind") == "m").alias("nm"), F.min("article_id").alias("article_id"))
+    return x.where("nd = 1 and nm = 0").select("lexeme", "article_id")

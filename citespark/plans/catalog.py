@@ -13,6 +13,7 @@ from citespark.functions.analyze import STOPWORDS, lexemes_col, stem_col
 from citespark.operators import audit as M
 from citespark.operators import blocks as B
 from citespark.operators import corpus as C
+from citespark.operators import extraction as X
 from citespark.operators import ledger as G
 from citespark.operators import search as Z
 from citespark.operators import selectors as L
@@ -241,6 +242,21 @@ def _(spark, d):
     return B.counts(B.page_blocks(_pages(spark, d)), "page_id")
 
 
+@register("e02_extract_articles", "select page_id from pages")
+def _(spark, d):
+    return X.extract_pages(_pages(spark, d)).select("page_id")
+
+
+@register("e03_extracted_blocks")
+def _(spark, d):
+    return X.blocks_table(X.extract_pages(_pages(spark, d)))
+
+
+@register("e25_links", "select page_id, '' as url from pages where false")
+def _(spark, d):
+    return X.links_table(X.extract_pages(_pages(spark, d))).select("page_id", "url")
+
+
 # --- selectors ---------------------------------------------------------------------------------------------------------
 
 NEEDLES = f"needle as (select item_id, {S.collapse('split_part(text, chr(10), 1)')} as needle from benchmark where length({S.collapse('split_part(text, chr(10), 1)')}) >= 20)"

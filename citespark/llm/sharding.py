@@ -61,8 +61,10 @@ def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int, summary
     windows = [(0, total)]
     lo, hi = max(-(-total // shards), largest), total
     known: list[tuple[int, int, int]] = []
+    width = 2 * total + 2
     while True:
-        width = max(1, -(-sum(b - a for a, b in windows) // summary))
+        # at least halved every time, so the search ends even where a tiny summary leaves all in doubt
+        width = max(1, min(width // 2, -(-sum(b - a for a, b in windows) // summary)))
         inside, bucket, base = F.lit(False), F.lit(None).cast("long"), 0
         for a, b in windows:
             here = (F.col("end") > a) & (F.col("end") <= b)

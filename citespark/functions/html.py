@@ -144,7 +144,8 @@ def blocks_of(body: Node) -> tuple[list[dict], list[str]]:
     warnings: list[str] = []
 
     def add(kind: str, node: Node, tag: str, **more):
-        text = text_of(node)
+        inner = [c for c in node.children if isinstance(c, Node) and (c.tag in BLOCK or c.tag == "li")] if kind in ("quote", "list") else []
+        text = " ".join(t for t in map(text_of, inner) if t) if inner else text_of(node)
         if kind in ("image", "video") or text:
             out.append({"type": kind, "tag": tag, "text": "" if kind in ("image", "video") else text, **more})
 
@@ -260,12 +261,15 @@ def metadata_of(root: Node, page_url: str) -> dict:
     path = [p for p in urlsplit(page_url).path.split("/") if p and not p[0].isdigit()]
     keywords = ld.get("keywords") or meta.get("keywords") or ""
     keywords = keywords if isinstance(keywords, list) else re.split("[,;]", str(keywords))
-    tags = {str(k).strip().casefold(): str(k).strip() for k in reversed(keywords) if str(k).strip()}
+    tags: dict[str, str] = {}
+    for k in keywords:
+        if str(k).strip():
+            tags.setdefault(str(k).strip().casefold(), str(k).strip())
     return {
         "title": first(ld.get("headline"), meta.get("og:title"), text_of(heads[0]) if heads else None, text_of(titles[0]) if titles else None),
         "description": first(ld.get("description"), meta.get("og:description"), meta.get("description")),
         "published_at": first(ld.get("datePublished"), meta.get("article:published_time")), "updated_at": first(ld.get("dateModified"), meta.get("article:modified_time")),
-        "authors": authors, "publisher": publisher, "tags": list(reversed(tags.values())), "language": (lang or "").replace("_", "-").split("-")[0].lower() or None,
+        "authors": authors, "publisher": publisher, "tags": list(tags.values()), "language": (lang or "").replace("_", "-").split("-")[0].lower() or None,
         "section": first(ld.get("articleSection"), meta.get("article:section"), path[0] if path else None),
     }
 

@@ -99,7 +99,7 @@ def phrase_match(text: Column, needle: str) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def matching_ids(index: DataFrame, query: str, searchable: DataFrame, where: Column | None = None) -> DataFrame:
+def matching_ids(index: DataFrame, query: str, searchable: DataFrame, where: Column | str | None = None) -> DataFrame:
     """All articles that answer the query under the gate and the filters, unlimited."""
     plan = compile_query(query)
     found = candidates(term_hits(index, plan), len(plan.terms)) if plan.terms else index.select("article_id").where(F.lit(False))
@@ -109,7 +109,7 @@ def matching_ids(index: DataFrame, query: str, searchable: DataFrame, where: Col
 
 def search_articles(
     index: DataFrame, blocks: DataFrame, searchable: DataFrame, query: str, limit: int | None = 10, offset: int = 0,
-    where: Column | None = None, phrase: str | None = None, blocks_per_article: int = 1,
+    where: Column | str | None = None, phrase: str | None = None, blocks_per_article: int = 1,
 ) -> DataFrame:
     """A page of articles: score parts, match reason, total, and the best passages joined as one string.
 

@@ -597,7 +597,7 @@ def _search_query(name: str, query: str, where=None, where_sql: str = "true", **
 _search_query("z01_search_two_words", "thanedble with", blocks_per_article=2)
 _search_query("z01_search_one_word", "thintion")
 _search_query("z01_search_accented", "für")
-_search_query("z01_search_filtered", "with from", where=(F.col("source") == "src1") & (F.col("lang") == "en"), where_sql="source = 'src1' and lang = 'en'")
+_search_query("z01_search_filtered", "with from", where="source = 'src1' and lang = 'en'", where_sql="source = 'src1' and lang = 'en'")
 _search_query("z01_search_phrase", "with this", phrase="with this", limit=20)
 _search_query("z01_search_page_two", "with from this", limit=5, offset=5)
 

@@ -46,7 +46,8 @@ class ZipDirectory:
         tail_at = max(0, size - (1 << 16) - 22 - 20)
         tail = read(tail_at, size - tail_at)
         at = tail.rfind(_END)
-        while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] > len(tail):
+        # the record ends with the file; a comment may hold its signature, too
+        while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
             at = tail.rfind(_END, 0, at)
         if at < 0:
             raise ValueError("no end of central directory: not a ZIP file, or cut short")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -43,6 +45,14 @@ def forget(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more, before the next large step writes its own."""
+    for _ in range(2):  # what the first collection finalises the second one frees; the cleaner works in the background
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
+
+
 def running_totals(df: DataFrame, group: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
     """Add exclusive running totals inside each group without gathering a group in one task.
 

@@ -24,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citespark.llm.common import forget, store
+from citespark.llm.common import forget, release, store
 from citespark.llm.grouping import suffix_array
 
 #: Bytes hashed for an anchor (a power of two), and bytes of the symbols that suffixes are sorted by.
 ANCHOR, SYMBOL = 64, 8
-CHUNK_BYTES, BUCKET_BYTES, PIECE = 24 << 20, 24 << 20, 1 << 20
+CHUNK_BYTES, BUCKET_BYTES, PIECE = 8 << 20, 12 << 20, 1 << 20
 #: Symbols of one suffix array. An anchor of more regions than HOT is split further, by what lies around it.
 BLOCK, HOT = 100_000, 20_000
 _ROW = "kind string, chunk long, bucket int, blob binary"
@@ -98,14 +98,13 @@ def _chunks(frames: Iterator[pd.DataFrame], length: int, buckets: int, chunk_byt
         ids = np.array([int(i) if i is not None else 0 for i, _ in held], np.int64)
         none = np.array([i is None for i, _ in held])
         lens = np.array([len(d) for _, d in held], np.int64)
-        base = np.concatenate(([0], np.cumsum(lens)[:-1]))
-        anchor, place, first, last, content = [], [], [], [], []
-        for b, (_, d) in zip(base, held):
+        anchor, place, last, content, number_of = [], [], [], [], []
+        for _, d in held:
             h, p, i, j = regions_of(d, length)
             digest = xxhash.xxh64_intdigest
             content.append(np.array([digest(d[x : y + length - 1], z) for x, y, z in zip(i.tolist(), j.tolist(), (p - i).tolist())], np.uint64))
-            anchor.append(h), place.append(p + b), first.append(i + b), last.append(j + b)
-        anchor, place, first, last, content = (np.concatenate(x) for x in (anchor, place, first, last, content))
+            anchor.append(h), place.append(p - i), last.append(j - i), number_of.append(len(h))
+        anchor, place, last, content = (np.concatenate(x) for x in (anchor, place, last, content))
         bucket = (anchor % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((content, anchor, bucket))
         a, c, b = anchor[order], content[order], bucket[order]
@@ -114,7 +113,7 @@ def _chunks(frames: Iterator[pd.DataFrame], length: int, buckets: int, chunk_byt
         which = np.empty(len(a), np.uint32)
         which[order] = np.repeat(np.arange(len(new)), count)
         chunk = part + number
-        rows = [(chunk, -1, _pack(ids, none, lens, b"".join(d for _, d in held), place.astype(np.uint32), first.astype(np.uint32), last.astype(np.uint32), which))]
+        rows = [(chunk, -1, _pack(ids, none, lens, b"".join(d for _, d in held), np.array(number_of), place.astype(np.uint16), last.astype(np.uint16), which))]
         a, c, b = a[new], c[new], b[new]
         ends = np.searchsorted(b, np.arange(buckets + 1))
         rows += [(chunk, k, _pack(a[i:j], c[i:j], count[i:j])) for k, (i, j) in enumerate(zip(ends[:-1], ends[1:])) if i < j]
@@ -170,8 +169,15 @@ class _Chunk:
     def __init__(self, frame: pd.DataFrame, length: int, buckets: int):
         own = frame[frame.kind == "chunk"].sort_values("bucket")
         self.chunk = int(own.chunk.iloc[0])
-        self.ids, self.none, self.lens, self.data, place, first, last, which = _unpack(own.blob.iloc[0])
-        self.place, self.first, self.last, self.which = (x.astype(np.int64) for x in (place, first, last, which))
+        self.ids, self.none, self.lens, self.data, number, offset, windows, which = _unpack(own.blob.iloc[0])
+        # the regions of a text follow each other from its start on
+        windows, self.which = windows.astype(np.int64), which.astype(np.int64)
+        begun = np.cumsum(windows) - windows
+        head = np.cumsum(number) - number
+        full = number > 0
+        shift = (np.cumsum(self.lens) - self.lens)[full] - begun[head[full]]
+        self.first = begun + np.repeat(shift, number[full])
+        self.last, self.place = self.first + windows, self.first + offset
         state = _aligned(frame[frame.kind == "state"])
         self.state = state if state is not None else np.zeros(0, np.uint8)
         anchors = np.concatenate([_unpack(b)[0] for b in own.blob.iloc[1:]]) if len(own) > 1 else np.zeros(0, np.uint64)
@@ -355,10 +361,15 @@ def remove_repeats(docs: DataFrame, length: int = 200, chunk_bytes: int = CHUNK_
     buckets = min(8192, max(4, -(-size // bucket_bytes)))
     table = store(rows.mapInPandas(lambda frames: _chunks(frames, length, buckets, chunk_bytes), _ROW))
     told = store(table.where("bucket >= 0").groupBy("bucket").applyInPandas(_match(hot), _ROW))
-    every = table.unionByName(told)
-    shown = every.groupBy("chunk").applyInPandas(_show(length, buckets), _ROW)
+
+    def every() -> DataFrame:
+        release(docs.sparkSession)
+        return table.unionByName(told)
+
+    shown = every().groupBy("chunk").applyInPandas(_show(length, buckets), _ROW)
     found = store(shown.groupBy("bucket").applyInPandas(_sort(length, block), _ROW))
-    out = store(every.unionByName(found).groupBy("chunk").applyInPandas(_remove(length, buckets), _RESULT))
+    del shown
+    out = store(every().unionByName(found).groupBy("chunk").applyInPandas(_remove(length, buckets), _RESULT))
     for x in (table, told, found):
         forget(x)
     return out

@@ -23,13 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citespark.llm.common import forget, store
+from citespark.llm.common import forget, release, store
 
 #: Good-Turing discounts apply to counts up to this.
 K = 5
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_000_000
 #: Bytes of text for each bucket of keys; continuations of a context of more than SPLIT occurrences go to several tasks.
-BUCKET_BYTES, SPLIT = 24 << 20, 4_000_000
+BUCKET_BYTES, SPLIT = 12 << 20, 4_000_000
 #: Words hold no blank, so these are no words: the context before the first token, and the end.
 _START, _END = xxhash.xxh64_intdigest(b"\t"), xxhash.xxh64_intdigest(b"\n")
 _ROW = "kind string, chunk long, bucket int, split int, blob binary"
@@ -44,6 +44,15 @@ def _unpack(blob: bytes) -> tuple:
     return pickle.loads(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True))
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The bytes of 32-bit numbers plane by plane, which packs better."""
+    return np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
+
+
+def _whole(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view(np.uint32)[:, 0].astype(np.int64)
+
+
 def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint32) if not len(x) or x.max() < 1 << 32 else x.astype(np.uint64)
 
@@ -94,7 +103,7 @@ def _chunks(frames: Iterator[pd.DataFrame], buckets: int, chunk_tokens: int) ->
         rank[order] = np.arange(len(keys))
         keys, count, bucket = keys[order], count[order], bucket[order]
         chunk = part + number
-        rows = [(chunk, -1, 0, _pack(ids, none, out, lens, rank[at]))]
+        rows = [(chunk, -1, 0, _pack(ids, none, out, lens, _planes(rank[at])))]
         ends = np.searchsorted(bucket, np.arange(buckets + 1))
         rows += [(chunk, b, 0, _pack(keys[i:j], _small(count[i:j]))) for b, (i, j) in enumerate(zip(ends[:-1], ends[1:])) if i < j]
         return _rows("chunk", rows)
@@ -131,7 +140,7 @@ class _Chunk:
         own = frame[frame.kind == "chunk"].sort_values("bucket")
         self.chunk = int(own.chunk.iloc[0])
         self.ids, self.none, self.out, self.lens, at = _unpack(own.blob.iloc[0])
-        at = at.astype(np.int64)
+        at = _whole(at)
         keys = [_unpack(b)[0] for b in own.blob.iloc[1:]]
         self.keys = np.concatenate(keys)
         self.bucket = np.repeat(own.bucket.iloc[1:].to_numpy(np.int64), [len(k) for k in keys])
@@ -276,12 +285,19 @@ def score_texts(docs: DataFrame, held_out, chunk_tokens: int = CHUNK_TOKENS, buc
     unseen = sum(r * few[r - 1] * (1 - d1[r]) for r in range(1, K + 1)) / n if n else 1.0
     if n and unseen <= 0:  # every token is frequent: half a count of each kept back for the unknown one
         unseen = 0.5 / (n + 0.5)
-    told = table.unionByName(unigrams.where("kind = 'count'"))
-    asked = told.groupBy("chunk").applyInPandas(_bigram_requests(split), _ROW)
+
+    def told() -> DataFrame:
+        return table.unionByName(unigrams.where("kind = 'count'"))
+
+    release(docs.sparkSession)
+    asked = told().groupBy("chunk").applyInPandas(_bigram_requests(split), _ROW)
     bigrams = store(asked.groupBy("bucket", "split").applyInPandas(_bigrams(d1, n, unseen), _ROW))
+    del asked
+    release(docs.sparkSession)
     d2 = discounts([0, *total(bigrams, K + 1)])
     weights = store(own.unionByName(bigrams.where("kind = 'part'")).groupBy("bucket").applyInPandas(_weights(d2), _ROW))
-    every = told.unionByName(bigrams.where("kind = 'bigram'")).unionByName(weights)
+    release(docs.sparkSession)
+    every = told().unionByName(bigrams.where("kind = 'bigram'")).unionByName(weights)
     out = store(every.groupBy("chunk").applyInPandas(_scores(split, d1, d2, n, v, unseen), _SCORES))
     for x in (table, unigrams, bigrams, weights):
         forget(x)

@@ -35,6 +35,24 @@ def _grams(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
+#: A language's n-grams of a length tell its words from others' if no more of them were learned than this share of the strings of its letters.
+_TELLING = 0.25
+
+
+def _telling(grams: dict[int, dict], k: int) -> int:
+    """The least length from 2 on at which the n-grams of language k are few among all strings, else the greatest: 4 for alphabets, 2 for Chinese.
+
+    Letters count by the perplexity of their distribution, so that a few strays do not make an alphabet look large.
+    """
+    counts = np.array([by_lang[k] for g, by_lang in grams.get(1, {}).items() if k in by_lang and g not in "<>"], float)
+    share = counts / max(counts.sum(), 1)
+    letters = np.exp(-(share * np.log(share)).sum())
+    for n in sorted(grams):
+        if n > 1 and sum(k in by_lang for by_lang in grams[n].values()) <= _TELLING * letters**n:
+            return n
+    return max(grams)
+
+
 class Model:
     """Log probabilities by language of words and of n-grams of each length, longest first."""
 
@@ -57,19 +75,35 @@ class Model:
         self.words = table(words, totals[0])
         self.grams = {n: table(grams[n], totals[n]) for n in self.orders}
         self.rows = np.array(rows).reshape(len(rows), len(langs))
-
-    def backoff(self, word: str) -> np.ndarray | None:
-        """Mean over the word's known n-grams of the greatest length that has any; None if none has."""
+        telling = [_telling(grams, k) for k in range(len(langs))]
+        self.least = min(telling, default=0)
+        self.tells = np.zeros(len(rows), bool)  # n-grams of the length that tells a language that has them
+        for n in set(telling):
+            for g, by_lang in grams[n].items():
+                self.tells[self.grams[n][g]] = any(telling[k] == n for k in by_lang)
+
+    def backoff(self, word: str) -> tuple[np.ndarray | None, bool]:
+        """Mean over the word's known n-grams of the greatest length that has any (None if none has), and whether the word is evidence.
+
+        It is if at least half of its n-grams of some length are known ones that tell a language: nearly all
+        shorter ones, and those of the padding marks alone, occur in words of any language of the script.
+        """
         word = word[:64]  # a letter run of more is no word of a language: its head decides
+        row = None
         for n in self.orders:
-            index = self.grams[n]
-            found = [index[g] for g in _grams(word, n) if g in index]
+            index, grams = self.grams[n], _grams(word, n)
+            found = [index[g] for g in grams if g in index]
             if found:
-                return self.rows[found].mean(0)
-        return None
+                if row is None:
+                    row = self.rows[found].mean(0)
+                if 2 * np.count_nonzero(self.tells[found]) >= len(grams):
+                    return row, True
+            if row is not None and n <= self.least:
+                break
+        return row, False
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
-        """Language, its posterior (0 to 1) and the share of words with any evidence."""
+        """Language, its posterior (0 to 1) and the share of words that are known or evidence by their n-grams."""
         if not text or not self.langs:
             return UNKNOWN, 0.0, 0.0
         total, n_words, n_seen = np.zeros(len(self.langs)), 0, 0
@@ -100,9 +134,10 @@ class Model:
     def _add(self, unseen: Counter, total: np.ndarray) -> int:
         seen = 0
         for word, n in unseen.items():
-            if (row := self.backoff(word)) is not None:
+            row, evident = self.backoff(word)
+            if row is not None:
                 total += n * row
-                seen += n
+            seen += n * evident
         return seen
 
 
@@ -182,7 +217,8 @@ def language_id(docs: DataFrame, **bounds) -> DataFrame:
     """Language of every whole text of (doc_id, text, lang), learned from rows outside the held-out third.
 
     Result: doc_id, held_out, lang_pred (a learned lang, or 'und' if the text is null or has no letter),
-    score (posterior, 0 to 1), evidence (share of words that are known or have a known n-gram). Only text enters a prediction.
+    score (posterior, 0 to 1), evidence (share of words that are known, or at least half of whose n-grams are, of a length at which
+    few of all strings are n-grams of a language). Only text enters a prediction.
 
     Ties go to the language first in code point order; repeated rows come back each; with nothing to learn from,
     and for an empty table, every prediction is 'und' or the result empty. Other columns are ignored.

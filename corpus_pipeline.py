@@ -16,7 +16,7 @@ from citespark.llm.mixing import mix
 from citespark.llm.neardup import drop_near_duplicates
 from citespark.llm.sharding import shard
 
-#: Least share of words with evidence (known, or with a known n-gram) of a text that is in a learned language.
+#: Least share of words with evidence (known, or of known telling n-grams) of a text that is in a learned language.
 EVIDENCE = 0.5
 
 
@@ -64,7 +64,7 @@ STAGES = [
     ("sharding", cut_shards),
 ]
 
-#: SQL expresses none of the learned or alignment stages; the tests hold each stage against a brute-force version.
+#: SQL expresses none of the learned or alignment stages; tests hold their operators against brute force, and the language stage against planted documents.
 ORACLE_SQL = None
 
 

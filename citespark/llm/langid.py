@@ -15,19 +15,25 @@ from citespark.llm.common import store
 
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-#: Texts are scanned in pieces of about so many characters, cut at a blank, so that memory stays bounded.
+_OTHER = re.compile(r"[\W\d_]")
+#: Texts are scanned in pieces of about so many characters, cut where no letter is, so that memory stays bounded.
 _PIECE = 1 << 20
+#: n-grams of a letter run are looked up so many at once; longer runs go part by part.
+_RUN = 4096
 
 
-def _pieces(text: str) -> Iterator[str]:
+def _pieces(text: str, overlap: int = 0) -> Iterator[str]:
+    """Pieces of a text; a letter run of over _PIECE is cut, its parts overlapping by so many letters."""
     at = 0
     while at < len(text):
         end = at + _PIECE
+        again = 0
         if end < len(text):
-            cut = text.find(" ", end, end + _PIECE)
-            end = cut if cut >= 0 else end + _PIECE
+            cut = _OTHER.search(text, end, end + _PIECE)
+            end = cut.start() if cut else end + _PIECE
+            again = 0 if cut or end >= len(text) else overlap
         yield text[at:end]
-        at = end
+        at = end - again
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -88,15 +94,22 @@ class Model:
         It is if at least half of its n-grams of some length are known ones that tell a language: nearly all
         shorter ones, and those of the padding marks alone, occur in words of any language of the script.
         """
-        word = word[:64]  # a letter run of more is no word of a language: its head decides
-        row = None
+        row, padded = None, f"<{word}>"
         for n in self.orders:
-            index, grams = self.grams[n], _grams(word, n)
-            found = [index[g] for g in grams if g in index]
-            if found:
+            index, count = self.grams[n], len(padded) - n + 1
+            total, known, telling = 0.0, 0, 0
+            for at in range(0, count, _RUN):  # the whole run, in parts that overlap by n - 1
+                part = padded[at : at + _RUN + n - 1]
+                found = [index[g] for i in range(len(part) - n + 1) if (g := part[i : i + n]) in index]
+                if found:
+                    if row is None:
+                        total = total + self.rows[found].sum(0)
+                    known += len(found)
+                    telling += np.count_nonzero(self.tells[found])
+            if known:
                 if row is None:
-                    row = self.rows[found].mean(0)
-                if 2 * np.count_nonzero(self.tells[found]) >= len(grams):
+                    row = total / known
+                if 2 * telling >= count:
                     return row, True
             if row is not None and n <= self.least:
                 break
@@ -109,7 +122,7 @@ class Model:
         total, n_words, n_seen = np.zeros(len(self.langs)), 0, 0
         unseen: Counter = Counter()
         get = self.words.get
-        for piece in _pieces(text):
+        for piece in _pieces(text, self.orders[0] - 1):
             words = _LETTERS.findall(piece.lower())
             n_words += len(words)
             ids = [get(w, -1) for w in words]
@@ -161,7 +174,7 @@ def fit(labelled: DataFrame, per_lang: int = 2000, max_words: int = 30_000, max_
             for lang, texts in frame.groupby("lang").text:
                 counts: Counter = Counter()
                 for t in texts:
-                    for piece in _pieces(t):
+                    for piece in _pieces(t, max(orders) - 1):
                         counts.update(_LETTERS.findall(piece.lower()))
                 yield pd.DataFrame({"lang": lang, "word": list(counts), "n": list(counts.values())})
 

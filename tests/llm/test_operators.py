@@ -411,3 +411,20 @@ def test_one_value_everywhere(spark):
         assert drop_near_duplicates(df).count() == 1
         for out in (score_texts(df, held_out(7, 2)), language_id(df), remove_repeats(df), shard(df), find_pii(df), mix(df)):
             assert out.count() == 9
+
+
+def test_language_reads_whole_runs(spark):
+    """A letter run counts to its end: two runs with the same head go by what follows it."""
+    from citespark.llm import langid
+
+    rows = [(i, "abcd abdc acbd " * 9, "aa") for i in range(4)] + [(i, "wxyz wyxz wzxy " * 9, "zz") for i in range(4, 8)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    head = "abcdabdc" * 8
+    assert model.predict(head)[0] == "aa"
+    for tail in ("wxyzwyxz" * 20, "wxyzwyxz" * 2000, "wxyzwyxz" * 400_000):  # one part, several, more than one piece
+        assert model.predict(head + tail)[0] == "zz"
+    mean = lambda w: np.mean([model.rows[model.grams[4][g]] for g in langid._grams(w, 4) if g in model.grams[4]], axis=0)
+    for word in ("wxyzwyxz" * 3, "abcdwxyz" * 3001):
+        assert model.backoff(word)[0] == pytest.approx(mean(word))
+    pieces = list(langid._pieces("a" * (5 << 19) + " b", 3))
+    assert [len(p) for p in pieces] == [2 << 20, (1 << 19) + 5] and "".join(pieces).count("b") == 1

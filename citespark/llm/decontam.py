@@ -51,26 +51,26 @@ def _keys(data: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """q-grams of the windows of benchmark items. Items of under Q normalised bytes have no q-gram and match nothing."""
+    """q-grams of segments of benchmark items; a segment holds the windows at STRIDE offsets, so all offsets are covered. Items of under Q normalised bytes have no q-gram and match nothing."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        texts, owner, post_key, post_win, post_at = [], [], [], [], []
+        texts, owner, sizes, post_key, post_win, post_at = [], [], [], [], [], []
         for item, text in items:
             data = _collapse(np.frombuffer(_bytes(text).strip(), np.uint8))[0]
             n = len(data)
             if n < Q:
                 continue
-            starts = [0] if n <= WINDOW else sorted({*range(0, n - WINDOW + 1, STRIDE), n - WINDOW})
-            for s in starts:
-                window = data[s : s + WINDOW]
+            for s in range(0, max(n - WINDOW, 0) + 1, STRIDE):
+                window = data[s : s + WINDOW + STRIDE - 1]
                 keys = _keys(window)
                 post_key.append(keys)
                 post_win.append(np.full(len(keys), len(texts)))
                 post_at.append(np.arange(len(keys)))
                 texts.append(window)
                 owner.append(item)
+                sizes.append(min(n, WINDOW))
         self.texts, self.owner = texts, owner
-        size = np.array([len(t) for t in texts], np.int64)
+        self.size = size = np.array(sizes, np.int64)
         # the budget leaves at least one q-gram that must be shared
         self.edits = np.minimum(size // TEN, np.maximum(size - Q, 0) // Q)
         self.need = size - Q + 1 - self.edits * Q
@@ -120,6 +120,7 @@ def _scan(data: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
     which = np.repeat(index.ends[j] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(total)
     win = index.win[which]
     band = (np.repeat(hits, n) - index.at[which] + 4 * WINDOW) // BAND
+    place, diagonal = index.at[which], np.repeat(hits, n) - index.at[which]
     found = []
     for shift in (0, 1):  # each diagonal lies in two overlapping bands
         key = (win << 32) + band - shift
@@ -130,25 +131,63 @@ def _scan(data: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
             found.append(k[c >= index.need[k >> 32]])
     if not found:
         return []
-    key = np.unique(np.concatenate(found))
-    win, low = key >> 32, (key & 0xFFFFFFFF) * BAND - 4 * WINDOW
+    every = np.unique(np.concatenate(found))
+    out = []
+    for at in range(0, len(every), 2048):
+        out += _verify(data, index, every[at : at + 2048], win, band, place, diagonal)
+    return out
+
+
+def _verify(data: np.ndarray, index: Index, cand: np.ndarray, win: np.ndarray, band: np.ndarray, place: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """The windows, at every offset, of candidate segments and bands (sorted keys) that are within their budget: as _scan."""
+    seg, low = cand >> 32, (cand & 0xFFFFFFFF) * BAND - 4 * WINDOW
+    span = WINDOW + STRIDE
+    shared = np.zeros((len(cand), span), np.int64)
+    diagonals = np.zeros((len(cand), 2 * BAND), np.int64)
+    for shift in (0, 1):
+        key = (win << 32) + band - shift
+        c = np.minimum(np.searchsorted(cand, key), len(cand) - 1)
+        mine = cand[c] == key
+        c = c[mine]
+        shared += np.bincount(c * span + place[mine], minlength=shared.size).reshape(shared.shape)
+        diagonals += np.bincount(c * 2 * BAND + diagonal[mine] - low[c], minlength=diagonals.size).reshape(diagonals.shape)
+    upto = np.concatenate((np.zeros((len(cand), 1), np.int64), np.cumsum(shared, 1)), 1)
+    lengths = index.size[seg]
+    top = low + diagonals.argmax(1)
     out = []
-    lengths = np.array([len(index.texts[w]) for w in win])
     for m in np.unique(lengths):
-        these = np.flatnonzero(lengths == m)
+        own = np.flatnonzero(lengths == m)
+        # windows by offset that share as many q-grams as theirs must
+        offsets = np.arange(STRIDE if m == WINDOW else 1)
+        grams = upto[own][:, offsets + int(m) - Q + 1] - upto[own][:, offsets]
+        inside = offsets + m <= np.array([len(index.texts[w]) for w in seg[own]])[:, None]
+        row, offset = np.nonzero((grams >= index.need[seg[own], None]) & inside)
+        these = own[row]
+        # unchanged copies on the densest diagonal need no alignment
         for at in range(0, len(these), 2048):
-            part = these[at : at + 2048]
-            w, budget = win[part], index.edits[win[part]]
-            patterns = np.stack([index.texts[x] for x in w])
+            part, o = these[at : at + 2048], offset[at : at + 2048]
+            if not len(part):
+                continue
+            patterns = np.stack([index.texts[w][x : x + m] for w, x in zip(seg[part], o)])
+            first = top[part] + o
+            where = first[:, None] + np.arange(int(m))
+            same = (first >= 0) & (first + m <= len(data))
+            same &= (data[np.clip(where, 0, len(data) - 1)] == patterns).all(1)
+            out += [(int(w), int(f), int(f + m), 0) for w, f in zip(seg[part][same], first[same])]
+            rest = ~same
+            if not rest.any():
+                continue
+            part, start, patterns = part[rest], low[part[rest]] + o[rest], patterns[rest]
+            w, budget = seg[part], index.edits[seg[part]]
             most = int(m) // TEN
             width = 2 * BAND + 2 * most + 1
-            rows = _distances(data, patterns, low[part] - most, width)
+            rows = _distances(data, patterns, start - most, width)
             best = rows.argmin(1)
             edits = rows[np.arange(len(part)), best]
             ok = np.flatnonzero(edits <= budget)
             if not len(ok):
                 continue
-            end = low[part][ok] - most + best[ok] + int(m)
+            end = start[ok] - most + best[ok] + int(m)
             # backwards from each end, for where the region begins
             flipped = data[::-1]
             back = _distances(flipped, patterns[ok][:, ::-1], len(data) - end, 2 * most + 1, fixed=True)

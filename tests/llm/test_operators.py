@@ -428,3 +428,25 @@ def test_language_reads_whole_runs(spark):
         assert model.backoff(word)[0] == pytest.approx(mean(word))
     pieces = list(langid._pieces("a" * (5 << 19) + " b", 3))
     assert [len(p) for p in pieces] == [2 << 20, (1 << 19) + 5] and "".join(pieces).count("b") == 1
+
+
+def test_leaks_at_every_offset():
+    """Passages of 100 to 148 bytes from any offset of an item, whole or with edits, are found."""
+    rng = random.Random(3)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    item = text(70)
+    index = Index([(1, item)])
+    cases = []
+    for at in range(7, len(item) - 150, 33):
+        for size in (100, 110, 120, 148):
+            part = item[at : at + size]
+            cases.append(part)
+            near = list(part)
+            for i in rng.sample(range(len(near)), 5):
+                near[i] = "#9"[rng.randrange(2)] if near[i] != " " else "q"
+            cases.append("".join(near))
+    texts = [f"{text(12)} {c} {text(12)}" for c in cases]
+    found = find_in(texts, index)
+    assert [len(f) for f in found] == [1] * len(texts)
+    assert all(f[0][3] == 0 for f in found[::2]) and all(f[0][3] <= 10 for f in found)
+    assert not any(find_in([f"{text(12)} {item[a : a + 70]} {text(12)}" for a in range(0, 200, 7)], index))

@@ -97,7 +97,7 @@ def _redundant(members: DataFrame, shingle: int, least: float, group_texts: int,
         left = checked.where(~F.col("close")).drop("close")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, least: float = 0.8, max_bits: int = 8, pairs: int = 2, group_texts: int = GROUP_TEXTS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, least: float = 0.8, max_bits: int = 8, pairs: int = 6, group_texts: int = GROUP_TEXTS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """`docs` without copies: of equal texts, and of texts similar to one kept, the one of smallest doc_id stays.
 
     Similar: Jaccard similarity of word shingles of at least `least`. Candidates are texts connected through SimHash

@@ -450,3 +450,27 @@ def test_leaks_at_every_offset():
     assert [len(f) for f in found] == [1] * len(texts)
     assert all(f[0][3] == 0 for f in found[::2]) and all(f[0][3] <= 10 for f in found)
     assert not any(find_in([f"{text(12)} {item[a : a + 70]} {text(12)}" for a in range(0, 200, 7)], index))
+
+
+def test_near_duplicates_meet():
+    """Pairs of similarity 0.80 to 0.90 share a fingerprint within the bound, with the default number of fingerprints."""
+    import inspect
+
+    from citespark.llm.neardup import fingerprint_set
+
+    given = {k: p.default for k, p in inspect.signature(drop_near_duplicates).parameters.items()}
+    rng = random.Random(9)
+    met = {}
+    while sum(map(len, met.values())) < 240:
+        words = [str(rng.randrange(10**6)) for _ in range(200)]
+        near = list(words)
+        for i in rng.sample(range(200), rng.randrange(2, 6)):
+            near[i] = "x" + near[i]
+        a, b = " ".join(words), " ".join(near)
+        x, y = shingle_set(a, 5), shingle_set(b, 5)
+        alike = len(x & y) / len(x | y)
+        if 0.8 <= alike < 0.9:
+            prints = zip(fingerprint_set(a, 5, given["pairs"]), fingerprint_set(b, 5, given["pairs"]))
+            met.setdefault(int(alike * 50) / 50, []).append(any(((p ^ q) & (2**64 - 1)).bit_count() <= given["max_bits"] for p, q in prints))
+    print({k: (sum(v), len(v)) for k, v in sorted(met.items())})
+    assert all(sum(v) >= 0.96 * len(v) for v in met.values())

@@ -1,152 +1,139 @@
-"""Near-duplicate removal: SimHash candidates, groups checked by exact shingle similarity, first document stays."""
+"""Near-duplicate removal: SimHash candidates from a grid range-join, groups decided by exact shingle similarity."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citespark.llm.common import forget, store
 from citespark.llm.components import connected_components
-from citespark.llm.simhash import _CHUNK, links
-
-#: Candidate groups of at most so many texts and bytes are settled in one task; larger ones are first worn down leader by leader.
-GROUP_TEXTS, GROUP_BYTES = 2048, 32 << 20
-
-
-def _shingles(text: str | None, n: int) -> tuple[bytes, list[int], list[int]]:
-    words = (text or "").encode().lower().split()
-    joined = b" ".join(words)
-    if len(words) <= n:
-        return joined, [0], [len(joined)]
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    return joined, np.concatenate(([0], ends[:-n] + 1)).tolist(), ends[n - 1 :].tolist()
-
-
-def fingerprint_set(text: str | None, shingle: int, pairs: int) -> list[int]:
-    """2 * pairs independent 64-bit SimHash fingerprints of one text: the halves of XXH3-128 under `pairs` seeds."""
-    joined, starts, ends = _shingles(text, shingle)
-    out = []
-    for seed in range(pairs):
-        count = np.zeros(128, np.int64)
-        digest = xxhash.xxh3_128_digest
-        for at in range(0, len(starts), _CHUNK):
-            part = b"".join([digest(joined[a:b], seed) for a, b in zip(starts[at : at + _CHUNK], ends[at : at + _CHUNK])])
-            count += np.unpackbits(np.frombuffer(part, np.uint8).reshape(-1, 16), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out += np.packbits(count * 2 > len(starts), bitorder="little").view(np.int64).tolist()
-    return out
+from citespark.llm.shingles import codes, shingle_hashes
+from citespark.llm.simhash import code_links
 
+#: A block of a candidate group: at most about so many texts and bytes are settled at once. Larger groups go in several blocks, round by round.
+GROUP_TEXTS, GROUP_BYTES = 2048, 8 << 20
+#: Words of 64 bits of a text's code.
+WORDS = 5
+#: Codes of similar texts differ in about 15 % of their bits at similarity 0.8; beyond 30 % no two texts of MANY shingles are compared.
+FAR, MANY = int(0.3 * 64 * WORDS), 32
 
-def shingle_set(text: str | None, n: int) -> set[int]:
-    joined, starts, ends = _shingles(text, n)
-    return {xxhash.xxh3_64_intdigest(joined[a:b]) for a, b in zip(starts, ends)}
 
+def code_column(text, shingle: int, words: int = WORDS):
+    """The SimHash code (array of longs) of a text column."""
 
-def similar(a: set[int], b: set[int], least: float) -> bool:
-    """Whether the Jaccard similarity is at least `least`."""
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
-        return False
-    both = len(a & b)
-    return both >= least * (len(a) + len(b) - both)
+    @F.pandas_udf("array<long>")
+    def of(texts: pd.Series) -> pd.Series:
+        out = []
+        for at in range(0, len(texts), 1024):
+            out += list(codes(shingle_hashes(list(texts.iloc[at : at + 1024]), shingle), words).view(np.int64))
+        return pd.Series(out)
 
+    return of(text)
 
-def _redundant(members: DataFrame, shingle: int, least: float, group_texts: int, group_bytes: int) -> DataFrame:
-    """digest of each text of (root, digest, doc_id, text) that is similar to one kept before it in its group.
 
-    By doc_id, a text is kept unless it is similar to one kept. The first of a group is always
-    kept, so a group too large for one task is compared with its first text by a join that adaptive execution can split,
-    round by round, until what is left fits; both ways give the same texts.
-    """
+def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether the Jaccard similarity of two sorted sets of hashes is at least `least`."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) < least * len(b):
+        return False
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return both >= least * (len(a) + len(b) - both)
 
-    def settle(frame: pd.DataFrame) -> pd.DataFrame:
-        kept, gone = [], []
-        for digest, text in frame.sort_values(["doc_id", "digest"], na_position="last")[["digest", "text"]].itertuples(index=False):
-            own = shingle_set(text, shingle)
-            if any(similar(own, other, least) for other in kept):
-                gone.append(digest)
-            else:
-                kept.append(own)
-        return pd.DataFrame({"digest": pd.Series(gone, dtype=object)})
-
-    @F.pandas_udf("boolean")
-    def close(a: pd.Series, b: pd.Series) -> pd.Series:
-        cache: dict = {}  # a batch holds few different leaders
-        first = lambda t: cache[t] if t in cache else cache.setdefault(t, shingle_set(t, shingle)) if len(cache) < 8 else shingle_set(t, shingle)
-        return pd.Series([similar(shingle_set(x, shingle), first(y), least) for x, y in zip(a, b)])
-
-    gone = None
-    left = members
-    while True:
-        sizes = left.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-        sizes = store(sizes.withColumn("large", ((F.col("n") > group_texts) | (F.col("bytes") > group_bytes)) & (F.col("n") > 2)))
-        fits = left.join(sizes.where(~F.col("large") & (F.col("n") > 1)).select("root"), "root")
-        now = fits.groupBy("root").applyInPandas(settle, "digest string")
-        gone = now if gone is None else gone.unionByName(now)
-        if sizes.where("large").isEmpty():
-            return gone
-        big = left.join(sizes.where("large").select("root"), "root")
-        leader = big.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("k"))
-        leader = store(leader.select("root", F.col("k.digest").alias("first")).join(big.select(F.col("digest").alias("first"), F.col("text").alias("first_text")), "first"))
-        checked = store(
-            big.join(leader.select("root", "first", "first_text"), "root").where(F.col("digest") != F.col("first"))
-            .select("root", "digest", "doc_id", "text", close("text", "first_text").alias("close"))
-        )
-        gone = gone.unionByName(checked.where("close").select("digest"))
-        left = checked.where(~F.col("close")).drop("close")
-
-
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, least: float = 0.8, max_bits: int = 8, pairs: int = 6, group_texts: int = GROUP_TEXTS, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """`docs` without copies: of equal texts, and of texts similar to one kept, the one of smallest doc_id stays.
-
-    Similar: Jaccard similarity of word shingles of at least `least`. Candidates are texts connected through SimHash
-    fingerprints (2 * pairs independent ones) of at most `max_bits` different bits, found by the grid range-join
-    of popcount vectors; within such a group texts stand by doc_id, and one is kept unless it is similar to one kept.
-
-    Null and empty texts are one text. Null doc_ids come last. Rows that repeat doc_id and text leave one.
-    An empty table gives an empty result. All columns are kept; names that clash with working columns do no harm.
+
+def redundant(texts: list[str | None], shingle: int, least: float) -> np.ndarray:
+    """Which texts are similar to one before them that is not itself so."""
+    gone = np.zeros(len(texts), bool)
+    sets = shingle_hashes(texts, shingle)
+    code = codes(sets, WORDS)
+    size = np.array([len(s) for s in sets])
+    kept = np.zeros(len(texts), np.int64)
+    n = 0
+    for i in range(len(texts)):
+        before = kept[:n]
+        near = (np.minimum(size[before], size[i]) >= least * np.maximum(size[before], size[i])) & ((np.bitwise_count(code[before] ^ code[i]).sum(1) <= FAR) | (size[before] < MANY))
+        if any(similar(sets[i], sets[j], least) for j in before[near].tolist()):
+            gone[i] = True
+        else:
+            kept[n] = i
+            n += 1
+    return gone
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, least: float = 0.8, group_texts: int = GROUP_TEXTS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """`docs` without copies: of equal texts, and of texts similar to one before them, the one of smallest doc_id stays.
+
+    Similar: Jaccard similarity of the sets of word shingles of at least `least`. Candidates are texts connected through
+    SimHash codes that `code_links` finds (320 bits; at similarity 0.8 a pair meets with a probability of 0.99, above it with more). In a
+    candidate group texts stand by doc_id, and one goes if it is similar to one before it that stays. Groups above
+    `group_texts` texts or `group_bytes` are dealt into blocks by hash; what is left of each block meets in the next round, after
+    candidates were searched anew among all that is left, and pairs of blocks meet where a round wears nothing down. So
+    no two candidates that stay are similar, the first of a group stays, and none goes without a similar text before it.
+
+    Null and empty texts are one text. Null doc_ids come last. Rows that repeat doc_id and text leave one (any of them, where other
+    columns differ). An empty table gives an empty result. All columns are kept, whatever their names.
     """
     whole = F.coalesce(F.col("text"), F.lit(""))
-
-    @F.pandas_udf("array<long>")
-    def prints(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint_set(t, shingle, pairs) for t in texts])
-
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.encode(whole, "UTF-8")).alias("digest"), prints(whole).alias("fps"))
-    texts = store(narrow.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("fps").alias("fps")))
-    keyed = texts.select("digest", "doc_id", F.xxhash64("digest").alias("key"), "fps")
-    edges = None
-    for f in range(2 * pairs):
-        of = store(keyed.select("key", F.col("fps")[f].alias("fp")))
-        head = store(of.groupBy("fp").agg(F.min("key").alias("head")))
-        found = links(head.select("fp"), max_bits)
-        between = found.join(head.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(head.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-        same = of.join(head, "fp").where("key != head").select(F.col("key").alias("a"), F.col("head").alias("b"))
-        now = between.unionByName(same)
-        edges = now if edges is None else edges.unionByName(now)
-    groups = connected_components(edges)
-    members = store(keyed.join(groups, F.col("key") == F.col("node")).select("digest", "doc_id", "root"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("__id"), F.md5(F.encode(whole, "UTF-8")).alias("__digest"), whole.alias("text"))
-    with_text = store(
-        rows.join(members, (F.col("__digest") == F.col("digest")) & F.col("__id").eqNullSafe(F.col("doc_id")))
-        .select("root", "digest", "doc_id", "text").groupBy("digest").agg(F.first("root").alias("root"), F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    )
-    gone = _redundant(with_text, shingle, least, group_texts, group_bytes)
+    # the caller's columns travel in one struct, so that no name can clash
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.encode(whole, "UTF-8")).alias("digest"), whole.alias("text"))
+    coded = packed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("bytes"), code_column("text", shingle).alias("code"))
+    texts = store(coded.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bytes").alias("bytes"), F.first("code").alias("code")))
+    gone = _worn_down(packed, texts, shingle, least, group_texts, group_bytes)
     keep = store(texts.select("digest", "doc_id").join(gone, "digest", "left_anti"))
-    forget(with_text)
-    marked = docs.withColumn("__digest", F.md5(F.encode(whole, "UTF-8")))
-    stay = keep.select(F.col("digest").alias("__keep"), F.col("doc_id").alias("__id"))
-    left = marked.join(stay, (F.col("__digest") == F.col("__keep")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    forget(texts), forget(gone)
+    stay = keep.select(F.col("digest").alias("of"), F.col("doc_id").alias("id"))
+    left = packed.drop("text").join(stay, (F.col("digest") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     # rows that repeat both doc_id and text are rare: only they are shuffled once more
-    again = store(narrow_counts(docs, whole))
-    if again.isEmpty():
-        return left.select(*docs.columns)
-    twice = F.col("doc_id").cast("long").eqNullSafe(again["__i"]) & (F.col("__digest") == again["__d"])
-    return left.join(again, twice, "left_anti").unionByName(left.join(again, twice, "left_semi").dropDuplicates(["doc_id", "__digest"])).select(*docs.columns)
+    again = store(packed.groupBy("doc_id", "digest").count().where("count > 1").select(F.col("doc_id").alias("id"), F.col("digest").alias("of")))
+    if not again.isEmpty():
+        twice = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of"))
+        left = left.join(again, twice, "left_anti").unionByName(left.join(again, twice, "left_semi").groupBy("doc_id", "digest").agg(F.first("row").alias("row")))
+    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def _grouped(left: DataFrame) -> DataFrame:
+    """`left` (digest, doc_id, bytes, code) with the root of its candidate group, groups of one left out."""
+    nodes = store(left.groupBy(F.col("code")[0].alias("fp")).agg(F.first("code").alias("code"), F.count("*").alias("n")))
+    edges = store(code_links(nodes.select("fp", "code"), WORDS))
+    groups = connected_components(edges)
+    several = nodes.where("n > 1").select(F.col("fp").alias("node"), F.col("fp").alias("root"))
+    roots = groups.unionByName(several.join(groups, "node", "left_anti"))
+    out = store(left.join(roots, F.col("code")[0] == F.col("node")).select("root", "digest", "doc_id", "bytes", "code"))
+    forget(nodes), forget(edges)
+    return out
+
 
+def _worn_down(packed: DataFrame, texts: DataFrame, shingle: int, least: float, group_texts: int, group_bytes: int) -> DataFrame:
+    """digest of each text of (digest, doc_id, bytes, code) that goes."""
 
-def narrow_counts(docs: DataFrame, whole) -> DataFrame:
-    """(doc_id, digest) of rows that occur more than once."""
-    pairs = docs.select(F.col("doc_id").cast("long").alias("__i"), F.md5(F.encode(whole, "UTF-8")).alias("__d"))
-    return pairs.groupBy("__i", "__d").count().where("count > 1").select("__i", "__d")
+    def settle(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["doc_id", "digest"], na_position="last")
+        return pd.DataFrame({"digest": frame.digest[redundant(list(frame.text), shingle, least)]})
+
+    parts: list[DataFrame] = []
+    left, step, pairs, before = texts, 0, False, None
+    while True:
+        found = _grouped(left)
+        sizes = found.groupBy("root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+        blocks = F.greatest(F.ceil(F.col("n") / group_texts), F.ceil(F.col("bytes") / group_bytes), F.lit(1)).cast("long")
+        sizes = store(sizes.select("root", "n", F.when(F.col("n") == 1, 1).otherwise(blocks).alias("blocks")))
+        placed = found.join(sizes.where("n > 1"), "root").withColumn("block", F.pmod(F.xxhash64("digest", F.lit(step)), F.col("blocks")))
+        if pairs:  # every pair of blocks of a group that will not shrink
+            placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("with != block or blocks = 1")
+            placed = placed.withColumn("block", F.least("block", "with") * F.lit(1 << 24) + F.greatest("block", "with"))
+        wanted = placed.select("root", "block", F.col("digest").alias("of"), F.col("doc_id").alias("id"))
+        meet = packed.select("digest", "doc_id", "text").join(wanted, (F.col("digest") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
+        meet = meet.groupBy("root", "block", "digest", "doc_id").agg(F.first("text").alias("text"))
+        now = store(meet.groupBy("root", "block").applyInPandas(settle, "digest string").distinct())
+        parts.append(now)
+        large = store(found.join(sizes.where("blocks > 1").select("root"), "root").drop("root").join(now, "digest", "left_anti"))
+        count = large.count()
+        forget(found), forget(sizes)
+        if not count or pairs:
+            out = parts[0]
+            for p in parts[1:]:
+                out = out.unionByName(p)
+            return store(out)
+        left, step, pairs, before = large, step + 1, before is not None and count > 0.9 * before, count

@@ -60,53 +60,90 @@ def _cells(fps: DataFrame, max_bits: int) -> DataFrame:
     to those one step away, in each part.
     """
     parts = max_bits // 3 + 1
-    low = 0x5555555555555555
-    x = F.col("fp")
-    up = F.shiftrightunsigned(x, 1)
-    pop = F.shiftleft(x.bitwiseAND(up).bitwiseAND(F.lit(low)), 1).bitwiseOR(x.bitwiseXOR(up).bitwiseAND(F.lit(low)))
-    signed = lambda n: F.lit(int(np.uint64(n).view(np.int64)))
-    with_pop = fps.select("fp", pop.alias("pop"))
+    with_pop = fps.select("fp", _popcounts(F.col("fp")).alias("pop"))
     cells = []
     for p in range(parts):
-        fields = range(p * SEGMENTS // parts, (p + 1) * SEGMENTS // parts)
-        mine = F.col("pop").bitwiseAND(signed(sum(3 << 2 * f for f in fields)))
-        near = [mine]
-        for f in fields:
-            v = F.shiftrightunsigned(F.col("pop"), 2 * f).bitwiseAND(F.lit(3).cast("long"))
-            near.append(F.when(v < 2, mine.bitwiseXOR(signed(1 << 2 * f))))  # 0 to 1 and 1 to 0
-            near.append(F.when(v > 0, mine.bitwiseXOR(signed(3 << 2 * f))))  # 1 to 2 and 2 to 1
-        cells.append(F.struct(F.array_compact(F.array(*near)).alias("cells"), F.lit(p).cast("long").alias("tag")))
+        mine, near = _steps(F.col("pop"), range(p * SEGMENTS // parts, (p + 1) * SEGMENTS // parts))
+        cells.append(F.struct(F.array_compact(F.array(mine, *near)).alias("cells"), F.lit(p).cast("long").alias("tag")))
     by_part = with_pop.select("fp", F.explode(F.array(*cells)).alias("c"))
     return by_part.select(F.explode("c.cells").alias("cell"), F.col("c.tag").alias("tag"), "fp")
 
 
-_PAIR_SCHEMA = "kind byte, a long, b long, cell long, tag long"
+_LOW = 0x5555555555555555
+
+
+def _signed(n: int):
+    return F.lit(int(np.uint64(n).view(np.int64)))
+
+
+def _popcounts(x):
+    """The number of set bits of each two-bit segment, two bits each."""
+    up = F.shiftrightunsigned(x, 1)
+    return F.shiftleft(x.bitwiseAND(up).bitwiseAND(F.lit(_LOW)), 1).bitwiseOR(x.bitwiseXOR(up).bitwiseAND(F.lit(_LOW)))
+
+
+def _steps(pop, fields) -> tuple:
+    """The cell of a popcount vector's `fields`, and the cells one step away (null where a step leaves 0 .. 2)."""
+    mine = pop.bitwiseAND(_signed(sum(3 << 2 * f for f in fields)))
+    near = []
+    for f in fields:
+        v = F.shiftrightunsigned(pop, 2 * f).bitwiseAND(F.lit(3).cast("long"))
+        near.append(F.when(v < 2, mine.bitwiseXOR(_signed(1 << 2 * f))))  # 0 to 1 and 1 to 0
+        near.append(F.when(v > 0, mine.bitwiseXOR(_signed(3 << 2 * f))))  # 1 to 2 and 2 to 1
+    return mine, near
+
+
+def _code_cells(nodes: DataFrame, words: int, parts: int) -> DataFrame:
+    """Grid cells of codes (fp, code: array of `words` longs, fp the first): (cell, tag, fp, other).
+
+    Each word gives `parts` sub-vectors of popcounts. All go to their own cell, those of an odd sum to the cells one step
+    away as well (whose sums are even): so sub-vectors at Manhattan distance 1, and two odd ones at distance 2, share a
+    cell. `other` is the word that the cell is of, or the second for cells of the first.
+    """
+    pops = nodes.select("fp", *[F.col("code")[w].alias(f"w{w}") for w in range(words)])
+    cells = []
+    for w in range(words):
+        pop = _popcounts(F.col(f"w{w}"))
+        for p in range(parts):
+            fields = range(p * SEGMENTS // parts, (p + 1) * SEGMENTS // parts)
+            mine, near = _steps(pop, fields)
+            own = F.col(f"w{w}").bitwiseAND(_signed(sum(3 << 2 * f for f in fields)))
+            odd = F.bit_count(own) % 2 == 1  # the sum of the popcounts
+            cells.append(F.struct(F.when(odd, F.array_compact(F.array(mine, *near))).otherwise(F.array(mine)).alias("cells"), F.lit(w * parts + p).cast("long").alias("tag"), F.col(f"w{w or 1}").alias("other")))
+    by_part = pops.select("fp", F.explode(F.array(*cells)).alias("c"))
+    return by_part.select(F.explode("c.cells").alias("cell"), F.col("c.tag").alias("tag"), "fp", F.col("c.other").alias("other"))
+
+
+_PAIR_SCHEMA = "kind byte, a long, b long, cell long, tag long, other long"
 
 
 def _links(batches: Iterator[pa.RecordBatch], max_bits: int, bound: int) -> Iterator[pa.RecordBatch]:
-    """Links inside the groups of rows (cell, tag, fp) sorted by group: kind 0, a spanning forest of each chunk.
+    """Links inside the groups of rows (cell, tag, fp, and other if there is such) sorted by group: kind 0, a spanning forest of each chunk.
 
-    All pairs of a group are compared (blocks of numpy), but of links that join what is joined already
+    All pairs of a group are compared (blocks of numpy) by the bits of fp and other, but of links that join what is joined already
     none is returned. Members of a group above `bound` come back as kind 1 with b = block number.
     """
 
-    def record(kind, a, b, cell=None, tag=None):
+    def record(kind, a, b, cell=None, tag=None, other=None):
         n = len(a)
         none = np.zeros(n, np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, kind, np.int8)), *(pa.array(np.asarray(c if c is not None else none, np.int64)) for c in (a, b, cell, tag))],
-            names=["kind", "a", "b", "cell", "tag"],
+            [pa.array(np.full(n, kind, np.int8)), *(pa.array(np.asarray(c if c is not None else none, np.int64)) for c in (a, b, cell, tag, other))],
+            names=["kind", "a", "b", "cell", "tag", "other"],
         )
 
-    def compare(fp, size, pos):
+    def compare(fp, other, size, pos):
         values, index = np.unique(fp, return_inverse=True)
         parent = np.arange(len(values))
-        bits = fp.view(np.uint64)
+        bits, more = fp.view(np.uint64), other.view(np.uint64) if other is not None else None
         left = size - pos - 1  # members of the group that follow
         active = np.flatnonzero(left > 0)
         d, out_a, out_b = 1, [], []
         while len(active):
-            near = active[np.bitwise_count(bits[active] ^ bits[active + d]) <= max_bits]
+            differ = np.bitwise_count(bits[active] ^ bits[active + d])
+            if more is not None:
+                differ = differ + np.bitwise_count(more[active] ^ more[active + d])
+            near = active[differ <= max_bits]
             if len(near):
                 i, j = index[near], index[near + d]
                 new = parent[i] != parent[j]
@@ -133,47 +170,51 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int, bound: int) -> Iter
         sizes = np.diff(np.append(starts, len(cell)))
         return starts, sizes
 
-    def done(cell, tag, fp):
+    def done(cell, tag, fp, other):
         starts, sizes = groups(cell, tag)
         size = np.repeat(sizes, sizes)
         pos = np.arange(len(cell)) - np.repeat(starts, sizes)
         large = size > bound
         if large.any():
-            yield record(1, fp[large], pos[large] // bound, cell[large], tag[large])
+            yield record(1, fp[large], pos[large] // bound, cell[large], tag[large], other[large] if other is not None else None)
         keep = (size > 1) & ~large
-        if keep.any() and (r := compare(fp[keep], size[keep], pos[keep])) is not None:
+        if keep.any() and (r := compare(fp[keep], other[keep] if other is not None else None, size[keep], pos[keep])) is not None:
             yield r
 
     held: list[tuple] = []
     n_held, open_key, open_at = 0, None, 0
+    cut = lambda arrays, part: tuple(x[part] if x is not None else None for x in arrays)
+    joined = lambda: tuple(np.concatenate(x) if x[0] is not None else None for x in zip(*held))
     for batch in batches:
-        cell, tag, fp = (batch.column(i).to_numpy() for i in range(3))
+        rows = tuple(batch.column(i).to_numpy() for i in range(batch.num_columns)) + (None,) * (4 - batch.num_columns)
         if open_key is not None:  # more of a large group that was cut off
-            same = int(((cell == open_key[0]) & (tag == open_key[1])).sum())
+            same = int(((rows[0] == open_key[0]) & (rows[1] == open_key[1])).sum())
             if same:
-                yield record(1, fp[:same], (open_at + np.arange(same)) // bound, cell[:same], tag[:same])
+                cell, tag, fp, other = cut(rows, slice(same))
+                yield record(1, fp, (open_at + np.arange(same)) // bound, cell, tag, other)
                 open_at += same
-                cell, tag, fp = cell[same:], tag[same:], fp[same:]
-            if len(cell):
+                rows = cut(rows, slice(same, None))
+            if len(rows[0]):
                 open_key = None
-        if not len(cell):
+        if not len(rows[0]):
             continue
-        held.append((cell, tag, fp))
-        n_held += len(cell)
+        held.append(rows)
+        n_held += len(rows[0])
         if n_held < _CHUNK:
             continue
-        cell, tag, fp = (np.concatenate(x) for x in zip(*held))
-        starts, sizes = groups(cell, tag)
+        rows = joined()
+        starts, sizes = groups(*rows[:2])
         last = starts[-1]
         if last:
-            yield from done(cell[:last], tag[:last], fp[:last])
-        cell, tag, fp = cell[last:], tag[last:], fp[last:]
-        held, n_held = [(cell, tag, fp)], len(cell)
+            yield from done(*cut(rows, slice(last)))
+        rows = cut(rows, slice(last, None))
+        held, n_held = [rows], len(rows[0])
         if n_held > bound:
-            yield record(1, fp, np.arange(n_held) // bound, cell, tag)
+            cell, tag, fp, other = rows
+            yield record(1, fp, np.arange(n_held) // bound, cell, tag, other)
             open_key, open_at, held, n_held = (cell[0], tag[0]), n_held, [], 0
     if n_held:
-        yield from done(*(np.concatenate(x) for x in zip(*held)))
+        yield from done(*joined())
 
 
 def links(fps: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFrame:
@@ -181,24 +222,36 @@ def links(fps: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFrame:
 
     Not all pairs: enough that what is connected through pairs is connected through links.
     """
-    cells = _cells(fps, max_bits)
+    return _linked(_cells(fps, max_bits), max_bits, block)
+
+
+def code_links(nodes: DataFrame, words: int = 5, parts: int = 3, max_bits: int = 28, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between codes (fp, code): enough that what is connected through pairs is connected through links.
+
+    Pairs are those that share a grid cell (see `_code_cells`) and differ in at most `max_bits` of the 128 bits compared there.
+    All pairs of codes that differ in at most 2 * words * parts - 1 bits in all share a cell.
+    """
+    return _linked(_code_cells(nodes, words, parts), max_bits, block)
+
 
+def _linked(cells: DataFrame, max_bits: int, block: int) -> DataFrame:
     def small(batches):
         return _links(batches, max_bits, block)
 
     def blocks(batches):
         return _links(batches, max_bits, 1 << 62)
 
+    more = [c for c in ("other",) if c in cells.columns]
     found = store(cells.repartition("cell", "tag").sortWithinPartitions("cell", "tag", "fp").mapInArrow(small, _PAIR_SCHEMA))
     edges = found.where("kind = 0").select("a", "b")
-    large = found.where("kind = 1").select("cell", "tag", F.col("a").alias("fp"), F.col("b").alias("block"))
+    large = found.where("kind = 1").select("cell", "tag", F.col("a").alias("fp"), F.col("b").alias("block"), *more)
     count = large.groupBy("cell", "tag").agg((F.max("block") + 1).alias("n"))
     # every pair of blocks of a large cell is a task's group of its own, of two blocks at most
-    each = large.join(count, ["cell", "tag"]).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).where("other != block or n = 1")
-    pair = F.least("block", "other") * F.lit(1 << 24) + F.greatest("block", "other")
-    paired = each.select("cell", (F.col("tag") + pair * 64).alias("tag"), "fp")
-    more = paired.repartition("cell", "tag").sortWithinPartitions("cell", "tag", "fp").mapInArrow(blocks, _PAIR_SCHEMA)
-    return edges.unionByName(more.select("a", "b"))
+    each = large.join(count, ["cell", "tag"]).withColumn("other_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).where("other_block != block or n = 1")
+    pair = F.least("block", "other_block") * F.lit(1 << 24) + F.greatest("block", "other_block")
+    paired = each.select("cell", (F.col("tag") + pair * 64).alias("tag"), "fp", *more)
+    again = paired.repartition("cell", "tag").sortWithinPartitions("cell", "tag", "fp").mapInArrow(blocks, _PAIR_SCHEMA)
+    return edges.unionByName(again.select("a", "b"))
 
 
 def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, block: int = BLOCK) -> DataFrame:

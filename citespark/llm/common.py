@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_LOCAL: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); one of our own only where none is set."""
+    """The folder that the cluster shares (spark.checkpoint.dir); one of our own only where none is set and all runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="citespark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not _LOCAL:
+            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="citespark-"))
+        found = _LOCAL[0]
     return found.rstrip("/")
 
 
@@ -74,6 +80,16 @@ def running_totals(df: DataFrame, group: list[str], order: list[str], values: di
     return out.select(*df.columns, *[(F.col(f"__l_{v}") + F.col(f"__o_{v}")).cast("long").alias(name) for v, name in values.items()])
 
 
+def packed(docs: DataFrame, **columns) -> DataFrame:
+    """`docs` as one struct column `row`, so that none of its names clashes with the working `columns` (expressions over `docs`)."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])
+
+
+def unpacked(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The columns that `packed` put away."""
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in names])
+
+
 def word_count(text):
     """Number of words of a string column; null and blank texts have none."""
     blank = " \t\n\x0b\x0c\r"

@@ -2,33 +2,47 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import re
+import sys
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citespark.llm.common import forget, packed, store, unpacked
+
 Q = 8
 #: A leak is a window of so many normalised bytes of an item (the whole item, if shorter) with at most one edit per TEN of them.
 WINDOW, STRIDE, TEN = 100, 50, 10
 #: Diagonals step from band to band; a band is twice as wide, so any BAND + 1 neighbouring diagonals lie in one.
 BAND = WINDOW // TEN
-#: Bytes of text scanned at once, and benchmark characters indexed at once (more go in further passes).
-CHUNK, INDEX_CHARS = 1 << 21, 32_000_000
+#: Bytes of text scanned at once, shared q-grams looked at at once, and benchmark characters indexed at once (more go in further passes).
+CHUNK, HITS, INDEX_CHARS = 1 << 21, 1 << 21, 4_000_000
+#: Bytes that neighbouring parts of a long text share: more than any window within its budget covers.
+OVERLAP = 2 * WINDOW + 4 * BAND + Q
 _GAP = b"\0" * 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_BLOOM, _BUCKETS = 23, 20
+_SLOTS, _BUCKETS = 22, 20
 
 #: ASCII letters in lower case, digits and other bytes as they are, all else a blank.
 _TABLE = bytes(c if c >= 0x80 or c == 0 else ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(256))
 
 
+#: Lower case of single code points, where it has as many bytes; the others stay as they are.
+_FOLD = {i: low for i in range(128, sys.maxunicode + 1) if (low := chr(i).lower()) != chr(i) and len(low.encode()) == len(chr(i).encode())} | {i: chr(i).lower() for i in range(65, 91)}
+#: Those that whole strings fold otherwise: by neighbours, or to another length.
+_ODD = re.compile("[" + "".join(map(re.escape, ["Σ", *(chr(i) for i in range(128, sys.maxunicode + 1) if i not in _FOLD and not 0xD800 <= i < 0xE000 and chr(i).lower() != chr(i))])) + "]")
+
+
 def _bytes(text: str) -> bytes:
-    """UTF-8 of the lower-cased text, of the length of the text's own UTF-8; ASCII punctuation and controls become blanks."""
+    """UTF-8 of the text, lower case code point by code point where that keeps the length; ASCII punctuation and controls become blanks."""
     own = text.encode()
-    low = own.lower() if own.isascii() else text.lower().encode()
-    return (low if len(low) == len(own) else own).replace(b"\0", b" ").translate(_TABLE)
+    if own.isascii():
+        low = own.lower()
+    else:
+        low = (text.translate(_FOLD) if _ODD.search(text) else text.lower()).encode()
+    return low.replace(b"\0", b" ").translate(_TABLE)
 
 
 def _collapse(joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,10 +92,22 @@ class Index:
         order = np.argsort(keys, kind="stable")
         self.keys, first = np.unique(keys[order], return_index=True)
         self.ends = np.append(first, len(keys)).astype(np.int64)
-        self.win = (np.concatenate(post_win)[order] if post_win else np.zeros(0)).astype(np.int64)
-        self.at = (np.concatenate(post_at)[order] if post_at else np.zeros(0)).astype(np.int64)
-        self.bloom = np.zeros(1 << _BLOOM, bool)
-        self.bloom[(self.keys * _MIX) >> np.uint64(64 - _BLOOM)] = True
+        self.win = (np.concatenate(post_win)[order] if post_win else np.zeros(0)).astype(np.int32)
+        self.at = (np.concatenate(post_at)[order] if post_at else np.zeros(0)).astype(np.int32)
+        # a hash table of one key per slot; the few keys that share a slot are searched for
+        self.slots = np.full(1 << _SLOTS, -1, np.int32)
+        self.slots[(self.keys * _MIX) >> np.uint64(64 - _SLOTS)] = np.arange(len(self.keys))
+
+    def lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of keys that are indexed, and their numbers."""
+        j = self.slots[(keys * _MIX) >> np.uint64(64 - _SLOTS)]
+        hits = np.flatnonzero(j >= 0)
+        j = j[hits]
+        other = np.flatnonzero(self.keys[j] != keys[hits])
+        j[other] = np.minimum(np.searchsorted(self.keys, keys[hits[other]]), len(self.keys) - 1)
+        real = np.ones(len(hits), bool)
+        real[other] = self.keys[j[other]] == keys[hits[other]]
+        return hits[real], j[real]
 
 
 def _distances(data: np.ndarray, patterns: np.ndarray, low: np.ndarray, width: int, fixed: bool = False) -> np.ndarray:
@@ -90,68 +116,82 @@ def _distances(data: np.ndarray, patterns: np.ndarray, low: np.ndarray, width: i
     Text before and after is free, unless `fixed`: then the text begins at diagonal 0 of `low`.
     """
     n, m = patterns.shape
-    step = np.arange(width, dtype=np.int32)
-    rows = np.zeros((n, width), np.int32) if not fixed else np.broadcast_to(step, (n, width)).copy()
-    where = low[:, None] + step
-    big = np.int32(1 << 20)
+    at = low[:, None] + np.arange(m + width - 1)
+    text = np.ascontiguousarray(np.where((at >= 0) & (at < len(data)), data[np.clip(at, 0, len(data) - 1)], 0).T)
+    pattern = np.ascontiguousarray(patterns.T)
+    step = np.arange(width, dtype=np.int16)[:, None]
+    rows = np.zeros((width, n), np.int16) if not fixed else np.repeat(step, n, axis=1)
     for i in range(m):
-        at = where + i
-        text = np.where((at >= 0) & (at < len(data)), data[np.clip(at, 0, len(data) - 1)], 0)
-        best = rows + (text != patterns[:, i, None])
-        best[:, :-1] = np.minimum(best[:, :-1], rows[:, 1:] + 1)
-        rows = np.minimum.accumulate(best - step, axis=1) + step
-        np.minimum(rows, big, out=rows)
-    return rows
+        best = rows + (text[i : i + width] != pattern[i])
+        np.minimum(best[:-1], rows[1:] + 1, out=best[:-1])
+        best -= step
+        np.minimum.accumulate(best, axis=0, out=best)
+        best += step
+        rows = best
+    return rows.T
 
 
 def _scan(data: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
     """(window, first byte, end, edits) of the regions of collapsed bytes that hold a window within its budget."""
-    keys = _keys(data)
-    hits = np.flatnonzero(index.bloom[(keys * _MIX) >> np.uint64(64 - _BLOOM)])
-    if not len(hits) or not len(index.keys):
-        return []
-    j = np.minimum(np.searchsorted(index.keys, keys[hits]), len(index.keys) - 1)
-    real = index.keys[j] == keys[hits]
-    hits, j = hits[real], j[real]
+    hits, j = index.lookup(_keys(data))
     n = index.ends[j + 1] - index.ends[j]
     total = int(n.sum())
+    if total > HITS and len(data) > 4 * OVERLAP:  # q-grams of many windows: half the text at a time
+        half = len(data) // 2
+        right = _scan(data[half:], index)
+        return _scan(data[: half + OVERLAP], index) + [(w, a + half, e + half, x) for w, a, e, x in right]
     if not total:
         return []
     which = np.repeat(index.ends[j] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(total)
-    win = index.win[which]
-    band = (np.repeat(hits, n) - index.at[which] + 4 * WINDOW) // BAND
-    place, diagonal = index.at[which], np.repeat(hits, n) - index.at[which]
-    found = []
-    for shift in (0, 1):  # each diagonal lies in two overlapping bands
-        key = (win << 32) + band - shift
-        slot = ((key.view(np.uint64) * _MIX) >> np.uint64(64 - _BUCKETS)).astype(np.int64)
-        dense = np.bincount(slot, minlength=1 << _BUCKETS)[slot] >= index.need[win]
-        if dense.any():
-            k, c = np.unique(key[dense], return_counts=True)
-            found.append(k[c >= index.need[k >> 32]])
-    if not found:
+    win, place = index.win[which], index.at[which]
+    diagonal = np.repeat(hits.astype(np.int32), n) - place
+    band = (diagonal + np.int32(4 * WINDOW)) // np.int32(BAND)
+    # hits by window and narrow band, hashed; two neighbours make a band, and each diagonal lies in two of these
+    slot = (win * np.int32(40_503) + band) & np.int32((1 << _BUCKETS) - 1)
+    count = np.bincount(slot, minlength=1 << _BUCKETS)
+    both = count + np.roll(count, -1)
+    dense = np.flatnonzero(np.maximum(both, np.roll(both, 1))[slot] >= index.need[win])
+    if not len(dense):
         return []
+    win, band, place, diagonal = (x[dense].astype(np.int64) for x in (win, band, place, diagonal))
+    found = []
+    for shift in (0, 1):
+        k, c = np.unique((win << 32) + band - shift, return_counts=True)
+        found.append(k[c >= index.need[k >> 32]])
     every = np.unique(np.concatenate(found))
+    if not len(every):
+        return []
+    # the hits of each candidate, side by side
+    of, spot, line = [], [], []
+    for shift in (0, 1):
+        key = (win << 32) + band - shift
+        c = np.minimum(np.searchsorted(every, key), len(every) - 1)
+        mine = np.flatnonzero(every[c] == key)
+        of.append(c[mine]), spot.append(place[mine]), line.append(diagonal[mine])
+    of, spot, line = (np.concatenate(x) for x in (of, spot, line))
+    order = np.argsort(of, kind="stable")
+    of, spot, line = of[order], spot[order], line[order]
     out = []
     for at in range(0, len(every), 2048):
-        out += _verify(data, index, every[at : at + 2048], win, band, place, diagonal)
+        some = slice(*np.searchsorted(of, (at, at + 2048)))
+        out += _verify(data, index, every[at : at + 2048], of[some] - at, spot[some], line[some])
     return out
 
 
-def _verify(data: np.ndarray, index: Index, cand: np.ndarray, win: np.ndarray, band: np.ndarray, place: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """The windows, at every offset, of candidate segments and bands (sorted keys) that are within their budget: as _scan."""
+def _verify(data: np.ndarray, index: Index, cand: np.ndarray, of: np.ndarray, place: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """The windows, at every offset, of candidate segments and bands (sorted keys) that are within their budget: as _scan.
+
+    Hit k of candidate of[k] is the segment's q-gram at place[k], found on diagonal[k].
+    """
     seg, low = cand >> 32, (cand & 0xFFFFFFFF) * BAND - 4 * WINDOW
     span = WINDOW + STRIDE
-    shared = np.zeros((len(cand), span), np.int64)
-    diagonals = np.zeros((len(cand), 2 * BAND), np.int64)
-    for shift in (0, 1):
-        key = (win << 32) + band - shift
-        c = np.minimum(np.searchsorted(cand, key), len(cand) - 1)
-        mine = cand[c] == key
-        c = c[mine]
-        shared += np.bincount(c * span + place[mine], minlength=shared.size).reshape(shared.shape)
-        diagonals += np.bincount(c * 2 * BAND + diagonal[mine] - low[c], minlength=diagonals.size).reshape(diagonals.shape)
+    shared = np.bincount(of * span + place, minlength=len(cand) * span).reshape(-1, span)
+    diagonals = np.bincount(of * 2 * BAND + diagonal - low[of], minlength=len(cand) * 2 * BAND).reshape(-1, 2 * BAND)
     upto = np.concatenate((np.zeros((len(cand), 1), np.int64), np.cumsum(shared, 1)), 1)
+    # the next place from each on whose q-gram is not shared
+    lost = np.full((len(cand), span + Q + 1), 4 * span, np.int64)
+    lost[:, :span] = np.where(shared == 0, np.arange(span), 4 * span)
+    lost = np.minimum.accumulate(lost[:, ::-1], axis=1)[:, ::-1]
     lengths = index.size[seg]
     top = low + diagonals.argmax(1)
     out = []
@@ -162,6 +202,15 @@ def _verify(data: np.ndarray, index: Index, cand: np.ndarray, win: np.ndarray, b
         grams = upto[own][:, offsets + int(m) - Q + 1] - upto[own][:, offsets]
         inside = offsets + m <= np.array([len(index.texts[w]) for w in seg[own]])[:, None]
         row, offset = np.nonzero((grams >= index.need[seg[own], None]) & inside)
+        # every q-gram that is not shared holds an edit: so many edits, Q bytes apart, are needed at least
+        need, last = np.zeros(len(row), np.int64), offset + int(m) - Q
+        at = lost[own[row], offset]
+        for _ in range(int(m) // TEN + 1):
+            going = at <= last
+            need += going
+            at = np.where(going, lost[own[row], np.minimum(at + Q, span + Q)], at)
+        few = need <= index.edits[seg[own[row]]]
+        row, offset = row[few], offset[few]
         these = own[row]
         # unchanged copies on the densest diagonal need no alignment
         for at in range(0, len(these), 2048):
@@ -214,7 +263,6 @@ def _start(flipped: np.ndarray, pattern: np.ndarray, at: int, edits: int) -> int
 def find_in(texts: list[str | None], index: Index) -> list[list[tuple[int, int, int, int]]]:
     """For each text its matches (item, start, end, edits), one per item: first to last code point covered, fewest edits."""
     out: list[dict] = [{} for _ in texts]
-    overlap = 2 * WINDOW + 4 * BAND + Q
 
     def flush(parts: list[tuple[int, int, bytes]]):
         joined = np.frombuffer(_GAP.join([b"", *(p[2] for p in parts), b""]), np.uint8)
@@ -233,8 +281,8 @@ def find_in(texts: list[str | None], index: Index) -> list[list[tuple[int, int,
     parts, size = [], 0
     for number, text in enumerate(texts):
         data = _bytes(text) if text else b""
-        for at in range(0, max(len(data) - overlap, 1), CHUNK):
-            piece = data[at : at + CHUNK + overlap]
+        for at in range(0, max(len(data) - OVERLAP, 1), CHUNK):
+            piece = data[at : at + CHUNK + OVERLAP]
             if not piece:
                 continue
             parts.append((number, at, piece))
@@ -261,39 +309,60 @@ def _indexes(benchmark: DataFrame, limit: int):
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // limit))
     for b in range(blocks):
-        yield Index([(r[0], r[1]) for r in rows.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()])
+        yield blocks, Index([(r[0], r[1]) for r in rows.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", into: str = "leaks", limit: int = INDEX_CHARS) -> DataFrame:
-    """`docs` with a column of its matches: array of (item_id, start, end, edits), empty for clean documents."""
-    kind = "array<struct<item_id:long,start:int,end:int,edits:int>>"
+_LEAKS = "array<struct<item_id:long,start:int,end:int,edits:int>>"
 
-    def finder(index: Index):
-        shared = docs.sparkSession.sparkContext.broadcast(index)  # of `limit` characters at most
 
-        @F.pandas_udf(kind)
+def _with_leaks(rows: DataFrame, benchmark: DataFrame, limit: int) -> DataFrame:
+    """(row, leaks) of (row, text): one match for each item found. One index at a time is alive; of several, each adds its matches in a pass."""
+    spark = rows.sparkSession
+
+    def finder(shared):
+        @F.pandas_udf(_LEAKS)
         def of(texts: pd.Series) -> pd.Series:
             names = ("item_id", "start", "end", "edits")
             return pd.Series([[dict(zip(names, m)) for m in row] for row in find_in(list(texts), shared.value)])
 
-        return of
-
-    columns = [finder(index)(text) for index in _indexes(benchmark, limit)]
-    found = columns[0] if len(columns) == 1 else F.array_sort(F.concat(*columns))
-    return docs.select("*", found.alias(into))
+        return of("text")
+
+    now = rows.withColumn("leaks", F.array().cast(_LEAKS))
+    for blocks, index in _indexes(benchmark, limit):
+        shared = spark.sparkContext.broadcast(index)  # of `limit` characters at most
+        if blocks == 1:
+            return rows.select("row", finder(shared).alias("leaks"))
+        before = now
+        now = store(now.select("row", "text", F.concat("leaks", finder(shared)).alias("leaks")))
+        forget(before)
+        shared.destroy()
+    # an item's texts may lie in several indexes
+    own = lambda i, f: F.transform(F.filter("leaks", lambda x: x["item_id"] == i), lambda x: x[f])
+    merged = F.transform(
+        F.array_sort(F.array_distinct(F.transform("leaks", lambda x: x["item_id"]))),
+        lambda i: F.struct(i.alias("item_id"), F.array_min(own(i, "start")).alias("start"), F.array_max(own(i, "end")).alias("end"), F.array_min(own(i, "edits")).alias("edits")),
+    )
+    return now.select("row", merged.alias("leaks"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, limit: int = INDEX_CHARS) -> DataFrame:
     """Documents of (doc_id, text) that hold passages of benchmark (item_id, text): doc_id, item_id, start, end, edits.
 
     A row for each document and item of which a window of WINDOW normalised bytes (the whole item, if shorter) occurs
-    with at most one edit per TEN bytes. Normalised: lower case, ASCII punctuation and blanks as one blank. By the q-gram lemma
-    such a region shares at least window - Q + 1 - edits * Q q-grams within neighbouring diagonals, so counting
-    over overlapping diagonal bands loses none; banded alignment then decides. start and end (exclusive) are code points of the text,
-    from the first to the last window found; edits is the fewest of a window.
+    with at most one edit per TEN bytes. Normalised: lower case (code points whose lower case has another number of bytes stay),
+    ASCII punctuation and blanks as one blank. By the q-gram lemma such a region shares at least window - Q + 1 - edits * Q
+    q-grams within neighbouring diagonals, so counting over overlapping diagonal bands loses none; banded alignment then
+    decides. start and end (exclusive) are code points of the text, from the first to the last window found; edits is the fewest
+    of a window. The result is the same whatever `limit`, the characters indexed at once.
 
     Null and empty texts and null items match nothing, nor do items of under Q normalised bytes. Repeated items count once,
-    repeated documents come back each. Empty tables give an empty result; other columns are ignored.
+    several texts of one item_id are one item, repeated documents come back each. Empty tables give an empty result; other columns are ignored.
     """
-    rows = contamination(docs.select("doc_id", "text"), benchmark, limit=limit)
-    return rows.select("doc_id", F.explode("leaks").alias("m")).select("doc_id", "m.item_id", "m.start", "m.end", "m.edits")
+    rows = _with_leaks(docs.select(F.struct("doc_id").alias("row"), "text"), benchmark, limit)
+    return rows.select("row.doc_id", F.explode("leaks").alias("m")).select("doc_id", "m.item_id", "m.start", "m.end", "m.edits")
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, limit: int = INDEX_CHARS) -> DataFrame:
+    """`docs` without the rows in which `find_leaks` finds something; all columns are kept, whatever their names."""
+    clean = _with_leaks(packed(docs, text=F.col("text")), benchmark, limit).where(F.size("leaks") == 0)
+    return unpacked(clean, docs.columns)

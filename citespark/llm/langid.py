@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citespark.llm.common import store
+from citespark.llm.common import packed, store, unpacked
 
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -239,3 +239,14 @@ def language_id(docs: DataFrame, **bounds) -> DataFrame:
     model = fit(docs.where(~held_out()), **bounds)
     rows = docs.select("doc_id", held_out().alias("held_out"), predict(docs, model).alias("p"))
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score", "p.evidence")
+
+
+def drop_unknown(docs: DataFrame, evidence: float = 0.5, **bounds) -> DataFrame:
+    """`docs` without texts in no language that their own labels teach: 'und' ones, and those with a share of words of evidence below `evidence`.
+
+    Learned from all rows with text and lang. Null, empty and letterless texts go; repeated rows are judged alike; with nothing
+    to learn from all go. An empty table gives an empty result. All columns are kept, whatever their names.
+    """
+    model = fit(docs, **bounds)
+    rows = packed(docs, text=F.col("text")).withColumn("found", predict(docs, model))
+    return unpacked(rows.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.evidence") >= evidence)), docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citespark.llm.common import running_totals, store, word_count
+from citespark.llm.common import packed, running_totals, store, unpacked, word_count
 
 
 def source_targets(sized: DataFrame, weights=(1, 2, 3), cap: int = 3) -> DataFrame:
@@ -66,3 +66,18 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, seed: str = "mix", car
     rest = F.col("budget") - F.col("epochs") * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     return placed.select("doc_id", "source", "size", "source_size", "target", *(carry or {}), (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, seed: str = "mix") -> DataFrame:
+    """Every row of `docs` as often as `mix` takes it, a part counting as a whole; those of which it takes no word go.
+
+    Rows that repeat doc_id and text share what was taken of them. Nulls as in `mix`. An empty table gives an empty result. All
+    columns are kept, whatever their names.
+    """
+    digest = F.md5(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8"))
+    taken = mix(docs.select("doc_id", "text", "source"), weights, cap, seed, carry={"digest": digest})
+    times = F.ceil(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int")
+    per = store(taken.groupBy("doc_id", "digest").agg(times.alias("times")).where("times > 0").withColumnsRenamed({"doc_id": "id", "digest": "of"}))
+    rows = packed(docs, doc_id=F.col("doc_id"), digest=digest)
+    joined = rows.join(per, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")))
+    return unpacked(joined.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("times")))), docs.columns)

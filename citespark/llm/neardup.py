@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citespark.llm.common import forget, store
+from citespark.llm.common import forget, packed, store, unpacked
 from citespark.llm.components import connected_components
 from citespark.llm.shingles import codes, shingle_hashes
 from citespark.llm.simhash import code_links
@@ -76,21 +76,20 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, least: float = 0.8,
     columns differ). An empty table gives an empty result. All columns are kept, whatever their names.
     """
     whole = F.coalesce(F.col("text"), F.lit(""))
-    # the caller's columns travel in one struct, so that no name can clash
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.encode(whole, "UTF-8")).alias("digest"), whole.alias("text"))
-    coded = packed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("bytes"), code_column("text", shingle).alias("code"))
+    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), digest=F.md5(F.encode(whole, "UTF-8")), text=whole)
+    coded = rows.select("doc_id", "digest", F.octet_length("text").cast("long").alias("bytes"), code_column("text", shingle).alias("code"))
     texts = store(coded.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bytes").alias("bytes"), F.first("code").alias("code")))
-    gone = _worn_down(packed, texts, shingle, least, group_texts, group_bytes)
+    gone = _worn_down(rows, texts, shingle, least, group_texts, group_bytes)
     keep = store(texts.select("digest", "doc_id").join(gone, "digest", "left_anti"))
     forget(texts), forget(gone)
     stay = keep.select(F.col("digest").alias("of"), F.col("doc_id").alias("id"))
-    left = packed.drop("text").join(stay, (F.col("digest") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    left = rows.drop("text").join(stay, (F.col("digest") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     # rows that repeat both doc_id and text are rare: only they are shuffled once more
-    again = store(packed.groupBy("doc_id", "digest").count().where("count > 1").select(F.col("doc_id").alias("id"), F.col("digest").alias("of")))
+    again = store(rows.groupBy("doc_id", "digest").count().where("count > 1").select(F.col("doc_id").alias("id"), F.col("digest").alias("of")))
     if not again.isEmpty():
         twice = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of"))
         left = left.join(again, twice, "left_anti").unionByName(left.join(again, twice, "left_semi").groupBy("doc_id", "digest").agg(F.first("row").alias("row")))
-    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return unpacked(left, docs.columns)
 
 
 def _grouped(left: DataFrame) -> DataFrame:
@@ -105,7 +104,7 @@ def _grouped(left: DataFrame) -> DataFrame:
     return out
 
 
-def _worn_down(packed: DataFrame, texts: DataFrame, shingle: int, least: float, group_texts: int, group_bytes: int) -> DataFrame:
+def _worn_down(rows: DataFrame, texts: DataFrame, shingle: int, least: float, group_texts: int, group_bytes: int) -> DataFrame:
     """digest of each text of (digest, doc_id, bytes, code) that goes."""
 
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
@@ -124,7 +123,7 @@ def _worn_down(packed: DataFrame, texts: DataFrame, shingle: int, least: float,
             placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("with != block or blocks = 1")
             placed = placed.withColumn("block", F.least("block", "with") * F.lit(1 << 24) + F.greatest("block", "with"))
         wanted = placed.select("root", "block", F.col("digest").alias("of"), F.col("doc_id").alias("id"))
-        meet = packed.select("digest", "doc_id", "text").join(wanted, (F.col("digest") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
+        meet = rows.select("digest", "doc_id", "text").join(wanted, (F.col("digest") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
         meet = meet.groupBy("root", "block", "digest", "doc_id").agg(F.first("text").alias("text"))
         now = store(meet.groupBy("root", "block").applyInPandas(settle, "digest string").distinct())
         parts.append(now)

@@ -505,3 +505,78 @@ def test_shingle_hashes_and_codes():
                         assert int(code[w]) >> b & 1 == (2 * n + int(tie[64 * w + b]) > len(s))
     finally:
         shingles.PART, shingles.SLICE = keep
+
+
+def _leaks_by_brute_force(texts, items):
+    """(doc, item): fewest edits of any window of an item, by a plain alignment of every window with every text."""
+    def normal(t):
+        return re.sub(rb" +", b" ", bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in (t or "").encode().lower())).strip()
+
+    out = {}
+    for d, text in enumerate(texts):
+        data = np.frombuffer(normal(text), np.uint8)
+        for item, passage in items:
+            p = np.frombuffer(normal(passage), np.uint8)
+            if len(p) < 8 or not len(data):
+                continue
+            m = min(len(p), 100)
+            budget = min(m // 10, (m - 8) // 8)
+            windows = np.stack([p[i : i + m] for i in range(len(p) - m + 1)])
+            rows = np.repeat(np.arange(m + 1)[None, :], len(windows), 0)  # edits of each prefix, text ends anywhere
+            best = rows[:, m].copy()
+            for c in data:
+                new = np.zeros_like(rows)
+                for i in range(1, m + 1):
+                    new[:, i] = np.minimum(np.minimum(rows[:, i - 1] + (windows[:, i - 1] != c), rows[:, i] + 1), new[:, i - 1] + 1)
+                rows = new
+                best = np.minimum(best, rows[:, m])
+            if best.min() <= budget:
+                out[d, item] = min(out.get((d, item), 99), int(best.min()))
+    return out
+
+
+@pytest.mark.parametrize("hits", [1 << 21, 100])
+def test_leaks_by_brute_force(spark, monkeypatch, hits):
+    """Rows and edits as by plain alignment, whatever the number of indexes and the parts that texts are scanned in."""
+    from citespark.llm import decontam
+
+    monkeypatch.setattr(decontam, "HITS", hits)
+    rng = random.Random(8)
+    letters = "abcd"
+    text = lambda n: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 6))) for _ in range(n))
+    items = [(1, text(30)), (1, text(34)), (2, text(9)), (3, text(40)), (4, "ab")]
+    texts = [None, "", "a"]
+    for _, passage in items[:4]:
+        for n in (0, 4, 9, 12, 16):
+            near = list(passage[rng.randrange(20) :] if n % 2 else passage)
+            for i in rng.sample(range(len(near)), min(n, len(near))):
+                near[i] = rng.choice(["", "x", near[i] + "y"])
+            texts.append(f"{text(rng.randrange(8))} {''.join(near)} {text(rng.randrange(8))}")
+    texts.append(f"{items[0][1]} {items[1][1]}")  # both texts of one item
+    want = _leaks_by_brute_force(texts, items)
+    assert len(want) > 8
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, None)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    first = None
+    for limit in (10**6, 100, 30):
+        got = sorted(map(tuple, find_leaks(df, bench, limit=limit).collect()))
+        assert {(d, i): x for d, i, _, _, x in got} == want and len(got) == len(want)
+        first = first or got
+        assert got == first
+
+
+def test_leaks_in_odd_letters_and_across_parts(monkeypatch):
+    """Case folds letter by letter, so one letter without a fold of its length changes nothing else; passages at any border of parts are found."""
+    from citespark.llm import decontam
+
+    rng = random.Random(4)
+    passage = " ".join("".join(rng.choice("abcdeéñü") for _ in range(rng.randrange(3, 8))) for _ in range(25))
+    index = Index([(1, passage)])
+    for tail in ("", "İ", " ẞ K Σ"):
+        assert len(find_in([passage.upper().replace("Σ", "σ") + tail], index)[0]) == 1
+    monkeypatch.setattr(decontam, "CHUNK", 700)
+    fill = "z" * 30 + " "
+    for before in range(0, 90, 3):
+        text = fill * before + passage + " " + fill * 30
+        (found,) = find_in([text], index)
+        assert len(found) == 1 and text[found[0][1] : found[0][2]].strip() == passage

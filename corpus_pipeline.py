@@ -7,12 +7,11 @@ docs. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from citespark.llm.common import store
-from citespark.llm.decontam import contamination
-from citespark.llm.langid import UNKNOWN, fit, predict
-from citespark.llm.mixing import mix
+from citespark.llm.decontam import drop_leaks
+from citespark.llm.langid import drop_unknown
+from citespark.llm.mixing import mixed_documents
 from citespark.llm.neardup import drop_near_duplicates
 from citespark.llm.sharding import shard
 
@@ -22,9 +21,7 @@ EVIDENCE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a learned language: 'und' ones and those of too little evidence go."""
-    found = predict(docs, fit(docs)).alias("__lang")
-    kept = docs.withColumn("__lang", found).where((F.col("__lang.lang_pred") != UNKNOWN) & (F.col("__lang.evidence") >= EVIDENCE))
-    return kept.select(*docs.columns)
+    return drop_unknown(docs, EVIDENCE)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,21 +31,12 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return contamination(docs, benchmark, into="__leaks").where(F.size("__leaks") == 0).select(*docs.columns)
+    return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, a part counting as a whole; those of which it takes no word go."""
-    digest = F.md5(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8"))
-    taken = mix(docs, carry={"digest": digest})
-    # rows that repeat doc_id and text share what was taken of them
-    times = F.ceil(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int")
-    per = store(taken.groupBy("doc_id", "digest").agg(times.alias("times")).where("times > 0"))
-    per = per.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of"), "times")
-    marked = docs.withColumn("__digest", digest)
-    joined = marked.join(per, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__of")))
-    return joined.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    return mixed_documents(docs)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citespark.llm.common import forget, packed, store, unpacked
-from citespark.llm.components import connected_components
 from citespark.llm.shingles import codes, shingle_hashes
-from citespark.llm.simhash import code_links
+from citespark.llm.simhash import code_groups
 
 #: A block of a candidate group: at most about so many texts and bytes are settled at once. Larger groups go in several blocks, round by round.
 GROUP_TEXTS, GROUP_BYTES = 2048, 8 << 20
@@ -66,7 +65,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, least: float = 0.8,
     """`docs` without copies: of equal texts, and of texts similar to one before them, the one of smallest doc_id stays.
 
     Similar: Jaccard similarity of the sets of word shingles of at least `least`. Candidates are texts connected through
-    SimHash codes that `code_links` finds (320 bits; at similarity 0.8 a pair meets with a probability of 0.99, above it with more). In a
+    SimHash codes that `code_groups` joins (320 bits; at similarity 0.8 a pair meets with a probability of 0.99, above it with more). In a
     candidate group texts stand by doc_id, and one goes if it is similar to one before it that stays. Groups above
     `group_texts` texts or `group_bytes` are dealt into blocks by hash; what is left of each block meets in the next round, after
     candidates were searched anew among all that is left, and pairs of blocks meet where a round wears nothing down. So
@@ -95,12 +94,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, least: float = 0.8,
 def _grouped(left: DataFrame) -> DataFrame:
     """`left` (digest, doc_id, bytes, code) with the root of its candidate group, groups of one left out."""
     nodes = store(left.groupBy(F.col("code")[0].alias("fp")).agg(F.first("code").alias("code"), F.count("*").alias("n")))
-    edges = store(code_links(nodes.select("fp", "code"), WORDS))
-    groups = connected_components(edges)
+    groups = store(code_groups(nodes.select("fp", "code"), WORDS))
     several = nodes.where("n > 1").select(F.col("fp").alias("node"), F.col("fp").alias("root"))
     roots = groups.unionByName(several.join(groups, "node", "left_anti"))
     out = store(left.join(roots, F.col("code")[0] == F.col("node")).select("root", "digest", "doc_id", "bytes", "code"))
-    forget(nodes), forget(edges)
+    forget(nodes), forget(groups)
     return out
 
 

@@ -93,14 +93,15 @@ def _steps(pop, fields) -> tuple:
     return mine, near
 
 
-def _code_cells(nodes: DataFrame, words: int, parts: int) -> DataFrame:
-    """Grid cells of codes (fp, code: array of `words` longs, fp the first): (cell, tag, fp, other).
+def _code_cells(nodes: DataFrame, words: int, parts: int, steps: bool) -> DataFrame:
+    """Grid cells of codes (root, code: array of `words` longs): (cell, tag, fp, other, root).
 
     Each word gives `parts` sub-vectors of popcounts. All go to their own cell, those of an odd sum to the cells one step
     away as well (whose sums are even): so sub-vectors at Manhattan distance 1, and two odd ones at distance 2, share a
-    cell. `other` is the word that the cell is of, or the second for cells of the first.
+    cell. `fp` is the first word, `other` the word that the cell is of, or the second for cells of the first. Without `steps`
+    all go to their own cell alone.
     """
-    pops = nodes.select("fp", *[F.col("code")[w].alias(f"w{w}") for w in range(words)])
+    pops = nodes.select("root", *[F.col("code")[w].alias(f"w{w}") for w in range(words)])
     cells = []
     for w in range(words):
         pop = _popcounts(F.col(f"w{w}"))
@@ -109,31 +110,32 @@ def _code_cells(nodes: DataFrame, words: int, parts: int) -> DataFrame:
             mine, near = _steps(pop, fields)
             own = F.col(f"w{w}").bitwiseAND(_signed(sum(3 << 2 * f for f in fields)))
             odd = F.bit_count(own) % 2 == 1  # the sum of the popcounts
-            cells.append(F.struct(F.when(odd, F.array_compact(F.array(mine, *near))).otherwise(F.array(mine)).alias("cells"), F.lit(w * parts + p).cast("long").alias("tag"), F.col(f"w{w or 1}").alias("other")))
-    by_part = pops.select("fp", F.explode(F.array(*cells)).alias("c"))
-    return by_part.select(F.explode("c.cells").alias("cell"), F.col("c.tag").alias("tag"), "fp", F.col("c.other").alias("other"))
+            here = F.when(odd, F.array_compact(F.array(mine, *near))).otherwise(F.array(mine)) if steps else F.array(mine)
+            cells.append(F.struct(here.alias("cells"), F.lit(w * parts + p).cast("long").alias("tag"), F.col(f"w{w or 1}").alias("other")))
+    by_part = pops.select("root", F.col("w0").alias("fp"), F.explode(F.array(*cells)).alias("c"))
+    return by_part.select(F.explode("c.cells").alias("cell"), F.col("c.tag").alias("tag"), "fp", F.col("c.other").alias("other"), "root")
 
 
-_PAIR_SCHEMA = "kind byte, a long, b long, cell long, tag long, other long"
+_PAIR_SCHEMA = "kind byte, a long, b long, cell long, tag long, other long, root long"
 
 
 def _links(batches: Iterator[pa.RecordBatch], max_bits: int, bound: int) -> Iterator[pa.RecordBatch]:
-    """Links inside the groups of rows (cell, tag, fp, and other if there is such) sorted by group: kind 0, a spanning forest of each chunk.
+    """Links inside the groups of rows (cell, tag, fp, and perhaps other, root) sorted by group: kind 0, a spanning forest of each chunk.
 
-    All pairs of a group are compared (blocks of numpy) by the bits of fp and other, but of links that join what is joined already
-    none is returned. Members of a group above `bound` come back as kind 1 with b = block number.
+    All pairs of a group are compared (blocks of numpy) by the bits of fp and other; links are between roots (fp where there is none), and of
+    links that join what is joined already none is returned. Members of a group above `bound` come back as kind 1 with b = block number.
     """
 
-    def record(kind, a, b, cell=None, tag=None, other=None):
+    def record(kind, a, b, cell=None, tag=None, other=None, root=None):
         n = len(a)
         none = np.zeros(n, np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, kind, np.int8)), *(pa.array(np.asarray(c if c is not None else none, np.int64)) for c in (a, b, cell, tag, other))],
-            names=["kind", "a", "b", "cell", "tag", "other"],
+            [pa.array(np.full(n, kind, np.int8)), *(pa.array(np.asarray(c if c is not None else none, np.int64)) for c in (a, b, cell, tag, other, root))],
+            names=["kind", "a", "b", "cell", "tag", "other", "root"],
         )
 
-    def compare(fp, other, size, pos):
-        values, index = np.unique(fp, return_inverse=True)
+    def compare(fp, other, root, size, pos):
+        values, index = np.unique(fp if root is None else root, return_inverse=True)
         parent = np.arange(len(values))
         bits, more = fp.view(np.uint64), other.view(np.uint64) if other is not None else None
         left = size - pos - 1  # members of the group that follow
@@ -170,15 +172,16 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int, bound: int) -> Iter
         sizes = np.diff(np.append(starts, len(cell)))
         return starts, sizes
 
-    def done(cell, tag, fp, other):
+    def done(cell, tag, fp, other, root):
         starts, sizes = groups(cell, tag)
         size = np.repeat(sizes, sizes)
         pos = np.arange(len(cell)) - np.repeat(starts, sizes)
         large = size > bound
         if large.any():
-            yield record(1, fp[large], pos[large] // bound, cell[large], tag[large], other[large] if other is not None else None)
+            cells, tags, fps, *more = cut((cell, tag, fp, other, root), large)
+            yield record(1, fps, pos[large] // bound, cells, tags, *more)
         keep = (size > 1) & ~large
-        if keep.any() and (r := compare(fp[keep], other[keep] if other is not None else None, size[keep], pos[keep])) is not None:
+        if keep.any() and (r := compare(*cut((fp, other, root), keep), size[keep], pos[keep])) is not None:
             yield r
 
     held: list[tuple] = []
@@ -186,12 +189,12 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int, bound: int) -> Iter
     cut = lambda arrays, part: tuple(x[part] if x is not None else None for x in arrays)
     joined = lambda: tuple(np.concatenate(x) if x[0] is not None else None for x in zip(*held))
     for batch in batches:
-        rows = tuple(batch.column(i).to_numpy() for i in range(batch.num_columns)) + (None,) * (4 - batch.num_columns)
+        rows = tuple(batch.column(i).to_numpy() for i in range(batch.num_columns)) + (None,) * (5 - batch.num_columns)
         if open_key is not None:  # more of a large group that was cut off
             same = int(((rows[0] == open_key[0]) & (rows[1] == open_key[1])).sum())
             if same:
-                cell, tag, fp, other = cut(rows, slice(same))
-                yield record(1, fp, (open_at + np.arange(same)) // bound, cell, tag, other)
+                cell, tag, fp, *more = cut(rows, slice(same))
+                yield record(1, fp, (open_at + np.arange(same)) // bound, cell, tag, *more)
                 open_at += same
                 rows = cut(rows, slice(same, None))
             if len(rows[0]):
@@ -210,8 +213,8 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int, bound: int) -> Iter
         rows = cut(rows, slice(last, None))
         held, n_held = [rows], len(rows[0])
         if n_held > bound:
-            cell, tag, fp, other = rows
-            yield record(1, fp, np.arange(n_held) // bound, cell, tag, other)
+            cell, tag, fp, *more = rows
+            yield record(1, fp, np.arange(n_held) // bound, cell, tag, *more)
             open_key, open_at, held, n_held = (cell[0], tag[0]), n_held, [], 0
     if n_held:
         yield from done(*joined())
@@ -225,13 +228,21 @@ def links(fps: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFrame:
     return _linked(_cells(fps, max_bits), max_bits, block)
 
 
-def code_links(nodes: DataFrame, words: int = 5, parts: int = 3, max_bits: int = 28, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between codes (fp, code): enough that what is connected through pairs is connected through links.
+def code_groups(nodes: DataFrame, words: int = 5, parts: int = 3, max_bits: int = 28, block: int = BLOCK) -> DataFrame:
+    """(node, root) of the codes (fp, code: array of `words` longs, fp the first) that are connected with others; root is the smallest fp reachable.
 
-    Pairs are those that share a grid cell (see `_code_cells`) and differ in at most `max_bits` of the 128 bits compared there.
-    All pairs of codes that differ in at most 2 * words * parts - 1 bits in all share a cell.
+    Connected are pairs that share a grid cell (see `_code_cells`) and differ in at most `max_bits` of the 128 bits compared
+    there; all pairs that differ in at most 2 * words * parts - 1 bits in all share a cell. A first pass over own cells alone joins
+    the bulk of a large group, so that the many cells of the second have few links left to tell.
     """
-    return _linked(_code_cells(nodes, words, parts), max_bits, block)
+    first = connected_components(store(_linked(_code_cells(nodes.withColumn("root", F.col("fp")), words, parts, False), max_bits, block)))
+    first = store(first)
+    joined = store(nodes.join(first, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "code"))
+    second = connected_components(store(_linked(_code_cells(joined, words, parts, True), max_bits, block))).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    out = joined.select("fp", "root").join(second, "root", "left").select(F.col("fp").alias("node"), F.coalesce("top", "root").alias("root"))
+    out = store(out)
+    several = out.groupBy(F.col("root").alias("of")).agg(F.count("*").alias("n")).where("n > 1")
+    return out.join(several, F.col("root") == F.col("of")).select("node", "root")
 
 
 def _linked(cells: DataFrame, max_bits: int, block: int) -> DataFrame:
@@ -241,7 +252,7 @@ def _linked(cells: DataFrame, max_bits: int, block: int) -> DataFrame:
     def blocks(batches):
         return _links(batches, max_bits, 1 << 62)
 
-    more = [c for c in ("other",) if c in cells.columns]
+    more = [c for c in ("other", "root") if c in cells.columns]
     found = store(cells.repartition("cell", "tag").sortWithinPartitions("cell", "tag", "fp").mapInArrow(small, _PAIR_SCHEMA))
     edges = found.where("kind = 0").select("a", "b")
     large = found.where("kind = 1").select("cell", "tag", F.col("a").alias("fp"), F.col("b").alias("block"), *more)

@@ -7,6 +7,7 @@ import tempfile
 import time
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def filesystem(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, for files that tasks write or read themselves, and the path in it."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 def store(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Write `df` once as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -1,18 +1,21 @@
-"""Katz backoff language model: Good-Turing discounted counts, exactly normalised backoff weights.
+"""Katz backoff language model of any order: Good-Turing discounted counts, exactly normalised backoff weights.
 
-The corpus is cut into chunks of a few million tokens. What a chunk and a bucket of keys have to tell each
-other (counts of n-grams, replies) travels as one packed binary row, so billions of tokens move as few rows, and
-every key occurs at most once per chunk: frequent words are not hot keys. Tables (all Parquet, in the shared folder):
+The corpus is cut into chunks of about a million tokens, each a file in the shared folder. Level by level (single tokens, pairs,
+triples ...) a chunk tells buckets of contexts its distinct n-grams, and is told their corpus counts, so every n-gram travels once
+per chunk, packed: frequent words are no hot keys. Tables (Parquet, in the shared folder), one for each level, by bucket of contexts:
 
-* chunks: per chunk its documents as indexes into its distinct tokens; per chunk and bucket those tokens and their counts
-* unigrams: per chunk and bucket the corpus counts of those tokens
-* bigrams: per chunk and (bucket, split) the corpus counts of its bigrams; per bucket of contexts what their backoff weights are made of
-* weights: per chunk and bucket the backoff weights of its tokens as contexts
+* n-gram replies: per chunk the corpus counts of its n-grams, their numbers (the contexts of the next level), and for each context the
+  whole numbers that its backoff weight is made of
+* parts: the same numbers of contexts so frequent that their continuations are dealt to several tasks
+
+A context that occurs in one chunk alone is settled there and asks nobody. Evaluation is recursive: the probability at a
+level is the discounted count where the n-gram was seen, else the context's weight times the probability one level below.
 """
 
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,42 +26,46 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citespark.llm.common import forget, release, store
+from citespark.llm.common import filesystem, forget, shared_dir, store
 
 #: Good-Turing discounts apply to counts up to this.
 K = 5
-CHUNK_TOKENS = 2_000_000
-#: Bytes of text for each bucket of keys; continuations of a context of more than SPLIT occurrences go to several tasks.
-BUCKET_BYTES, SPLIT = 12 << 20, 4_000_000
+CHUNK_TOKENS = 1_200_000
+#: Bytes of text for each bucket of contexts; continuations of a context of more than SPLIT occurrences go to several tasks.
+BUCKET_BYTES, SPLIT = 8 << 20, 4_000_000
 #: Words hold no blank, so these are no words: the context before the first token, and the end.
 _START, _END = xxhash.xxh64_intdigest(b"\t"), xxhash.xxh64_intdigest(b"\n")
-_ROW = "kind string, chunk long, bucket int, split int, blob binary"
+_ROW = "kind string, chunk string, bucket int, split int, blob binary"
 
 
 def _pack(*arrays) -> bytes:
-    raw = pickle.dumps(arrays, protocol=5)
+    raw = pickle.dumps([_planes(x) for x in arrays], protocol=5)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def _unpack(blob: bytes) -> tuple:
-    return pickle.loads(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True))
+def _unpack(blob: bytes) -> list[np.ndarray]:
+    return [_whole(x) for x in pickle.loads(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True))]
 
 
 def _planes(x: np.ndarray) -> np.ndarray:
-    """The bytes of 32-bit numbers plane by plane, which packs better."""
-    return np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
+    """The bytes of 64-bit numbers plane by plane, as many as the largest needs, which packs better; other arrays as they are."""
+    if x.dtype not in (np.int64, np.uint64):
+        return x
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)
+    top = int(np.bitwise_or.reduce(x.view(np.uint64))) if len(x) else 0
+    return np.ascontiguousarray(raw[:, : max(1, -(-top.bit_length() // 8))].T)
 
 
 def _whole(planes: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(planes.T).view(np.uint32)[:, 0].astype(np.int64)
-
+    if planes.ndim != 2:
+        return planes
+    raw = np.zeros((planes.shape[1], 8), np.uint8)
+    raw[:, : len(planes)] = planes.T
+    return raw.view(np.int64)[:, 0]
 
-def _small(x: np.ndarray) -> np.ndarray:
-    return x.astype(np.uint32) if not len(x) or x.max() < 1 << 32 else x.astype(np.uint64)
 
-
-def _rows(kind: str, rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame([(kind, *r) for r in rows], columns=["kind", "chunk", "bucket", "split", "blob"])
+def _rows(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["kind", "chunk", "bucket", "split", "blob"])
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -82,13 +89,19 @@ def _discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
     return c * np.where(c <= K, d[np.minimum(c, K).astype(np.int64)], 1.0)
 
 
+def _freed(d: np.ndarray) -> np.ndarray:
+    """What the discount takes off counts 1 .. K."""
+    return np.array([r * (1 - d[r]) for r in range(1, K + 1)])
+
+
 def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def _chunks(frames: Iterator[pd.DataFrame], buckets: int, chunk_tokens: int) -> Iterator[pd.DataFrame]:
-    part = TaskContext.get().partitionId() << 24
-    number, held, size = 0, [], 0
+def _chunks(frames: Iterator[pd.DataFrame], folder: str, buckets: int, chunk_tokens: int) -> Iterator[pd.DataFrame]:
+    target, base = filesystem(folder)
+    target.create_dir(base, recursive=True)
+    held, size = [], 0
 
     def flush():
         ids = np.array([int(i) if i is not None else 0 for i, _, _ in held], np.int64)
@@ -99,14 +112,15 @@ def _chunks(frames: Iterator[pd.DataFrame], buckets: int, chunk_tokens: int) ->
         count = np.bincount(at[np.repeat(~out, lens)], minlength=len(keys))
         bucket = (keys % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        rank = np.empty(len(keys), np.uint32)
+        rank = np.empty(len(keys), np.int64)
         rank[order] = np.arange(len(keys))
         keys, count, bucket = keys[order], count[order], bucket[order]
-        chunk = part + number
-        rows = [(chunk, -1, 0, _pack(ids, none, out, lens, _planes(rank[at])))]
+        path = f"{base}/{uuid.uuid4().hex}"
+        start = int(np.flatnonzero(keys == np.uint64(_START))[0])
+        with target.open_output_stream(path) as f:
+            f.write(_pack(ids, none, out, lens, rank[at], np.array([len(keys), start])))
         ends = np.searchsorted(bucket, np.arange(buckets + 1))
-        rows += [(chunk, b, 0, _pack(keys[i:j], _small(count[i:j]))) for b, (i, j) in enumerate(zip(ends[:-1], ends[1:])) if i < j]
-        return _rows("chunk", rows)
+        return _rows([("ask", path, b, 0, _pack(keys[i:j].view(np.int64), count[i:j])) for b, (i, j) in enumerate(zip(ends[:-1], ends[1:])) if i < j])
 
     digest = xxhash.xxh64_intdigest
     for frame in frames:
@@ -116,120 +130,201 @@ def _chunks(frames: Iterator[pd.DataFrame], buckets: int, chunk_tokens: int) ->
             size += len(words) + 2
             if size >= chunk_tokens:
                 yield flush()
-                number, held, size = number + 1, [], 0
+                held, size = [], 0
     if held:
         yield flush()
 
 
-def _unigrams(_, frame: pd.DataFrame) -> pd.DataFrame:
-    """Corpus counts of a bucket's tokens, told to each chunk, and the numbers that discounts need."""
-    blobs = [_unpack(b) for b in frame.blob]
-    keys, at = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
-    total = np.bincount(at, weights=np.concatenate([b[1] for b in blobs])).astype(np.int64)
-    ends = np.cumsum([0] + [len(b[0]) for b in blobs])
-    rows = [(c, bucket, 0, _pack(_small(total[at[i:j]]))) for c, bucket, i, j in zip(frame.chunk, frame.bucket, ends[:-1], ends[1:])]
-    seen = total[(total > 0) & (keys != _START)]
-    stats = np.array([seen.sum(), len(seen), *((seen == r).sum() for r in range(1, K + 2))], np.int64)
-    return pd.concat([_rows("count", rows), _rows("stats", [(-1, int(frame.bucket.iloc[0]), 0, stats.tobytes())])])
+def _numbered(total: np.ndarray, chunks: np.ndarray, split: int, splits: int, bucket: int, buckets: int) -> np.ndarray:
+    """Corpus-wide numbers of a group's distinct keys from 1 on, small ones for frequent keys; 0 for those that one chunk alone has."""
+    shared = np.flatnonzero(chunks > 1)
+    out = np.zeros(len(total), np.int64)
+    out[shared[np.argsort(-total[shared], kind="stable")]] = (np.arange(len(shared)) * splits + split) * buckets + bucket + 1
+    return out
 
 
-class _Chunk:
-    """One chunk with its distinct bigrams, in the order in which they are asked about."""
-
-    def __init__(self, frame: pd.DataFrame, split: int):
-        own = frame[frame.kind == "chunk"].sort_values("bucket")
-        self.chunk = int(own.chunk.iloc[0])
-        self.ids, self.none, self.out, self.lens, at = _unpack(own.blob.iloc[0])
-        at = _whole(at)
-        keys = [_unpack(b)[0] for b in own.blob.iloc[1:]]
-        self.keys = np.concatenate(keys)
-        self.bucket = np.repeat(own.bucket.iloc[1:].to_numpy(np.int64), [len(k) for k in keys])
-        self.count = self._aligned(frame[frame.kind == "count"]).astype(np.int64)
-        start = int(np.flatnonzero(self.keys == _START)[0])
-        n = len(self.keys)
-        self.here = np.flatnonzero(at[1:] != start) + 1  # positions of tokens
-        self.token = at[self.here]
-        pair, self.pair_at = np.unique(at[self.here - 1] * n + self.token, return_inverse=True)
-        self.left, self.right = pair // n, pair % n
-        train = np.repeat(~self.out, self.lens)[self.here]
-        self.pair_count = np.bincount(self.pair_at[train], minlength=len(pair))
-        splits = -(-np.maximum(self.count[self.left], 1) // split)
-        self.split = (self.keys[self.right] % splits.astype(np.uint64)).astype(np.int64)
-        self.order = np.lexsort((self.split, self.bucket[self.left])) if (splits > 1).any() else np.arange(len(pair))
-        place = (self.bucket[self.left] << 32) + self.split
-        self.places, first = np.unique(place[self.order], return_index=True)
-        self.ends = np.append(first, len(pair))
+def _stats(counts: np.ndarray) -> list[int]:
+    """Sum, number and largest of the counts above 0, then how many are 1 .. K + 1."""
+    seen = counts[counts > 0]
+    return [int(seen.sum()), len(seen), int(seen.max(initial=0)), *(int((seen == r).sum()) for r in range(1, K + 2))]
 
-    @staticmethod
-    def _aligned(rows: pd.DataFrame, column: int = 0) -> np.ndarray:
-        return np.concatenate([_unpack(b)[column] for b in rows.sort_values(["bucket", "split"]).blob])
 
-
-def _bigram_requests(split: int):
+def _unigrams(buckets: int):
     def of(_, frame: pd.DataFrame) -> pd.DataFrame:
-        c = _Chunk(frame, split)
-        rows = []
-        for place, i, j in zip(c.places, c.ends[:-1], c.ends[1:]):
-            these = c.order[i:j]
-            left = c.left[these]
-            first = np.flatnonzero(np.concatenate(([True], left[1:] != left[:-1])))
-            runs = np.diff(np.append(first, len(left)))
-            right = c.right[these]
-            word = c.keys[right].view(np.uint8).reshape(-1, 8)[:, :6].copy()  # 48 bits tell the continuations of a context apart
-            rows.append((c.chunk, int(place >> 32), int(place & 0xFFFFFFFF), _pack(c.keys[left[first]], _small(runs), word, _small(c.pair_count[these]), _small(c.count[right]))))
-        return _rows("ask", rows)
+        bucket = int(frame.bucket.iloc[0])
+        blobs = [_unpack(b) for b in frame.blob]
+        keys, at = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate([b[1] for b in blobs])).astype(np.int64)
+        word = _numbered(total, np.full(len(total), 2), 0, 1, bucket, buckets)  # as continuations even those of one chunk are told apart
+        shared = (np.bincount(at) > 1).astype(np.int64)
+        ends = np.cumsum([0] + [len(b[0]) for b in blobs])
+        rows = [("n1", c, bucket, 0, _pack(total[at[i:j]], word[at[i:j]], shared[at[i:j]])) for c, i, j in zip(frame.chunk, ends[:-1], ends[1:])]
+        counted = _stats(total[keys.view(np.uint64) != np.uint64(_START)])
+        counted[2] = int(total.max(initial=0))
+        return _rows([*rows, ("stats", "", bucket, 0, _pack(np.array(counted)))])
 
     return of
 
 
-def _unigram_probability(count: np.ndarray, d: np.ndarray, n: int, unseen: float) -> np.ndarray:
-    return np.where(count > 0, _discounted(count, d) / max(n, 1), unseen)
+#: What a context's weight is made of: numbers of continuations seen 1 .. K times, and the sum of their counts one level below and how many of these are 1 .. K.
+_SUMS = 2 * K + 1
+
+
+def _sums(context: np.ndarray, total: np.ndarray, below: np.ndarray, contexts: int) -> np.ndarray:
+    """Those numbers, a row each, for n-grams of the given contexts, counts and counts one level below; unseen ones do not count."""
+    seen = total > 0
+    context, total, below = context[seen], total[seen], below[seen]
+    out = np.zeros((_SUMS, contexts), np.int64)
+    for r in range(1, K + 1):
+        out[r - 1] = np.bincount(context[total == r], minlength=contexts)
+        out[K + r] = np.bincount(context[below == r], minlength=contexts)
+    np.add.at(out[K], context, below)
+    return out
+
+
+class _Level:
+    """The distinct n-grams of a chunk at one level."""
+
+    count: np.ndarray  # in the training corpus
+    number: np.ndarray  # corpus-wide, 0 where no other chunk has it
+    own: np.ndarray  # training occurrences here
+    index: np.ndarray  # of the n-gram that ends at each place, -1 if there is none
+    left: np.ndarray  # context: an n-gram one level below
+    right: np.ndarray  # token
+    below: np.ndarray  # the n-gram without its first token, one level below
+    sums: np.ndarray  # by context (index one level below)
 
 
-def _bigrams(d1: np.ndarray, n: int, unseen: float):
+class _Chunk:
+    """A chunk with what it was told so far, level by level."""
+
+    def __init__(self, frame: pd.DataFrame, levels: int, buckets: int, split: int):
+        self.buckets, self.split = buckets, split
+        self.path = frame.chunk.iloc[0]
+        target, path = filesystem(self.path)
+        with target.open_input_stream(path) as f:
+            self.ids, self.none, self.out, self.lens, at, (n, self.start) = _unpack(f.read())
+        self.tokens = int(n)
+        self.depth = np.arange(len(at)) - np.repeat(np.cumsum(self.lens) - self.lens, self.lens)
+        self.train = np.repeat(~self.out, self.lens)
+        one = _Level()
+        told = [_unpack(b) for b in frame[frame.kind == "n1"].sort_values("bucket").blob]
+        one.count, self.word, shared = (np.concatenate(x) for x in zip(*told))
+        one.number = self.word * shared
+        one.index, one.own = at, np.bincount(at[self.train], minlength=self.tokens)
+        self.levels = [None, one]
+        for n in range(2, levels + 1):
+            self._listen(n, frame)
+
+    def grams(self, n: int) -> _Level:
+        """The n-grams of the next level, those that others must be asked about, and in which order."""
+        lower, at, g = self.levels[n - 1], self.levels[1].index, _Level()
+        place = np.flatnonzero(self.depth >= n - 1)
+        key, first, inverse = np.unique(lower.index[place - 1] * self.tokens + at[place], return_index=True, return_inverse=True)
+        g.left, g.right = key // self.tokens, key % self.tokens
+        g.own = np.bincount(inverse[self.train[place]], minlength=len(key))
+        g.below = lower.index[place[first]]
+        g.index = np.full(len(at), -1)
+        g.index[place] = inverse
+        total = lower.count[g.left]
+        g.asked = np.flatnonzero(lower.number[g.left] > 0)
+        left = g.left[g.asked]
+        g.splits = np.maximum(-(-total[g.asked] // self.split), 1)
+        g.where = (lower.number[left] % self.buckets << 32) + self.word[g.right[g.asked]] % g.splits
+        order = np.argsort(g.where, kind="stable")
+        g.asked, g.where, g.splits = g.asked[order], g.where[order], g.splits[order]
+        left = g.left[g.asked]
+        # runs of one context at one place
+        g.run = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (g.where[1:] != g.where[:-1]))))[: len(left)]
+        return g
+
+    def ask(self, n: int) -> pd.DataFrame:
+        g, lower = self.grams(n), self.levels[n - 1]
+        rows = []
+        where, at = np.unique(g.where, return_index=True)
+        left, right = g.left[g.asked], g.right[g.asked]
+        for w, i, j in zip(where.tolist(), at.tolist(), [*at[1:].tolist(), len(left)]):
+            r = g.run[slice(*np.searchsorted(g.run, (i, j)))]
+            rows.append(("ask", self.path, w >> 32, w & 0xFFFFFFFF, _pack(
+                lower.number[left[r]], np.diff(np.append(r, j)), (g.splits[r] > 1).astype(np.int64), self.word[right[i:j]], g.own[g.asked[i:j]], lower.count[g.below[g.asked[i:j]]],
+            )))
+        many = self._many(g, lower)
+        rows += [("many", self.path, int(b), -1, _pack(many[many % self.buckets == b])) for b in np.unique(many % self.buckets)]
+        alone = np.ones(len(g.left), bool)
+        alone[g.asked] = False
+        rows.append(("stats", "", xxhash.xxh32_intdigest(self.path) % self.buckets, -1, _pack(np.array(_stats(g.own[alone])))))
+        return _rows(rows)
+
+    @staticmethod
+    def _many(g: _Level, lower: _Level) -> np.ndarray:
+        """Numbers of the contexts whose continuations are dealt to several tasks."""
+        return np.unique(lower.number[g.left[g.asked[g.splits > 1]]])
+
+    def _listen(self, n: int, frame: pd.DataFrame) -> None:
+        g, lower = self.grams(n), self.levels[n - 1]
+        told = [_unpack(b) for b in frame[frame.kind == f"n{n}"].sort_values(["bucket", "split"]).blob]
+        g.count, g.number = g.own.copy(), np.zeros(len(g.left), np.int64)
+        alone = np.ones(len(g.left), bool)
+        alone[g.asked] = False
+        g.sums = _sums(g.left[alone], g.own[alone], lower.count[g.below[alone]], len(lower.count))
+        if told:
+            g.count[g.asked] = np.concatenate([t[0] for t in told])
+            if len(told[0]) > 1 + _SUMS:
+                g.number[g.asked] = np.concatenate([t[1] for t in told])
+            g.sums[:, g.left[g.asked[g.run]]] = np.stack([np.concatenate([t[k] for t in told]) for k in range(-_SUMS, 0)])
+        many = self._many(g, lower)
+        if len(many):
+            whole = [_unpack(b) for b in frame[frame.kind == f"whole{n}"].sort_values("bucket").blob]
+            number = many[np.argsort(many % self.buckets, kind="stable")]
+            of = np.unique(g.left[g.asked[g.splits > 1]])
+            g.sums[:, of] = np.stack([np.concatenate(x) for x in zip(*whole)])[:, np.argsort(number)][:, np.searchsorted(np.sort(number), lower.number[of])]
+        self.levels.append(g)
+
+
+def _asks(n: int, buckets: int, split: int):
+    return lambda _, frame: _Chunk(frame, n - 1, buckets, split).ask(n)
+
+
+def _answers(n: int, last: bool, splits: int, buckets: int):
+    """Corpus counts of a bucket's n-grams, told to each chunk, and what the weights of its contexts need."""
+
     def of(_, frame: pd.DataFrame) -> pd.DataFrame:
-        blobs = [_unpack(b) for b in frame.blob]
-        left = np.concatenate([np.repeat(b[0], b[1]) for b in blobs])
-        word = np.zeros((len(left), 8), np.uint8)
-        word[:, :6] = np.concatenate([b[2] for b in blobs])
-        mixed = left * np.uint64(0x9E3779B97F4A7C15) ^ word.view(np.uint64)[:, 0] * np.uint64(0xC2B2AE3D27D4EB4F)
-        _, first, at = np.unique(mixed, return_index=True, return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate([b[3] for b in blobs])).astype(np.int64)
-        ends = np.cumsum([0] + [len(b[3]) for b in blobs])
-        rows = [(c, b, s, _pack(_small(total[at[i:j]]))) for c, b, s, i, j in zip(frame.chunk, frame.bucket, frame.split, ends[:-1], ends[1:])]
-        seen = total > 0
-        context, which = np.unique(left[first[seen]], return_inverse=True)
-        t = total[seen]
-        few = np.stack([np.bincount(which[t == r], minlength=len(context)) for r in range(1, K + 1)])
-        word_count = np.concatenate([b[4] for b in blobs])[first[seen]].astype(np.int64)
-        mass = np.bincount(which, weights=_unigram_probability(word_count, d1, n, unseen), minlength=len(context))
-        stats = np.array([(t == r).sum() for r in range(1, K + 2)], np.int64)
         bucket, split = int(frame.bucket.iloc[0]), int(frame.split.iloc[0])
-        return pd.concat([_rows("bigram", rows), _rows("part", [(-1, bucket, split, _pack(context, few, mass))]), _rows("stats", [(-1, bucket, split, stats.tobytes())])])
+        if split < 0:  # messages for the next step
+            return frame
+        blobs = [_unpack(b) for b in frame.blob]
+        runs = np.concatenate([b[1] for b in blobs])
+        contexts, run_of = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
+        words, word = np.unique(np.concatenate([b[3] for b in blobs]), return_inverse=True)
+        key, first, at = np.unique(np.repeat(run_of, runs) * len(words) + word, return_index=True, return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate([b[4] for b in blobs])).astype(np.int64)
+        sums = _sums(key // len(words), total, np.concatenate([b[5] for b in blobs])[first], len(contexts))
+        number = [] if last else [_numbered(total, np.bincount(at), split, splits, bucket, buckets)]
+        rows = []
+        i = r = 0
+        for chunk, b in zip(frame.chunk, blobs):
+            j, s = i + len(b[3]), r + len(b[0])
+            rows.append((f"n{n}", chunk, bucket, split, _pack(total[at[i:j]], *(x[at[i:j]] for x in number), *sums[:, run_of[r:s]])))
+            i, r = j, s
+        many = np.unique(run_of[np.concatenate([b[2] for b in blobs]) > 0])
+        if len(many):
+            rows.append(("part", "", bucket, split, _pack(contexts[many], *sums[:, many])))
+        return _rows([*rows, ("stats", "", bucket, split, _pack(np.array(_stats(total))))])
 
     return of
 
 
-def _weights(d2: np.ndarray):
-    off = np.array([r * (1 - d2[r]) for r in range(1, K + 1)])
+def _wholes(n: int):
+    """Adds up the parts of contexts that were dealt to several tasks, for each chunk that has some."""
 
     def of(_, frame: pd.DataFrame) -> pd.DataFrame:
-        own, parts = frame[frame.kind == "chunk"], frame[frame.kind == "part"]
-        blobs = [_unpack(b) for b in own.blob]
-        keys, at = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate([b[1] for b in blobs]))
-        freed, mass = np.zeros(len(keys)), np.zeros(len(keys))
-        for blob in parts.sort_values("split").blob:
-            context, few, m = _unpack(blob)
-            where = np.searchsorted(keys, context)
-            freed[where] += off @ few
-            mass[where] += m
-        # where no continuation is rare enough to be discounted, half a count is added for what was not seen
-        spare = np.where((total > 0) & (freed <= 0), 0.5, 0.0)
-        # a context that training never saw leaves everything to the unigrams
-        weight = np.where(total > 0, (freed + spare) / np.maximum(total + spare, 1) / np.maximum(1 - mass, 1e-300), 1.0)
-        ends = np.cumsum([0] + [len(b[0]) for b in blobs])
-        return _rows("weight", [(c, b, 0, _pack(weight[at[i:j]], spare[at[i:j]])) for c, b, i, j in zip(own.chunk, own.bucket, ends[:-1], ends[1:])])
+        parts = [_unpack(b) for b in frame[frame.kind == "part"].blob]
+        contexts, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        sums = np.zeros((_SUMS, len(contexts)), np.int64)
+        for k in range(_SUMS):
+            np.add.at(sums[k], at, np.concatenate([p[k + 1] for p in parts]))
+        asked = frame[frame.kind == "many"]
+        return _rows([(f"whole{n}", c, b, 0, _pack(*sums[:, np.searchsorted(contexts, _unpack(x)[0])])) for c, b, x in zip(asked.chunk, asked.bucket, asked.blob)])
 
     return of
 
@@ -237,68 +332,96 @@ def _weights(d2: np.ndarray):
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _scores(split: int, d1: np.ndarray, d2: np.ndarray, n: int, v: int, unseen: float):
+def _scores(d: list[np.ndarray], n: int, v: int, spare: float, unseen: float, buckets: int, split: int):
+    """Scores of a chunk's texts; d[k] are the discounts of level k."""
+
     def of(_, frame: pd.DataFrame) -> pd.DataFrame:
-        c = _Chunk(frame, split)
-        weight, spare = (c._aligned(frame[frame.kind == "weight"], k) for k in (0, 1))
-        pair = np.empty(len(c.left), np.int64)
-        pair[c.order] = c._aligned(frame[frame.kind == "bigram"])
-        one = _unigram_probability(c.count, d1, n, unseen)
-        two = np.where(pair > 0, _discounted(pair, d2) / np.maximum(c.count[c.left] + spare[c.left], 1), weight[c.left] * one[c.right])
+        c = _Chunk(frame, len(d) - 1, buckets, split)
+        one = c.levels[1]
+        here = np.flatnonzero(c.depth > 0)
+        # by distinct n-gram: probability, and what its context's counts are divided by
+        below = np.where(one.count > 0, _discounted(one.count, d[1]) / max(n + spare, 1), unseen)
+        divisor = np.full(len(one.count), n + spare)
+        final = below[one.index[here]]
+        for k in range(2, len(d)):
+            g, lower = c.levels[k], c.levels[k - 1]
+            freed = _freed(d[k]) @ g.sums[:K]
+            # where no continuation is rare enough to be discounted, half a count is added for what was not seen
+            extra = np.where((lower.count > 0) & (freed <= 0), 0.5, 0.0)
+            # what is left one level below for those not seen: no difference of near numbers, so always above 0
+            rest = (divisor - g.sums[K] + _freed(d[k - 1]) @ g.sums[K + 1 :]) / np.maximum(divisor, 1)
+            # a context that training never saw leaves everything to the level below
+            weight = np.where(lower.count > 0, (freed + extra) / np.maximum(lower.count + extra, 1) / np.where(rest > 0, rest, 1), 1.0)
+            over = lower.count + extra
+            now = np.where(g.count > 0, _discounted(g.count, d[k]) / np.maximum(over[g.left], 1), weight[g.left] * below[g.below])
+            has = g.index[here] >= 0
+            final[has] = now[g.index[here[has]]]
+            below, divisor = now, over[g.below]
         first = np.concatenate(([0], np.cumsum(c.lens - 1)[:-1]))
         add = lambda x: np.add.reduceat(x, first)
+        count = one.count[one.index[here]]
         return pd.DataFrame({
-            "doc_id": pd.array(c.ids, dtype="Int64").copy() if not c.none.any() else pd.array([None if x else i for i, x in zip(c.ids.tolist(), c.none)], dtype="Int64"),
-            "held_out": c.out, "n_tokens": c.lens - 1, "n_known": add((c.count[c.token] > 0).astype(np.int64)), "train_tokens": n,
-            "base_score": add(np.log10((c.count[c.token] + 1) / (n + v + 1))), "score": add(np.log10(two)[c.pair_at]),
+            "doc_id": pd.array([None if x else i for i, x in zip(c.ids.tolist(), c.none)], dtype="Int64"), "held_out": c.out, "n_tokens": c.lens - 1, "n_known": add((count > 0).astype(np.int64)),
+            "train_tokens": n, "base_score": add(np.log10((count + 1) / (n + v + 1))), "score": add(np.log10(final)),
         })
 
     return of
 
 
-def score_texts(docs: DataFrame, held_out, chunk_tokens: int = CHUNK_TOKENS, bucket_bytes: int = BUCKET_BYTES, split: int = SPLIT) -> DataFrame:
-    """Katz backoff bigram scores of every whole text of (doc_id, text), learned from rows where `held_out` (a column) is false.
+def score_texts(docs: DataFrame, held_out, order: int = 3, chunk_tokens: int = CHUNK_TOKENS, bucket_bytes: int = BUCKET_BYTES, split: int = SPLIT) -> DataFrame:
+    """Katz backoff scores of every whole text of (doc_id, text), learned from rows where `held_out` (a column) is false.
 
     Result: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one unigrams), score. Tokens are words,
-    A-Z in lower case, and one end for each text. P(w | h) is the discounted count over count(h) where the bigram was
-    seen (half a count is added to count(h) if all its continuations are too frequent for a discount), else the weight of h times P(w); P(w) is discounted likewise and what it frees is the probability of the one unknown
-    token. The weight of h makes its probabilities over all known tokens and the unknown one sum to 1 exactly.
+    A-Z in lower case, and one end for each text; words are told apart by 64-bit hashes. n-grams of up to `order` tokens; the
+    context before a text's first token is one start, so its second token has a context of two at most. P(w | h) is the
+    discounted count over count(h) where the n-gram was seen (half a count is added to count(h) if all its continuations are too
+    frequent for a discount), else the weight of h times P(w | h without its first token). P(w) is discounted likewise, and what
+    it frees is the probability of the one unknown token. The weight of h makes its probabilities over all known tokens and the unknown one
+    sum to 1 exactly.
 
     Null and empty texts are a lone end. Repeated rows count and come back each; a null doc_id stays null. If nothing is left
     to learn from, the unknown token has probability 1. An empty table gives an empty result. Other columns are ignored.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(8192, max(4, -(-size // bucket_bytes)))
-    table = store(rows.mapInPandas(lambda frames: _chunks(frames, buckets, chunk_tokens), _ROW))
-    own = table.where("bucket >= 0")
-
-    def total(df: DataFrame, width: int) -> list[int]:
-        sums = np.zeros(width, np.int64)
-        for r in df.where("kind = 'stats'").select("blob").toLocalIterator():  # a few numbers per bucket
-            sums += np.frombuffer(bytes(r[0]), np.int64)
-        return sums.tolist()
-
-    unigrams = store(own.groupBy("bucket").applyInPandas(_unigrams, _ROW))
-    n, v, *few = total(unigrams, K + 3)
-    d1 = discounts([0, *few])
-    unseen = sum(r * few[r - 1] * (1 - d1[r]) for r in range(1, K + 1)) / n if n else 1.0
-    if n and unseen <= 0:  # every token is frequent: half a count of each kept back for the unknown one
-        unseen = 0.5 / (n + 0.5)
-
-    def told() -> DataFrame:
-        return table.unionByName(unigrams.where("kind = 'count'"))
-
-    release(docs.sparkSession)
-    asked = told().groupBy("chunk").applyInPandas(_bigram_requests(split), _ROW)
-    bigrams = store(asked.groupBy("bucket", "split").applyInPandas(_bigrams(d1, n, unseen), _ROW))
-    del asked
-    release(docs.sparkSession)
-    d2 = discounts([0, *total(bigrams, K + 1)])
-    weights = store(own.unionByName(bigrams.where("kind = 'part'")).groupBy("bucket").applyInPandas(_weights(d2), _ROW))
-    release(docs.sparkSession)
-    every = told().unionByName(bigrams.where("kind = 'bigram'")).unionByName(weights)
-    out = store(every.groupBy("chunk").applyInPandas(_scores(split, d1, d2, n, v, unseen), _SCORES))
-    for x in (table, unigrams, bigrams, weights):
-        forget(x)
+    buckets = max(4, -(-size // bucket_bytes))
+    folder = f"{shared_dir(spark)}/citespark/chunks-{uuid.uuid4().hex}"
+    # chunks have new names in every attempt; only those named in the written table are used
+    asked = store(rows.mapInPandas(lambda frames: _chunks(frames, folder, buckets, chunk_tokens), _ROW))
+
+    def total(df: DataFrame) -> list[int]:
+        found = np.array([_unpack(bytes(r[0]))[0] for r in df.where("kind = 'stats'").select("blob").toLocalIterator()])  # a few numbers per bucket and chunk
+        return [*found[:, :2].sum(0).tolist(), int(found[:, 2].max()), *found[:, 3:].sum(0).tolist()] if len(found) else [0] * (K + 4)
+
+    told = store(asked.groupBy("bucket").applyInPandas(_unigrams(buckets), _ROW))
+    forget(asked)
+    n, v, largest, *few = total(told)
+    d = [np.ones(K + 1), discounts([0, *few])]
+    freed = sum(x * y for x, y in zip(_freed(d[1]), few))
+    spare = 0.5 if freed <= 0 else 0.0  # every token is frequent: half a count is kept back for the unknown one
+    unseen = (freed + spare) / (n + spare) if n else 1.0
+    tables = [told]
+
+    def replies() -> DataFrame:
+        out = tables[0].where("kind = 'n1'")
+        for t in tables[1:]:
+            out = out.unionByName(t.where(F.col("kind").rlike("^(n|whole)[0-9]")))
+        return out
+
+    for level in range(2, order + 1):
+        splits = max(1, -(-largest // split))
+        asked = replies().groupBy("chunk").applyInPandas(_asks(level, buckets, split), _ROW)
+        told = store(asked.groupBy("bucket", "split").applyInPandas(_answers(level, level == order, splits, buckets), _ROW))
+        tables.append(told)
+        if splits > 1:
+            tables.append(store(told.where("kind in ('part', 'many')").groupBy("bucket").applyInPandas(_wholes(level), _ROW)))
+        _, _, largest, *few = total(told)
+        d.append(discounts([0, *few]))
+    out = store(replies().groupBy("chunk").applyInPandas(_scores(d, n, v, spare, unseen, buckets, split), _SCORES))
+    for t in tables:
+        forget(t)
+    target, base = filesystem(folder)
+    if size or not out.isEmpty():
+        target.delete_dir(base)
     return out

@@ -18,11 +18,10 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citespark.llm.common import shared_dir, store
+from citespark.llm.common import filesystem, shared_dir, store
 
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Payloads from this size on are stored once; a revisit record stands for each repeat.
@@ -32,12 +31,6 @@ ARCHIVE_BYTES = 64 << 20
 _END, _END64, _LOC64, _ENTRY, _LOCAL = b"PK\5\6", b"PK\6\6", b"PK\6\7", b"PK\1\2", b"PK\3\4"
 
 
-def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
 class ZipDirectory:
     """Members of a ZIP or ZIP64 file behind a range reader `read(offset, length)`: where each one's bytes lie."""
 
@@ -139,7 +132,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     """
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        target, base = _filesystem(folder)
+        target, base = filesystem(folder)
         target.create_dir(base, recursive=True)
         name, out, pack, member, lines = "", None, None, None, []
         written = 0
@@ -182,7 +175,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        target, _ = _filesystem(folder)
+        target, _ = filesystem(folder)
         for frame in frames:
             for path in frame.path:
                 with target.open_input_file(path) as f:
@@ -233,6 +226,6 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame, folder: str | None
 
 
 def remove_archives(folder: str) -> None:
-    target, base = _filesystem(folder)
+    target, base = filesystem(folder)
     if os.path.basename(base).startswith("archives-"):
         target.delete_dir(base)

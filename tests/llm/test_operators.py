@@ -124,45 +124,64 @@ def test_components(spark):
     assert got == want
 
 
-def test_katz(docs):
+@pytest.mark.parametrize("order, split", [(1, 7), (2, 10**9), (2, 7), (3, 10**9), (3, 7), (4, 3)])
+def test_katz(docs, order, split):
+    """Scores by a plain model of dictionaries, evaluated recursively; its probabilities sum to 1 after every context."""
     learned = [r for r in ROWS if zlib.crc32(str(r[0] if r[0] is not None else "").encode()) % 7 != 2]
     tokens = lambda t: [*_words(_lower(t)), "\n"]
-    one, two, context = collections.Counter(), collections.Counter(), collections.Counter()
+    count = [None, *(collections.Counter() for _ in range(order))]
+    starts = 0
     for r in learned:
-        before = "\t"
-        for w in tokens(r[1]):
-            one[w] += 1
-            two[before, w] += 1
-            context[before] += 1
-            before = w
-    n, v = sum(one.values()), len(one)
-    seen = lambda c: [0, *(sum(x == r for x in c.values()) for r in range(1, K + 2))]
-    d1, d2 = discounts(seen(one)), discounts(seen(two))
-    cut = lambda c, d: c * (d[c] if c <= K else 1)
-    unknown = 1 - sum(cut(c, d1) / n for c in one.values())
-    p1 = lambda w: cut(one[w], d1) / n if one[w] else unknown
+        starts += 1
+        padded = ["\t", *tokens(r[1])]
+        for i in range(1, len(padded)):
+            for n in range(1, min(order, i + 1) + 1):
+                count[n][tuple(padded[i - n + 1 : i + 1])] += 1
+    n1, v = sum(count[1].values()), len(count[1])
+    d = [None, *(discounts([0, *(sum(x == r for x in c.values()) for r in range(1, K + 2))]) for c in count[1:])]
+    cut = lambda c, n: c * (d[n][c] if c <= K else 1)
     after = collections.defaultdict(list)
-    for (h, w), c in two.items():
-        after[h].append((w, c))
-    size = {h: context[h] + (0 if any(cut(c, d2) != c for _, c in x) else 0.5) for h, x in after.items()}
-    weight = {h: (1 - sum(cut(c, d2) for _, c in x) / size[h]) / (1 - sum(p1(w) for w, _ in x)) for h, x in after.items()}
-    for h in list(after)[:20]:
-        total = sum(cut(c, d2) / size[h] for _, c in after[h]) + weight[h] * (sum(p1(w) for w in one if not two[h, w]) + unknown)
-        assert abs(total - 1) < 1e-9
+    for n in range(2, order + 1):
+        for g in count[n]:
+            after[g[:-1]].append(g[-1])
+    times = lambda h: starts if h == ("\t",) else count[len(h)][h]
+    memo = {}
+
+    def size(h):
+        n = len(h) + 1
+        seen = [count[n][*h, w] for w in after[h]]
+        return times(h) + (0 if any(cut(c, n) != c for c in seen) else 0.5)
+
+    unknown = 1 - sum(cut(c, 1) / n1 for c in count[1].values())
+
+    def weight(h):
+        if h not in memo:
+            n = len(h) + 1
+            memo[h] = (1 - sum(cut(count[n][*h, w], n) for w in after[h]) / size(h)) / (1 - sum(p(w, h[1:]) for w in after[h]))
+        return memo[h]
+
+    def p(w, h):
+        if not h:
+            return cut(count[1][w,], 1) / n1 if count[1][w,] else unknown
+        if not after[h]:
+            return p(w, h[1:])
+        c = count[len(h) + 1][*h, w]
+        return cut(c, len(h) + 1) / size(h) if c else weight(h) * p(w, h[1:])
+
+    for h in random.sample(sorted(after), min(len(after), 40)):
+        if after[h]:
+            assert abs(sum(p(w, h) for w, in count[1]) + p("never seen", h) - 1) < 1e-9
     got = collections.defaultdict(list)
-    for r in score_texts(docs, held_out(7, 2), chunk_tokens=300, bucket_bytes=2000, split=7).collect():
+    for r in score_texts(docs, held_out(7, 2), order=order, chunk_tokens=300, bucket_bytes=2000, split=split).collect():
         got[r.doc_id].append(r)
     assert sum(map(len, got.values())) == len(ROWS)
     for doc_id, text, *_ in ROWS:
         t = tokens(text)
-        score, before = 0.0, "\t"
-        for w in t:
-            c = two[before, w]
-            score += math.log10(cut(c, d2) / size[before] if c else weight.get(before, 1.0) * p1(w))
-            before = w
-        base = sum(math.log10((one[w] + 1) / (n + v + 1)) for w in t)
+        padded = ["\t", *t]
+        score = sum(math.log10(p(padded[i], tuple(padded[max(0, i - order + 1) : i]))) for i in range(1, len(padded)))
+        base = sum(math.log10((count[1][w,] + 1) / (n1 + v + 1)) for w in t)
         r = got[doc_id].pop()
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(one[w] > 0 for w in t), n)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(count[1][w,] > 0 for w in t), n1)
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
 
 

@@ -31,35 +31,42 @@ class _Ends:
         return (lo, lo) if n <= 2 else (lo, at)
 
 
-def _chain(ends: _Ends, capacity: int, shards: int, side: int) -> list[int]:
-    """Greedy cuts under `capacity`; side 0 takes the least possible positions, side 1 the largest."""
+def _chain(ends: _Ends, capacity: int, shards: int, side: int, giants) -> list[int]:
+    """Greedy cuts under `capacity`; side 0 takes the least possible positions, side 1 the largest. A giant above it stands alone."""
     at, cuts = 0, []
     for _ in range(shards):
-        at = max(at, ends.last_up_to(at + capacity)[side])
+        now = ends.last_up_to(at + capacity)[side]
+        now = max(at, next((s for s, e in giants if s < now < e), now))  # no group ends inside another
+        if now == at:
+            now = next((e for s, e in giants if s == at), at)
+        at = now
         cuts.append(at)
     return cuts
 
 
-def _smallest(ends: _Ends, total: int, shards: int, lo: int, hi: int, side: int) -> int:
+def _smallest(ends: _Ends, total: int, shards: int, lo: int, hi: int, side: int, giants) -> int:
     while lo < hi:
         mid = (lo + hi) // 2
-        if _chain(ends, mid, shards, side)[-1] >= total:
+        if _chain(ends, mid, shards, side, giants)[-1] >= total:
             hi = mid
         else:
             lo = mid + 1
     return lo
 
 
-def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int, summary: int = SUMMARY) -> list[int]:
+def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int, summary: int = SUMMARY, giants=()) -> list[int]:
     """The `shards` cut positions of the contiguous partition whose largest part is smallest.
 
     `ends` has one row per atomic group in order, column `end` = sizes up to and with it. The driver
     never holds more than about `summary` rows: it gets the least and largest end of so many
     equal-width buckets, binary-searches the capacity between the bounds these allow, and asks again only
     about the stretches where a cut may still lie, until capacity and cuts are exact.
+
+    `largest` is the size of the largest group, which is the least capacity; unless the `shards` largest groups are given as
+    `giants` (start, end): then one above the capacity takes a part of its own, and the capacity is the smallest for all others.
     """
     windows = [(0, total)]
-    lo, hi = max(-(-total // shards), largest), total
+    lo, hi = 1 if giants else max(-(-total // shards), largest), total
     known: list[tuple[int, int, int]] = []
     width = 2 * total + 2
     while True:
@@ -74,8 +81,8 @@ def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int, summary
         rows = ends.where(inside).groupBy(bucket.alias("b")).agg(F.min("end").alias("lo"), F.max("end").alias("hi"), F.count_distinct("end").alias("n")).collect()
         known = [k for k in known if not any(a < k[1] and k[0] <= b for a, b in windows)] + [(r["lo"], r["hi"], r["n"]) for r in rows]
         at = _Ends(known)
-        lo, hi = _smallest(at, total, shards, lo, hi, 1), _smallest(at, total, shards, lo, hi, 0)
-        least, most = _chain(at, lo, shards, 0), _chain(at, hi, shards, 1)
+        lo, hi = _smallest(at, total, shards, lo, hi, 1, giants), _smallest(at, total, shards, lo, hi, 0, giants)
+        least, most = _chain(at, lo, shards, 0, giants), _chain(at, hi, shards, 1, giants)
         if lo == hi and least == most:
             return least
         # a bucket that a doubtful stretch touches is asked about as a whole
@@ -89,16 +96,15 @@ def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int, summary
         windows = merged
 
 
-def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 16, summary: int = SUMMARY) -> DataFrame:
     """Put all rows of (doc_id, text) into shards of near-equal bytes; equal texts stay together.
 
     Result: doc_id, size (UTF-8 bytes plus 1), text_crc32, law ('bytes'), shard (from 0), slot (gapless
     from 0 in each shard), grown_shard (null under this law). Groups of equal texts are atomic and
-    stand in the order of their md5. A group at least as large as an even share of what is left gets
-    a shard of its own (at most shards - 1 of them, the last shards); the others are cut by
-    `minimax_cuts`, so the largest shard is as small as contiguous groups allow.
+    stand in one order, that of their md5, and shards are ranges of it. The capacity is the smallest with which a greedy
+    pass needs no more than `shards` shards; only a group that is itself above it makes a larger one, alone.
 
-    A null text is of size 1 and its rows form one group, apart from empty texts; text_crc32 of null is
+    A null text is of size 1 and its rows form one group, the last, apart from empty texts; text_crc32 of null is
     that of no bytes (0). Repeated rows count each. An empty table gives an empty result. Other columns
     of `docs` are ignored.
     """
@@ -111,28 +117,12 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     )
     groups = store(rows.groupBy("group").agg(F.sum("size").alias("bytes")))
     total = groups.agg(F.sum("bytes")).first()[0] or 0
-    top = groups.orderBy(F.desc("bytes"), "group").limit(shards).collect()
-    giants: list[str] = []
-    left, rest = total, shards
-    for r in top:
-        if rest > 1 and r["bytes"] * rest >= left:
-            giants.append(r["group"])
-            left, rest = left - r["bytes"], rest - 1
-        else:
-            break
-    largest = next((r["bytes"] for r in top if r["group"] not in giants), 0)
-    small = groups.where(~F.col("group").isin(giants)) if giants else groups
-    placed = store(
-        running_totals(small.withColumn("all", F.lit(0)), ["all"], ["group"], {"bytes": "before"}).select("group", (F.col("before") + F.col("bytes")).alias("end"))
-    )
-    cuts = minimax_cuts(placed, left, largest, rest) if left else []
+    placed = store(running_totals(groups.withColumn("all", F.lit(0)), ["all"], ["group"], {"bytes": "before"}).select("group", "before", (F.col("before") + F.col("bytes")).alias("end")))
+    giants = [(r["before"], r["end"]) for r in placed.orderBy((F.col("before") - F.col("end")), "group").limit(shards).collect()]
+    cuts = minimax_cuts(placed, total, 0, shards, summary, giants) if total else []
     number = F.lit(0)
     for c in cuts[:-1]:
         number = number + (F.col("end") > c).cast("int")
-    of = placed.select("group", number.alias("shard"))
-    if giants:
-        own = F.create_map(*[x for i, g in enumerate(giants) for x in (F.lit(g), F.lit(rest + i))])
-        of = of.unionByName(groups.where(F.col("group").isin(giants)).select("group", own[F.col("group")].alias("shard")))
-    out = rows.join(of, "group").withColumn("one", F.lit(1).cast("long"))
+    out = rows.join(placed.select("group", number.alias("shard")), "group").withColumn("one", F.lit(1).cast("long"))
     out = running_totals(out, ["shard"], ["group", "doc_id"], {"one": "slot"})
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))

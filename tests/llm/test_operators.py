@@ -267,17 +267,31 @@ def test_repeats(docs, hot, block, chunk):
     assert _collect(got) == sorted(want, key=str)
 
 
-def test_shards(docs):
-    got = [r.asDict() for r in shard(docs, 4).collect()]
-    assert len(got) == len(ROWS) and {r["law"] for r in got} == {"bytes"} and {r["grown_shard"] for r in got} == {None}
-    size = collections.Counter(len((r[1] or "").encode()) + 1 for r in ROWS)
-    assert collections.Counter(r["size"] for r in got) == size
+@pytest.mark.parametrize("shards, summary", [(4, 65_536), (3, 4), (16, 8)])
+def test_shards(docs, shards, summary):
+    """Every row as by a plain minimax partition of the groups in md5 order."""
+    group = lambda t: "null" if t is None else hashlib.md5(t.encode()).hexdigest()
+    size = lambda t: len((t or "").encode()) + 1
+    sums = collections.Counter()
+    for r in ROWS:
+        sums[group(r[1])] += size(r[1])
+    order = sorted(sums)
+
+    def cut(capacity):
+        out, at, load = {}, 0, 0
+        for g in order:
+            if load and load + sums[g] > capacity:
+                at, load = at + 1, 0
+            out[g], load = at, load + sums[g]
+        return out, at + 1
+
+    capacity = next(c for c in range(1, sum(sums.values()) + 1) if cut(c)[1] <= shards)  # a group above it stands alone
+    want = cut(capacity)[0]
+    got = [r.asDict() for r in shard(docs, shards, summary).collect()]
+    assert {r["law"] for r in got} == {"bytes"} and {r["grown_shard"] for r in got} == {None}
+    assert sorted(((r["doc_id"], r["size"], r["text_crc32"], r["shard"]) for r in got), key=str) == sorted(((r[0], size(r[1]), zlib.crc32((r[1] or "").encode()), want[group(r[1])]) for r in ROWS), key=str)
     for s in {r["shard"] for r in got}:
         assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
-    where = collections.defaultdict(set)
-    for r in got:
-        where[r["text_crc32"], r["size"]].add(r["shard"])
-    assert all(len(v) == 1 for v in where.values())
 
 
 def test_minimax(spark):

@@ -28,6 +28,8 @@ WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 LEAST_REVISIT = 100
 #: An archive is closed when its WARC reaches so many bytes.
 ARCHIVE_BYTES = 64 << 20
+#: Archives are read in at most so many tasks, and records that follow each other in reads of at most so many bytes.
+READ_TASKS, READ_BYTES = 100_000, 4 << 20
 _END, _END64, _LOC64, _ENTRY, _LOCAL = b"PK\5\6", b"PK\6\6", b"PK\6\7", b"PK\1\2", b"PK\3\4"
 
 
@@ -167,6 +169,24 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     return pages.select(text("page_id"), "url", "html", "digest", text("first")).mapInPandas(write, "path string, records long")
 
 
+def _ranges(fetch, start: int, entries: Iterator[dict]) -> Iterator[bytes]:
+    """The bytes of index entries (offset, length) in their order; those that follow each other are fetched together."""
+    run: list[tuple[int, int]] = []
+
+    def read() -> Iterator[bytes]:
+        data = fetch(start + run[0][0], run[-1][0] + run[-1][1] - run[0][0])
+        for offset, length in run:
+            yield data[offset - run[0][0] : offset - run[0][0] + length]
+
+    for e in entries:
+        if run and (e["offset"] != run[-1][0] + run[-1][1] or e["offset"] + e["length"] - run[0][0] > READ_BYTES):
+            yield from read()
+            run = []
+        run.append((e["offset"], e["length"]))
+    if run:
+        yield from read()
+
+
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     """Every record of the archives named in `path`: page_id, url, record_type, refers_to, payload_bytes, payload_digest.
 
@@ -184,9 +204,8 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                     start, _ = names.stored(WARC_MEMBER)
                     index = fetch(*names.stored(INDEX_MEMBER))
                     rows = []
-                    for line in io.BytesIO(index):
-                        entry = json.loads(line)
-                        record = parse_record(zlib.decompress(fetch(start + entry["offset"], entry["length"]), 31))
+                    for packed in _ranges(fetch, start, (json.loads(line) for line in io.BytesIO(index))):
+                        record = parse_record(zlib.decompress(packed, 31))
                         h, payload = record["headers"], record["payload"]
                         revisit = record["type"] == "revisit"
                         size = int(record["http"]["content-length"]) if revisit else len(payload)
@@ -222,7 +241,9 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame, folder: str | None
     first = rows.where(F.col("n") >= LEAST_REVISIT).groupBy("digest").agg(F.min("page_id").alias("least"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     marked = rows.join(first, "digest", "left").withColumn("first", F.when(F.col("page_id") > F.col("least"), F.col("least")))
     archives = store(write_archives(marked, folder))
-    return read_archives(archives.repartition("path"), folder)
+    # a number of tasks that adaptive execution does not merge: archives are large, their names are not
+    tasks = max(1, min(archives.count(), READ_TASKS))
+    return read_archives(archives.repartition(tasks, "path"), folder)
 
 
 def remove_archives(folder: str) -> None:

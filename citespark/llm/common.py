@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 from pyarrow import fs
@@ -16,6 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 _LOCAL: list[str] = []
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,13 +37,21 @@ def filesystem(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def store(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-    """Write `df` once as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write `df` once as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write are dropped when it ends: nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/citespark/{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path  # type: ignore[attr-defined]
     return out
@@ -59,14 +66,6 @@ def forget(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that nothing refers to any more, before the next large step writes its own."""
-    for _ in range(2):  # what the first collection finalises the second one frees; the cleaner works in the background
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
-
-
 def running_totals(df: DataFrame, group: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
     """Add exclusive running totals inside each group without gathering a group in one task.
 

@@ -30,9 +30,9 @@ from citespark.llm.common import filesystem, forget, shared_dir, store
 
 #: Good-Turing discounts apply to counts up to this.
 K = 5
-CHUNK_TOKENS = 1_200_000
+CHUNK_TOKENS = 800_000
 #: Bytes of text for each bucket of contexts; continuations of a context of more than SPLIT occurrences go to several tasks.
-BUCKET_BYTES, SPLIT = 8 << 20, 4_000_000
+BUCKET_BYTES, SPLIT = 6 << 20, 4_000_000
 #: Words hold no blank, so these are no words: the context before the first token, and the end.
 _START, _END = xxhash.xxh64_intdigest(b"\t"), xxhash.xxh64_intdigest(b"\n")
 _ROW = "kind string, chunk string, bucket int, split int, blob binary"

@@ -8,10 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citespark.llm.common import packed, store, unpacked
+from citespark.llm.common import forget, packed, store, unpacked
 
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -60,34 +60,56 @@ def _telling(grams: dict[int, dict], k: int) -> int:
 
 
 class Model:
-    """Log probabilities by language of words and of n-grams of each length, longest first."""
+    """Log probabilities by language of words and of n-grams of each length, longest first.
+
+    Sparse: a key holds what it gains over the floor of unseen keys in the languages that have it.
+    """
 
     def __init__(self, langs: list[str], words: dict, grams: dict[int, dict], totals: dict):
         self.langs = langs
         self.orders = sorted(grams, reverse=True)
-        rows: list[np.ndarray] = []
+        first, lang, gain = [0], [], []
+        self.floors: dict[int, np.ndarray] = {}
 
-        def table(counts: dict, total: np.ndarray) -> dict[str, int]:
-            floor = np.log(0.5 / (total + 1))
+        def table(order: int, counts: dict) -> dict[str, int]:
+            total = totals[order]
+            floor = self.floors[order] = np.log(0.5 / (total + 1))
             index = {}
             for key, by_lang in counts.items():
-                row = floor.copy()
-                for k, n in by_lang.items():
-                    row[k] = np.log((n + 0.5) / (total[k] + 1))
-                index[key] = len(rows)
-                rows.append(row)
+                index[key] = len(first) - 1
+                for k in sorted(by_lang):
+                    lang.append(k)
+                    gain.append(np.log((by_lang[k] + 0.5) / (total[k] + 1)) - floor[k])
+                first.append(len(lang))
             return index
 
-        self.words = table(words, totals[0])
-        self.grams = {n: table(grams[n], totals[n]) for n in self.orders}
-        self.rows = np.array(rows).reshape(len(rows), len(langs))
+        self.words = table(0, words)
+        self.grams = {n: table(n, grams[n]) for n in self.orders}
+        self.first, self.lang, self.gain = np.array(first, np.int64), np.array(lang, np.int32), np.array(gain)
         telling = [_telling(grams, k) for k in range(len(langs))]
         self.least = min(telling, default=0)
-        self.tells = np.zeros(len(rows), bool)  # n-grams of the length that tells a language that has them
+        self.tells = bytearray(len(first))  # n-grams of the length that tells a language that has them
         for n in set(telling):
             for g, by_lang in grams[n].items():
                 self.tells[self.grams[n][g]] = any(telling[k] == n for k in by_lang)
 
+    @property
+    def rows(self) -> np.ndarray:
+        """All log probabilities as a matrix of keys and languages, for looking at small models."""
+        out = np.zeros((len(self.first) - 1, len(self.langs)))
+        for order, index in [(0, self.words), *self.grams.items()]:
+            out[list(index.values())] = self.floors[order]
+        out[np.repeat(np.arange(len(out)), np.diff(self.first)), self.lang] += self.gain
+        return out
+
+    def _gains(self, keys, weights) -> np.ndarray:
+        """Sum of the weighted gains of keys, by language."""
+        keys = np.asarray(keys, np.int64)
+        begin = self.first[keys]
+        n = self.first[keys + 1] - begin
+        at = np.repeat(begin - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        return np.bincount(self.lang[at], weights=self.gain[at] * np.repeat(weights, n), minlength=len(self.langs))
+
     def backoff(self, word: str) -> tuple[np.ndarray | None, bool]:
         """Mean over the word's known n-grams of the greatest length that has any (None if none has), and whether the word is evidence.
 
@@ -103,12 +125,12 @@ class Model:
                 found = [index[g] for i in range(len(part) - n + 1) if (g := part[i : i + n]) in index]
                 if found:
                     if row is None:
-                        total = total + self.rows[found].sum(0)
+                        total = total + self._gains(found, np.ones(len(found)))
                     known += len(found)
-                    telling += np.count_nonzero(self.tells[found])
+                    telling += sum(map(self.tells.__getitem__, found))
             if known:
                 if row is None:
-                    row = total / known
+                    row = self.floors[n] + total / known
                 if 2 * telling >= count:
                     return row, True
             if row is not None and n <= self.least:
@@ -130,9 +152,7 @@ class Model:
             known = at[at >= 0]
             n_seen += len(known)
             if len(known):
-                used = np.bincount(known)
-                hit = np.flatnonzero(used)
-                total += used[hit] @ self.rows[hit]
+                total += len(known) * self.floors[0] + self._gains(known, np.ones(len(known)))
             if len(known) < len(words):
                 unseen.update(w for w, i in zip(words, ids) if i < 0)
             if len(unseen) > 100_000:
@@ -145,29 +165,54 @@ class Model:
         return self.langs[best], float(1 / np.exp(total - total[best]).sum()), n_seen / n_words
 
     def _add(self, unseen: Counter, total: np.ndarray) -> int:
+        """`backoff` of many words at once, added to `total`; returns how many are evidence."""
         seen = 0
+        keys: list[int] = []
+        lens: list[int] = []
+        times: list[float] = []
+        tells = self.tells.__getitem__
         for word, n in unseen.items():
-            row, evident = self.backoff(word)
-            if row is not None:
-                total += n * row
-            seen += n * evident
+            if len(word) > _RUN:
+                row, evident = self.backoff(word)
+                if row is not None:
+                    total += n * row
+                seen += n * evident
+                continue
+            padded, chosen = f"<{word}>", False
+            for k in self.orders:
+                index, count = self.grams[k], len(padded) - k + 1
+                found = [index[g] for i in range(count) if (g := padded[i : i + k]) in index]
+                if found:
+                    if not chosen:
+                        chosen = True
+                        keys += found
+                        lens.append(len(found))
+                        times.append(n / len(found))
+                        total += n * self.floors[k]
+                    if 2 * sum(map(tells, found)) >= count:
+                        seen += n
+                        break
+                if chosen and k <= self.least:
+                    break
+        if keys:
+            total += self._gains(keys, np.repeat(times, lens))
         return seen
 
 
-def fit(labelled: DataFrame, per_lang: int = 2000, max_words: int = 30_000, max_grams: int = 10_000, orders=(1, 2, 3, 4), max_langs: int = 64) -> Model:
-    """A model of (doc_id, text, lang) rows with text and lang.
+def fit(labelled: DataFrame, per_lang: int = 2000, most_rows: int = 40_000, orders=(1, 2, 3, 4)) -> Model:
+    """A model of (doc_id, text, lang) rows with text and lang; every lang value is learned, with all words and n-grams of its rows.
 
-    Bounds, all documented parameters: it is fitted on about `per_lang` rows of each language (those whose
-    hashed doc_id is below a threshold), of the `max_langs` most frequent languages, and keeps the `max_words` most
-    frequent words and `max_grams` n-grams of each length per language; so is what reaches the driver.
+    Bounds, both documented parameters: it is fitted on about `per_lang` rows of each language and about `most_rows` in all, shared
+    evenly (those whose hashed doc_id and text are below a threshold; copies count once). What reaches the driver and the
+    broadcast are the words and n-grams of these rows.
     """
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    langs = sorted(r["lang"] for r in sizes)
-    rate = F.lit(0.0)
-    for r in sizes:
-        rate = F.when(F.col("lang") == r["lang"], min(1.0, per_lang / r["count"])).otherwise(rate)
-    sample = rows.where((F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(1 << 20)) / (1 << 20)) < rate).select("text", "lang")
+    sizes = store(rows.groupBy("lang").count())
+    langs = sorted(r["lang"] for r in sizes.select("lang").collect())
+    each = min(per_lang, max(1, most_rows // max(len(langs), 1)))
+    rates = sizes.select("lang", (F.lit(each) / F.col("count")).alias("rate"))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / (1 << 20)
+    sample = rows.withColumn("draw", draw).join(rates, "lang").where("draw < rate").select("text", "lang").dropDuplicates(["lang", "text"])
 
     def words_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -190,22 +235,17 @@ def fit(labelled: DataFrame, per_lang: int = 2000, max_words: int = 30_000, max_
             yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["lang", "k", "gram", "n"])
 
     grams = words.mapInPandas(grams_of, "lang string, k int, gram string, n long").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
-
-    def top(df: DataFrame, by: list[str], key: str, most: int) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), key))
-        return df.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
-
     at = {lang: i for i, lang in enumerate(langs)}
     word_counts: dict = {}
     gram_counts: dict[int, dict] = {k: {} for k in orders}
     totals = {k: np.zeros(len(langs)) for k in (0, *orders)}
-    for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect():
-        totals[0][at[r["lang"]]] = r["n"]
-    for r in top(words, ["lang"], "word", max_words).toLocalIterator():
+    for r in words.toLocalIterator():
         word_counts.setdefault(r["word"], {})[at[r["lang"]]] = r["n"]
-    for r in top(grams, ["lang", "k"], "gram", max_grams).toLocalIterator():
+        totals[0][at[r["lang"]]] += r["n"]
+    for r in grams.toLocalIterator():
         gram_counts[r["k"]].setdefault(r["gram"], {})[at[r["lang"]]] = r["n"]
         totals[r["k"]][at[r["lang"]]] += r["n"]
+    forget(words), forget(sizes)
     return Model(langs, word_counts, gram_counts, totals)
 
 
@@ -216,7 +256,7 @@ def held_out(modulus: int = 3, rest: int = 1):
 
 def predict(docs: DataFrame, model: Model, text: str = "text"):
     """A struct column lang_pred, score, evidence for the texts of `docs`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by fit's parameters
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the words and n-grams of a bounded sample
 
     @F.pandas_udf("lang_pred string, score double, evidence double")
     def of(texts: pd.Series) -> pd.DataFrame:

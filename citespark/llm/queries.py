@@ -32,7 +32,7 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_id(_table(spark, sf_dir, "documents"), per_lang=2000, max_words=30_000, max_grams=10_000)
+    return language_id(_table(spark, sf_dir, "documents"), per_lang=2000, most_rows=40_000)
 
 
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

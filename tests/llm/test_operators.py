@@ -613,3 +613,60 @@ def test_leaks_in_odd_letters_and_across_parts(monkeypatch):
         text = fill * before + passage + " " + fill * 30
         (found,) = find_in([text], index)
         assert len(found) == 1 and text[found[0][1] : found[0][2]].strip() == passage
+
+
+def test_language_by_brute_force(spark, monkeypatch):
+    """Predictions, scores and evidence by plain dictionaries, on every language there is, whatever the pieces."""
+    from citespark.llm import langid
+
+    monkeypatch.setattr(langid, "_PIECE", 50)
+    rng = random.Random(6)
+    langs = [f"l{k:02d}" for k in range(70)]
+    rows = []
+    for k, lang in enumerate(langs):
+        own = [chr(97 + (k + j * j) % 26) for j in range(7)]
+        for _ in range(6):
+            words = ["".join(rng.choice(own) for _ in range(rng.randrange(2, 7))) for _ in range(rng.randrange(1, 30))]
+            rows.append((len(rows), rng.choice((" ", "\n", "\t", "-")).join(words), lang))
+    rows += [(len(rows), None, "l01"), (len(rows) + 1, "12 !", "l01"), (None, rows[3][1], "l00"), rows[5], (len(rows) + 2, rows[9][1], None)]
+    learned = {(r[1], r[2]) for r in rows if r[1] and r[2] and zlib.crc32(str(r[0] if r[0] is not None else "").encode()) % 3 != 1}
+    names = sorted({x for _, x in learned})
+    letters = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    count = {n: collections.Counter() for n in range(5)}
+    for t, lang in learned:
+        for w in letters(t):
+            count[0][lang, w] += 1
+            for n in (1, 2, 3, 4):
+                count[n].update((lang, f"<{w}>"[i : i + n]) for i in range(len(w) + 3 - n))
+    total = {n: collections.Counter() for n in count}
+    keys = {n: {g for _, g in c} for n, c in count.items()}
+    for n, c in count.items():
+        for (lang, _), x in c.items():
+            total[n][lang] += x
+    logp = lambda n, lang, g: math.log((count[n][lang, g] + 0.5) / (total[n][lang] + 1))
+
+    def score(t):
+        sums = dict.fromkeys(names, 0.0)
+        for w in letters(t):
+            if w in keys[0]:
+                for lang in names:
+                    sums[lang] += logp(0, lang, w)
+                continue
+            for n in (4, 3, 2, 1):
+                known = [g for i in range(len(w) + 3 - n) if (g := f"<{w}>"[i : i + n]) in keys[n]]
+                if known:
+                    for lang in names:
+                        sums[lang] += sum(logp(n, lang, g) for g in known) / len(known)
+                    break
+        best = max(sums.values())
+        return {x for x in names if sums[x] > best - 1e-9}, 1 / sum(math.exp(s - best) for s in sums.values())
+
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, lang string, found int")
+    got = language_id(df).collect()
+    assert len(got) == len(rows)
+    by = {r[0]: r[1] for r in rows}
+    for r in got:
+        want = score(by[r.doc_id]) if letters(by[r.doc_id]) else ({"und"}, 0.0)
+        assert r.score == pytest.approx(want[1], abs=1e-9)
+        assert r.lang_pred in want[0]
+    assert {r.lang_pred for r in got} >= set(names)

@@ -4,8 +4,8 @@ The corpus is cut into chunks of about a million tokens, each a file in the shar
 triples ...) a chunk tells buckets of contexts its distinct n-grams, and is told their corpus counts, so every n-gram travels once
 per chunk, packed: frequent words are no hot keys. Tables (Parquet, in the shared folder), one for each level, by bucket of contexts:
 
-* n-gram replies: per chunk the corpus counts of its n-grams, their numbers (the contexts of the next level), and for each context the
-  whole numbers that its backoff weight is made of
+* n-gram replies: per chunk the corpus counts of its n-grams, whether other chunks have them, and for each context the whole numbers
+  that its backoff weight is made of; the first level also gives words short numbers, by which n-grams are named from then on
 * parts: the same numbers of contexts so frequent that their continuations are dealt to several tasks
 
 A context that occurs in one chunk alone is settled there and asks nobody. Evaluation is recursive: the probability at a
@@ -30,9 +30,9 @@ from citespark.llm.common import filesystem, forget, shared_dir, store
 
 #: Good-Turing discounts apply to counts up to this.
 K = 5
-CHUNK_TOKENS = 800_000
+CHUNK_TOKENS = 1_000_000
 #: Bytes of text for each bucket of contexts; continuations of a context of more than SPLIT occurrences go to several tasks.
-BUCKET_BYTES, SPLIT = 6 << 20, 4_000_000
+BUCKET_BYTES, SPLIT = 12 << 20, 4_000_000
 #: Words hold no blank, so these are no words: the context before the first token, and the end.
 _START, _END = xxhash.xxh64_intdigest(b"\t"), xxhash.xxh64_intdigest(b"\n")
 _ROW = "kind string, chunk string, bucket int, split int, blob binary"
@@ -135,12 +135,31 @@ def _chunks(frames: Iterator[pd.DataFrame], folder: str, buckets: int, chunk_tok
         yield flush()
 
 
-def _numbered(total: np.ndarray, chunks: np.ndarray, split: int, splits: int, bucket: int, buckets: int) -> np.ndarray:
-    """Corpus-wide numbers of a group's distinct keys from 1 on, small ones for frequent keys; 0 for those that one chunk alone has."""
-    shared = np.flatnonzero(chunks > 1)
-    out = np.zeros(len(total), np.int64)
-    out[shared[np.argsort(-total[shared], kind="stable")]] = (np.arange(len(shared)) * splits + split) * buckets + bucket + 1
-    return out
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, a place of each, and which one every place holds."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))[: len(key)]
+    which = np.empty(len(key), np.int64)
+    which[order] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(key))))
+    return ordered[new], order[new], which
+
+
+def _tuples(names: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct tuple of word numbers, and which one every place holds."""
+    first, which = _groups(names[0])[1:]
+    for x in names[1:]:
+        own = _groups(x)[2]
+        first, which = _groups(which * (int(own.max(initial=0)) + 1) + own)[1:]
+    return first, which
+
+
+def _bucket(names: list[np.ndarray], buckets: int) -> np.ndarray:
+    h = names[0].astype(np.uint64)
+    for x in names[1:]:
+        h = (h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29))) + x.astype(np.uint64)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _stats(counts: np.ndarray) -> list[int]:
@@ -155,7 +174,8 @@ def _unigrams(buckets: int):
         blobs = [_unpack(b) for b in frame.blob]
         keys, at = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate([b[1] for b in blobs])).astype(np.int64)
-        word = _numbered(total, np.full(len(total), 2), 0, 1, bucket, buckets)  # as continuations even those of one chunk are told apart
+        word = np.empty(len(total), np.int64)  # small numbers for frequent words
+        word[np.argsort(-total, kind="stable")] = np.arange(len(total)) * buckets + bucket
         shared = (np.bincount(at) > 1).astype(np.int64)
         ends = np.cumsum([0] + [len(b[0]) for b in blobs])
         rows = [("n1", c, bucket, 0, _pack(total[at[i:j]], word[at[i:j]], shared[at[i:j]])) for c, i, j in zip(frame.chunk, ends[:-1], ends[1:])]
@@ -178,7 +198,7 @@ def _sums(context: np.ndarray, total: np.ndarray, below: np.ndarray, contexts: i
     for r in range(1, K + 1):
         out[r - 1] = np.bincount(context[total == r], minlength=contexts)
         out[K + r] = np.bincount(context[below == r], minlength=contexts)
-    np.add.at(out[K], context, below)
+    out[K] = np.bincount(context, weights=below, minlength=contexts)
     return out
 
 
@@ -186,7 +206,8 @@ class _Level:
     """The distinct n-grams of a chunk at one level."""
 
     count: np.ndarray  # in the training corpus
-    number: np.ndarray  # corpus-wide, 0 where no other chunk has it
+    names: list[np.ndarray]  # numbers of its words, one array for each place
+    shared: np.ndarray  # whether another chunk has it
     own: np.ndarray  # training occurrences here
     index: np.ndarray  # of the n-gram that ends at each place, -1 if there is none
     left: np.ndarray  # context: an n-gram one level below
@@ -209,8 +230,8 @@ class _Chunk:
         self.train = np.repeat(~self.out, self.lens)
         one = _Level()
         told = [_unpack(b) for b in frame[frame.kind == "n1"].sort_values("bucket").blob]
-        one.count, self.word, shared = (np.concatenate(x) for x in zip(*told))
-        one.number = self.word * shared
+        one.count, self.word, one.shared = (np.concatenate(x) for x in zip(*told))
+        one.names = [self.word]
         one.index, one.own = at, np.bincount(at[self.train], minlength=self.tokens)
         self.levels = [None, one]
         for n in range(2, levels + 1):
@@ -220,19 +241,28 @@ class _Chunk:
         """The n-grams of the next level, those that others must be asked about, and in which order."""
         lower, at, g = self.levels[n - 1], self.levels[1].index, _Level()
         place = np.flatnonzero(self.depth >= n - 1)
-        key, first, inverse = np.unique(lower.index[place - 1] * self.tokens + at[place], return_index=True, return_inverse=True)
+        key, first, inverse = _groups(lower.index[place - 1] * self.tokens + at[place])
         g.left, g.right = key // self.tokens, key % self.tokens
         g.own = np.bincount(inverse[self.train[place]], minlength=len(key))
         g.below = lower.index[place[first]]
         g.index = np.full(len(at), -1)
         g.index[place] = inverse
-        total = lower.count[g.left]
-        g.asked = np.flatnonzero(lower.number[g.left] > 0)
+        g.asked = np.flatnonzero(lower.shared[g.left] > 0)
         left = g.left[g.asked]
-        g.splits = np.maximum(-(-total[g.asked] // self.split), 1)
-        g.where = (lower.number[left] % self.buckets << 32) + self.word[g.right[g.asked]] % g.splits
-        order = np.argsort(g.where, kind="stable")
-        g.asked, g.where, g.splits = g.asked[order], g.where[order], g.splits[order]
+        # contexts by bucket; continuations of frequent ones are split by word
+        run = np.flatnonzero(np.concatenate(([True], left[1:] != left[:-1])))[: len(left)]
+        size = np.diff(np.append(run, len(left)))
+        context = left[run]
+        bucket = _bucket([x[context] for x in lower.names], self.buckets)
+        splits = np.maximum(-(-lower.count[context] // self.split), 1)
+        order = np.argsort(bucket, kind="stable")
+        into = np.repeat(run[order] - np.concatenate(([0], np.cumsum(size[order])[:-1])), size[order]) + np.arange(len(left))
+        where, g.splits = np.repeat(bucket[order] << 32, size[order]), np.repeat(splits[order], size[order])
+        if (splits > 1).any():
+            where = where + self.word[g.right[g.asked[into]]] % g.splits
+            again = np.argsort(where, kind="stable")
+            into, where, g.splits = into[again], where[again], g.splits[again]
+        g.asked, g.where = g.asked[into], where
         left = g.left[g.asked]
         # runs of one context at one place
         g.run = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (g.where[1:] != g.where[:-1]))))[: len(left)]
@@ -246,38 +276,38 @@ class _Chunk:
         for w, i, j in zip(where.tolist(), at.tolist(), [*at[1:].tolist(), len(left)]):
             r = g.run[slice(*np.searchsorted(g.run, (i, j)))]
             rows.append(("ask", self.path, w >> 32, w & 0xFFFFFFFF, _pack(
-                lower.number[left[r]], np.diff(np.append(r, j)), (g.splits[r] > 1).astype(np.int64), self.word[right[i:j]], g.own[g.asked[i:j]], lower.count[g.below[g.asked[i:j]]],
+                np.diff(np.append(r, j)), (g.splits[r] > 1).astype(np.int64), self.word[right[i:j]], g.own[g.asked[i:j]], lower.count[g.below[g.asked[i:j]]], *(x[left[r]] for x in lower.names),
             )))
-        many = self._many(g, lower)
-        rows += [("many", self.path, int(b), -1, _pack(many[many % self.buckets == b])) for b in np.unique(many % self.buckets)]
+        many, bucket = self._many(g, lower)
+        rows += [("many", self.path, int(b), -1, _pack(*(x[many[bucket == b]] for x in lower.names))) for b in np.unique(bucket)]
         alone = np.ones(len(g.left), bool)
         alone[g.asked] = False
         rows.append(("stats", "", xxhash.xxh32_intdigest(self.path) % self.buckets, -1, _pack(np.array(_stats(g.own[alone])))))
         return _rows(rows)
 
-    @staticmethod
-    def _many(g: _Level, lower: _Level) -> np.ndarray:
-        """Numbers of the contexts whose continuations are dealt to several tasks."""
-        return np.unique(lower.number[g.left[g.asked[g.splits > 1]]])
+    def _many(self, g: _Level, lower: _Level) -> tuple[np.ndarray, np.ndarray]:
+        """The contexts whose continuations are dealt to several tasks, by bucket, and their buckets."""
+        many = np.unique(g.left[g.asked[g.splits > 1]])
+        bucket = _bucket([x[many] for x in lower.names], self.buckets)
+        order = np.argsort(bucket, kind="stable")
+        return many[order], bucket[order]
 
     def _listen(self, n: int, frame: pd.DataFrame) -> None:
         g, lower = self.grams(n), self.levels[n - 1]
         told = [_unpack(b) for b in frame[frame.kind == f"n{n}"].sort_values(["bucket", "split"]).blob]
-        g.count, g.number = g.own.copy(), np.zeros(len(g.left), np.int64)
+        g.count, g.shared = g.own.copy(), np.zeros(len(g.left), np.uint8)
+        g.names = [*(x[g.left] for x in lower.names), self.word[g.right]]
         alone = np.ones(len(g.left), bool)
         alone[g.asked] = False
         g.sums = _sums(g.left[alone], g.own[alone], lower.count[g.below[alone]], len(lower.count))
         if told:
             g.count[g.asked] = np.concatenate([t[0] for t in told])
-            if len(told[0]) > 1 + _SUMS:
-                g.number[g.asked] = np.concatenate([t[1] for t in told])
+            g.shared[g.asked] = np.concatenate([np.unpackbits(t[1])[: len(t[0])] for t in told])
             g.sums[:, g.left[g.asked[g.run]]] = np.stack([np.concatenate([t[k] for t in told]) for k in range(-_SUMS, 0)])
-        many = self._many(g, lower)
+        many, _ = self._many(g, lower)
         if len(many):
             whole = [_unpack(b) for b in frame[frame.kind == f"whole{n}"].sort_values("bucket").blob]
-            number = many[np.argsort(many % self.buckets, kind="stable")]
-            of = np.unique(g.left[g.asked[g.splits > 1]])
-            g.sums[:, of] = np.stack([np.concatenate(x) for x in zip(*whole)])[:, np.argsort(number)][:, np.searchsorted(np.sort(number), lower.number[of])]
+            g.sums[:, many] = np.stack([np.concatenate(x) for x in zip(*whole)])
         self.levels.append(g)
 
 
@@ -285,7 +315,7 @@ def _asks(n: int, buckets: int, split: int):
     return lambda _, frame: _Chunk(frame, n - 1, buckets, split).ask(n)
 
 
-def _answers(n: int, last: bool, splits: int, buckets: int):
+def _answers(n: int):
     """Corpus counts of a bucket's n-grams, told to each chunk, and what the weights of its contexts need."""
 
     def of(_, frame: pd.DataFrame) -> pd.DataFrame:
@@ -293,22 +323,23 @@ def _answers(n: int, last: bool, splits: int, buckets: int):
         if split < 0:  # messages for the next step
             return frame
         blobs = [_unpack(b) for b in frame.blob]
-        runs = np.concatenate([b[1] for b in blobs])
-        contexts, run_of = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
-        words, word = np.unique(np.concatenate([b[3] for b in blobs]), return_inverse=True)
-        key, first, at = np.unique(np.repeat(run_of, runs) * len(words) + word, return_index=True, return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate([b[4] for b in blobs])).astype(np.int64)
-        sums = _sums(key // len(words), total, np.concatenate([b[5] for b in blobs])[first], len(contexts))
-        number = [] if last else [_numbered(total, np.bincount(at), split, splits, bucket, buckets)]
+        column = lambda k: np.concatenate([b[k] for b in blobs])
+        names = [column(k) for k in range(5, len(blobs[0]))]
+        context, run_of = _tuples(names)
+        words, _, word = _groups(column(2))
+        key, first, at = _groups(np.repeat(run_of, column(0)) * len(words) + word)
+        total = np.bincount(at, weights=column(3)).astype(np.int64)
+        shared = (np.bincount(at) > 1).astype(np.uint8)
+        sums = _sums(key // len(words), total, column(4)[first], len(context))
         rows = []
         i = r = 0
         for chunk, b in zip(frame.chunk, blobs):
-            j, s = i + len(b[3]), r + len(b[0])
-            rows.append((f"n{n}", chunk, bucket, split, _pack(total[at[i:j]], *(x[at[i:j]] for x in number), *sums[:, run_of[r:s]])))
+            j, s = i + len(b[2]), r + len(b[0])
+            rows.append((f"n{n}", chunk, bucket, split, _pack(total[at[i:j]], np.packbits(shared[at[i:j]]), *sums[:, run_of[r:s]])))
             i, r = j, s
-        many = np.unique(run_of[np.concatenate([b[2] for b in blobs]) > 0])
+        many = np.unique(run_of[column(1) > 0])
         if len(many):
-            rows.append(("part", "", bucket, split, _pack(contexts[many], *sums[:, many])))
+            rows.append(("part", "", bucket, split, _pack(*(x[context[many]] for x in names), *sums[:, many])))
         return _rows([*rows, ("stats", "", bucket, split, _pack(np.array(_stats(total))))])
 
     return of
@@ -318,13 +349,15 @@ def _wholes(n: int):
     """Adds up the parts of contexts that were dealt to several tasks, for each chunk that has some."""
 
     def of(_, frame: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(b) for b in frame[frame.kind == "part"].blob]
-        contexts, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        sums = np.zeros((_SUMS, len(contexts)), np.int64)
+        parts, asked = frame[frame.kind == "part"], frame[frame.kind == "many"]
+        given, wanted = [_unpack(b) for b in parts.blob], [_unpack(b) for b in asked.blob]
+        first, which = _tuples([np.concatenate([b[k] for b in given + wanted]) for k in range(n - 1)])
+        sums = np.zeros((_SUMS, len(first)), np.int64)
+        ends = np.cumsum([0] + [len(b[0]) for b in given + wanted])
         for k in range(_SUMS):
-            np.add.at(sums[k], at, np.concatenate([p[k + 1] for p in parts]))
-        asked = frame[frame.kind == "many"]
-        return _rows([(f"whole{n}", c, b, 0, _pack(*sums[:, np.searchsorted(contexts, _unpack(x)[0])])) for c, b, x in zip(asked.chunk, asked.bucket, asked.blob)])
+            np.add.at(sums[k], which[: ends[len(given)]], np.concatenate([b[n - 1 + k] for b in given]))
+        own = [which[i:j] for i, j in zip(ends[len(given) : -1], ends[len(given) + 1 :])]
+        return _rows([(f"whole{n}", c, b, 0, _pack(*sums[:, x])) for c, b, x in zip(asked.chunk, asked.bucket, own)])
 
     return of
 
@@ -412,7 +445,7 @@ def score_texts(docs: DataFrame, held_out, order: int = 3, chunk_tokens: int = C
     for level in range(2, order + 1):
         splits = max(1, -(-largest // split))
         asked = replies().groupBy("chunk").applyInPandas(_asks(level, buckets, split), _ROW)
-        told = store(asked.groupBy("bucket", "split").applyInPandas(_answers(level, level == order, splits, buckets), _ROW))
+        told = store(asked.groupBy("bucket", "split").applyInPandas(_answers(level), _ROW))
         tables.append(told)
         if splits > 1:
             tables.append(store(told.where("kind in ('part', 'many')").groupBy("bucket").applyInPandas(_wholes(level), _ROW)))

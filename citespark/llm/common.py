@@ -2,33 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from citespark.sources.tables import shared_folder as shared_dir
+
 #: Words are runs of anything but space and the ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-_LOCAL: list[str] = []
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); one of our own only where none is set and all runs in one process."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        if not _LOCAL:
-            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="citespark-"))
-        found = _LOCAL[0]
-    return found.rstrip("/")
-
-
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, for files that tasks write or read themselves, and the path in it."""
     if path.startswith("file:"):

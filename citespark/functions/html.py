@@ -106,15 +106,18 @@ def _names(node: Node) -> str:
 
 def strip_furniture(node: Node, keep_tags: tuple[str, ...] = ()) -> Node:
     """A copy without furniture by tag or by name."""
-    kept = []
-    for c in node.children:
-        if isinstance(c, Node):
-            if (c.tag in FURNITURE_TAGS and c.tag not in keep_tags) or (c.tag not in ("html", "body", "article") and any(f in _names(c) for f in FURNITURE_NAMES)):
-                continue
-            kept.append(strip_furniture(c, keep_tags))
-        else:
-            kept.append(c)
-    return Node(node.tag, node.attrs, kept)
+    out = Node(node.tag, node.attrs, [])
+    todo = [(node, out)]
+    while todo:
+        old, new = todo.pop()
+        for c in old.children:
+            if not isinstance(c, Node):
+                new.children.append(c)
+            elif not ((c.tag in FURNITURE_TAGS and c.tag not in keep_tags) or (c.tag not in ("html", "body", "article") and any(f in _names(c) for f in FURNITURE_NAMES))):
+                copy = Node(c.tag, c.attrs, [])
+                new.children.append(copy)
+                todo.append((c, copy))
+    return out
 
 
 def main_body(root: Node) -> Node:
@@ -123,13 +126,19 @@ def main_body(root: Node) -> Node:
     if articles:
         return max(articles, key=lambda n: len(text_of(n)))
 
+    # letters below each node, in all and in links: children come after their parents in `walk`
+    order = list(root.walk())
+    total, linked = {}, {}
+    for n in reversed(order):
+        size = sum(total[id(c)] if isinstance(c, Node) else len("".join(c.split())) for c in n.children)
+        total[id(n)] = size = 0 if n.tag in ("script", "style") else size
+        linked[id(n)] = size if n.tag == "a" else sum(linked[id(c)] for c in n.children if isinstance(c, Node))
+
     def density(n: Node) -> float:
-        prose = sum(len(text_of(c)) for c in n.children if isinstance(c, Node) and c.tag in ("p", "blockquote", "ul", "ol"))
-        total = len(text_of(n)) or 1
-        linked = sum(len(text_of(a)) for a in n.find("a"))
-        return prose * (1 - linked / total)
+        prose = sum(total[id(c)] for c in n.children if isinstance(c, Node) and c.tag in ("p", "blockquote", "ul", "ol"))
+        return prose * (1 - linked[id(n)] / (total[id(n)] or 1))
 
-    places = root.find("div", "section", "main", "body")
+    places = [n for n in order if n.tag in ("div", "section", "main", "body")]
     return max(places, key=density, default=root)
 
 
@@ -149,8 +158,10 @@ def blocks_of(body: Node) -> tuple[list[dict], list[str]]:
         if kind in ("image", "video") or text:
             out.append({"type": kind, "tag": tag, "text": "" if kind in ("image", "video") else text, **more})
 
-    def visit(node: Node):
-        for c in node.children:
+    def visit(top: Node):
+        todo = list(reversed(top.children))
+        while todo:
+            c = todo.pop()
             if isinstance(c, str):
                 if c.strip():
                     out.append({"type": "paragraph", "tag": "p", "text": _SPACE.sub(" ", c).strip()})
@@ -173,15 +184,18 @@ def blocks_of(body: Node) -> tuple[list[dict], list[str]]:
                 warning = f"unsupported_{c.tag}"
                 if warning not in warnings:
                     warnings.append(warning)
-            elif c.tag == "p" or not any(isinstance(x, Node) and (x.tag in BLOCK or x.tag in ("img", "iframe")) for x in c.walk() if x is not c):
+            elif c.tag == "p" or not blocky[id(c)]:
                 if not is_link_strip(c):
                     add("paragraph", c, "p")
                 for img in c.find("img"):
                     if image_url(img):
                         out.append({"type": "image", "tag": "figure", "text": "", "src": image_url(img), "caption": ""})
             else:
-                visit(c)
+                todo.extend(reversed(c.children))
 
+    blocky = {}  # whether a node holds blocks, images or frames, bottom-up
+    for n in reversed(list(body.walk())):
+        blocky[id(n)] = any(isinstance(x, Node) and (x.tag in BLOCK or x.tag in ("img", "iframe") or blocky[id(x)]) for x in n.children)
     visit(body)
     total: dict[str, int] = {}
     for b in out:
@@ -278,26 +292,38 @@ def _attributes(pairs: dict[str, str]) -> str:
     return "".join(f' {k}="{entities.escape(v)}"' for k, v in pairs.items())
 
 
+def _written(node: Node, opened) -> str:
+    """Markup of what is inside a node; `opened` gives a child's opening tag, "" to write only what is inside, None to leave it out."""
+    out: list[str] = []
+    todo: list = list(reversed(node.children))
+    while todo:
+        c = todo.pop()
+        if isinstance(c, tuple):
+            out.append(c[0])
+        elif isinstance(c, str):
+            out.append(entities.escape(c, quote=False))
+        elif (tag := opened(c)) is not None:
+            out.append(tag)
+            if tag and c.tag not in VOID:
+                todo.append((f"</{c.tag}>",))
+            if not tag or c.tag not in VOID:
+                todo.extend(reversed(c.children))
+    return "".join(out)
+
+
 def sanitise(node: Node) -> str:
     """Markup of allowed tags and attributes only; links keep http, https and mailto, images only local sources."""
-    out = []
-    for c in node.children:
-        if isinstance(c, str):
-            out.append(entities.escape(c, quote=False))
-            continue
-        if c.tag in ("script", "style", "iframe", "object", "noscript"):
-            continue
-        inner = sanitise(c)
+    def opened(c: Node) -> str | None:
         if c.tag not in SAFE_TAGS:
-            out.append(inner)
-            continue
+            return ""
         keep = {k: v for k, v in c.attrs.items() if k in SAFE_ATTRIBUTES.get(c.tag, ())}
         if "href" in keep and not re.match("(?i)(https?:|mailto:)", keep["href"].strip()):
             del keep["href"]
         if "src" in keep and re.match(r"(?i)([a-z][a-z0-9+.-]*:|//)", keep["src"].strip()):
             del keep["src"]
-        out.append(f"<{c.tag}{_attributes(keep)}>" + ("" if c.tag in VOID else f"{inner}</{c.tag}>"))
-    return "".join(out)
+        return f"<{c.tag}{_attributes(keep)}>"
+
+    return _written(node, lambda c: None if c.tag in ("script", "style", "iframe", "object", "noscript") else opened(c))
 
 
 _NETWORK = {"src", "srcset", "href", "action", "formaction", "poster", "data", "background", "ping", "style", "cite", "longdesc", "manifest", "codebase"}
@@ -306,17 +332,13 @@ _NETWORK = {"src", "srcset", "href", "action", "formaction", "poster", "data", "
 def neutralise(markup: str) -> str:
     """The page with nothing in it that loads: scripts, frames and link, base and meta refresh go, every network attribute is renamed."""
 
-    def show(node: Node) -> str:
-        out = []
-        for c in node.children:
-            if isinstance(c, str):
-                out.append(entities.escape(c, quote=False))
-            elif c.tag not in ("script", "noscript", "base", "link", "style", "iframe", "object", "embed", "meta"):
-                attrs = {(f"data-original-{k}" if k in _NETWORK or ":" in k else k): v for k, v in c.attrs.items() if not k.startswith("on")}
-                out.append(f"<{c.tag}{_attributes(attrs)}>" + ("" if c.tag in VOID else show(c) + f"</{c.tag}>"))
-        return "".join(out)
+    def opened(c: Node) -> str | None:
+        if c.tag in ("script", "noscript", "base", "link", "style", "iframe", "object", "embed", "meta"):
+            return None
+        attrs = {(f"data-original-{k}" if k in _NETWORK or ":" in k else k): v for k, v in c.attrs.items() if not k.startswith("on")}
+        return f"<{c.tag}{_attributes(attrs)}>"
 
-    return '<!DOCTYPE html><meta charset="utf-8"><meta name="referrer" content="no-referrer">' + show(parse(markup))
+    return '<!DOCTYPE html><meta charset="utf-8"><meta name="referrer" content="no-referrer">' + _written(parse(markup), opened)
 
 
 def embedded_text(markup: str) -> str:

@@ -20,15 +20,31 @@ def _parts(url: Column) -> dict[str, Column]:
     return {"scheme": F.lower(get(1)), "host": F.lower(get(2)), "path": get(3), "query": get(4)}
 
 
+def _decoded(x: Column) -> Column:
+    return F.coalesce(F.try_url_decode(x), F.replace(x, F.lit("+"), F.lit(" ")))
+
+
+def _encoded(x: Column) -> Column:
+    return F.replace(F.replace(F.url_encode(x), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def canonical_url(url: Column) -> Column:
-    """The identity form: scheme and host in lower case, default ports and tracking parameters dropped, the other parameters
-    sorted, no fragment, no closing slash. `ref` and `source` are tracking parameters."""
-    p = _parts(url)
-    host = F.when(p["scheme"] == "http", F.regexp_replace(p["host"], ":80$", "")).when(p["scheme"] == "https", F.regexp_replace(p["host"], ":443$", "")).otherwise(p["host"])
-    kept = F.array_sort(F.filter(F.split(p["query"], "&"), lambda x: (x != "") & ~F.split(x, "=")[0].isin(*TRACKING)))
-    query = F.array_join(kept, "&")
-    path = F.regexp_replace(p["path"], "/+$", "")
-    return F.concat(p["scheme"], F.lit("://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    """The identity form: scheme and host in lower case, default ports and tracking parameters (in any case) dropped, the other
+    parameters decoded, sorted by name and value and encoded anew, no fragment, no closing slash but that of the root.
+    `ref` and `source` are tracking parameters. An empty URL stays empty; one without a scheme is taken as https."""
+    get = lambda i: F.regexp_extract(F.trim(url), r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?", i)
+    scheme = F.when(get(1) == "", "https").otherwise(F.lower(get(1)))
+    host = F.lower(get(2))
+    host = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
+    pairs = F.transform(
+        F.filter(F.split(get(4), "&"), lambda x: x != ""),
+        lambda x: F.struct(_decoded(F.substring_index(x, "=", 1)).alias("k"), _decoded(F.when(F.instr(x, "=") > 0, F.regexp_replace(x, "^[^=]*=", "")).otherwise("")).alias("v")),
+    )
+    kept = F.array_sort(F.filter(pairs, lambda x: ~F.lower(x["k"]).isin(*TRACKING)))
+    query = F.array_join(F.transform(kept, lambda x: F.concat(_encoded(x["k"]), F.lit("="), _encoded(x["v"]))), "&")
+    path = F.when(F.length(get(3)) > 1, F.regexp_replace(get(3), "/+$", "")).when(get(3) == "", "/").otherwise(get(3))
+    path = F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
+    return F.when(url == "", url).otherwise(F.concat(scheme, F.lit("://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
 def archive_id(url: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Code points of context kept on either side of a quote.
 CONTEXT = 32
+#: Letters by which needles of one or two words meet blocks.
+GRAM = 3
 
 
 def cut(text: Column, start: Column, end: Column) -> Column:
@@ -47,20 +49,28 @@ def verify(text: Column, start: Column, end: Column, exact: Column) -> Column:
 
 
 def locate_quotes(blocks: DataFrame, needles: DataFrame) -> DataFrame:
-    """Selectors of each needle (item_id, needle) at its first place in every block that holds it.
+    """Selectors of each needle (item_id, needle) at its first place in every block that holds it, also inside words.
 
-    Needles meet blocks by their rarest-looking word, an equi-join, before the exact test; a needle's words all occur in a
-    block that holds it, so none is lost. (Words cut at either end of the needle are not used; a needle of under three words
-    meets every block that holds one of its letters' words only if it is whole, so such needles are compared as words.)
+    Needles meet blocks by an equi-join before the exact test. A needle of three words or more is met by its longest inner word, which
+    stands between blanks wherever the needle occurs; a shorter one by its first letters (GRAM at most), at any place of a block. Only keys
+    are shuffled; the text joins the candidates. Empty needles are nowhere.
     """
     words = lambda x: F.split(x, " ")
-    inner = F.when(F.size(words(F.col("needle"))) > 2, F.slice(words(F.col("needle")), F.lit(2), F.size(words(F.col("needle"))) - 2)).otherwise(words(F.col("needle")))
-    key = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    keyed = needles.select("item_id", "needle", key.alias("word"))
-    by_word = blocks.select("article_id", "block_index", "block_text", F.explode(F.array_distinct(words(F.col("block_text")))).alias("word"))
-    hits = by_word.join(keyed, "word").where(F.instr("block_text", F.col("needle")) > 0)
+    needles = needles.where("needle <> ''").select("item_id", "needle")
+    long = needles.where(F.size(words(F.col("needle"))) > 2)
+    inner = F.slice(words(F.col("needle")), F.lit(2), F.size(words(F.col("needle"))) - 2)
+    word = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    by_word = blocks.select("article_id", "block_index", F.explode(F.array_distinct(words(F.col("block_text")))).alias("key"))
+    met = by_word.join(long.select("item_id", "needle", word.alias("key")), "key")
+    short = needles.where(F.size(words(F.col("needle"))) <= 2)
+    if not short.isEmpty():
+        grams = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("block_text"), F.lit(1))), lambda i: F.substring(F.col("block_text"), i, F.lit(n)))
+        every = F.array_distinct(F.concat(*[grams(n) for n in range(1, GRAM + 1)]))
+        by_gram = blocks.select("article_id", "block_index", F.explode(every).alias("key"))
+        met = met.unionByName(by_gram.join(short.select("item_id", "needle", F.substring("needle", 1, GRAM).alias("key")), "key"))
+    found = met.drop("key").join(blocks.select("article_id", "block_index", "block_text"), ["article_id", "block_index"]).where(F.instr("block_text", F.col("needle")) > 0)
     s = find_selector(F.col("block_text"), F.col("needle"))
-    return hits.select("article_id", "block_index", "item_id", s.alias("s"), "block_text").select("article_id", "block_index", "item_id", "s.*", "block_text")
+    return found.select("article_id", "block_index", "item_id", s.alias("s"), "block_text").select("article_id", "block_index", "item_id", "s.*", "block_text")
 
 
 def repair(found: Column, exact: Column, prefix: Column, suffix: Column, checked: Column) -> Column:

@@ -19,7 +19,7 @@ from citespark.operators import search as Z
 from citespark.operators import selectors as L
 from citespark.plans import sql as S
 from citespark.plans.query import compile_query
-from citespark.sources.tables import table
+from citespark.sources.tables import derived, table
 from citespark.streaming import leases
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,11 +49,13 @@ def _pages(spark, d):
 
 
 def _index(spark, d):
-    return Z.postings(Z.vectors(_blocks(spark, d)))
+    """The postings, written once sorted by lexeme: a query's lexemes reach the scan and skip the row groups of others."""
+    return derived(spark, _docs(spark, d), "postings", lambda: Z.postings(Z.vectors(_blocks(spark, d))), Z.write_index)
 
 
 def _gate(spark, d):
-    return Z.gate(_blocks(spark, d), table(spark, d, "labels"))
+    articles = derived(spark, _docs(spark, d), "articles", lambda: _blocks(spark, d).select("article_id", "source", "lang").distinct(), lambda t, path: t.write.parquet(path))
+    return Z.gate(articles, table(spark, d, "labels"))
 
 
 # --- sources -----------------------------------------------------------------------------------------------------------
@@ -100,6 +102,57 @@ _url_query("u04_match_url", "match_url", U.match_url, "regexp_replace(regexp_rep
 _url_query("u05_host", "host", U.host_of, f"regexp_replace({S.url_parts('url')['host']}, ':[0-9]+$', '')")
 _url_query("u06_slug", "slug", lambda u: U.slugify(u), f"left(regexp_replace(regexp_replace({S.fold('url')}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 80)")
 _url_query("u09_storage_path", "path", U.storage_path, f"{S.outlet('url')} || '/' || left(sha256({S.canonical_url('url')}), 2) || '/' || sha256({S.canonical_url('url')})")
+#: Cases that the tables do not hold, as (url, canonical form, platform).
+URL_CASES = (
+    ("https://h.example", "https://h.example/", "none"), ("HTTP://H.example:80//", "http://h.example", "none"), ("https://h.example:443/a/?b=2&a=1&a=0", "https://h.example/a?a=0&a=1&b=2", "none"),
+    ("https://h.example/a?UTM_Source=x&Ref=1&q=a%20b+c", "https://h.example/a?q=a+b+c", "none"), ("https://h.example/a?q=%c3%a9*~&&e", "https://h.example/a?e=&q=%C3%A9%2A~", "none"),
+    ("https://h.example:8080/A%20b/#top", "https://h.example:8080/A%20b", "none"), ("//h.example/x", "https://h.example/x", "none"), ("", "", "none"),
+    ("https://www.youtube.com/watch?v=abc&t=3", "https://www.youtube.com/watch?t=3&v=abc", "youtube"), ("https://youtu.be/abc", "https://youtu.be/abc", "youtube"), ("https://notyoutube.com/a", "https://notyoutube.com/a", "none"),
+    ("https://player.vimeo.com/video/1", "https://player.vimeo.com/video/1", "vimeo"), ("https://x.com/u/status/9", "https://x.com/u/status/9", "twitter"), ("https://m.facebook.com/v", "https://m.facebook.com/v", "facebook"),
+)
+
+
+def _values(rows, names: str) -> str:
+    one = lambda x: "null" if x is None else S.quoted(x) if isinstance(x, str) else str(x).lower()
+    return f"select * from (values {', '.join('(' + ', '.join(map(one, r)) + ')' for r in rows)}) t({names})"
+
+
+@register("u01_canonical_cases", f"with c as ({_values([(u, c) for u, c, _ in URL_CASES], 'url, canonical')}) select url, canonical, sha256(canonical) as archive_id, {S.canonical_url('url')} = canonical as agreed from c")
+def _(spark, d):
+    cases = spark.createDataFrame([(u, c) for u, c, _ in URL_CASES], "url string, wanted string")
+    own = U.canonical_url(F.col("url"))
+    return cases.select("url", own.alias("canonical"), U.archive_id(F.col("url")).alias("archive_id"), (own == F.col("wanted")).alias("agreed"))
+
+
+@register("e21_platform_cases", _values([(u, p) for u, _, p in URL_CASES], "url, platform"))
+def _(spark, d):
+    return spark.createDataFrame([(u,) for u, _, _ in URL_CASES], "url string").select("url", F.coalesce(U.platform_of(F.col("url")), F.lit("none")).alias("platform"))
+
+
+#: Pages for what the table's pages lack: (page_id, url, html).
+PAGE_CASES = (
+    (1, "https://news.example/world/2024/a", '<html lang="en-GB"><head><title>One - News</title><meta property="og:description" content="About one"></head><body><nav>menu</nav><article><h1>One</h1><p>First line of text. <a href="https://news.example/b">inside</a></p><p>Second <a href="https://other.example/c">out</a> and <a href="https://sub.news.example/d">below</a>.</p></article></body></html>'),
+    (2, "https://news.example/sport/x", '<html lang="hu"><head><script type="application/ld+json">{"@type": "NewsArticle", "headline": "Two", "author": {"name": "A B"}}</script></head><body><div><p>Alone in a container, no article element around it.</p><p><a href="mailto:a@b.example">mail</a></p></div></body></html>'),
+    (3, "https://news.example/", "<p>" + "<div>" * 1500 + "deep"),
+    (4, None, None),
+)
+
+
+@register("e02_extract_cases", _values([
+    (1, "One", "About one", "en", "world", None, 3), (2, "Two", None, "hu", "sport", "A B", 2), (3, None, None, None, None, None, 1), (4, None, None, None, None, None, 0),
+], "page_id, title, description, language, section, authors, n_blocks"))
+def _(spark, d):
+    x = X.extract_pages(spark.createDataFrame(PAGE_CASES, "page_id long, url string, html string"))
+    return x.select("page_id", "title", "description", "language", "section", F.nullif(F.array_join("authors", ","), F.lit("")).alias("authors"), F.size("blocks").alias("n_blocks"))
+
+
+@register("e25_link_cases", _values([
+    (1, "https://news.example/b", "inside", True), (1, "https://other.example/c", "out", False), (1, "https://sub.news.example/d", "below", True),
+], "page_id, url, text, internal"))
+def _(spark, d):
+    return X.links_table(X.extract_pages(spark.createDataFrame(PAGE_CASES, "page_id long, url string, html string"))).select("page_id", "url", "text", "internal")
+
+
 _url_query("e21_platform", "platform", lambda u: F.coalesce(U.platform_of(u), F.lit("none")), "'none'")
 
 
@@ -259,7 +312,7 @@ def _(spark, d):
 
 # --- selectors ---------------------------------------------------------------------------------------------------------
 
-NEEDLES = f"needle as (select item_id, {S.collapse('split_part(text, chr(10), 1)')} as needle from benchmark where length({S.collapse('split_part(text, chr(10), 1)')}) >= 20)"
+NEEDLES = f"needle as (select item_id, needle from (select distinct item_id, {S.collapse('line')} as needle from (select item_id, unnest(string_split(text, chr(10))) as line from benchmark)) where needle <> '')"
 QUOTES = f"""{S.BLOCKS}, {NEEDLES},
 qt as (
   select article_id, block_index, item_id, strpos(block_text, needle)::int - 1 as "start", strpos(block_text, needle)::int - 1 + length(needle)::int as "end", needle as exact,
@@ -270,8 +323,8 @@ qt as (
 
 
 def _quotes(spark, d):
-    n = table(spark, d, "benchmark").select("item_id", T.collapse(F.split_part(F.col("text"), F.lit("\n"), F.lit(1))).alias("needle")).where("length(needle) >= 20")
-    return L.locate_quotes(_blocks(spark, d), n).dropDuplicates(["article_id", "block_index", "item_id"])
+    lines = table(spark, d, "benchmark").select("item_id", F.explode(F.split("text", "\n")).alias("line"))
+    return L.locate_quotes(_blocks(spark, d), lines.select("item_id", T.collapse(F.col("line")).alias("needle")).distinct())
 
 
 @register("l02_find_quotes", f"with {QUOTES} select article_id, block_index, item_id, \"start\", \"end\", exact, prefix, suffix from qt")
@@ -319,12 +372,16 @@ def _(spark, d):
     return t.select("article_id", "block_index", "item_id", L.repair(F.col("block_text"), F.col("exact"), F.col("prefix"), F.col("suffix"), status).alias("resolution"))
 
 
-@register("l08_selector_json", f"""with {QUOTES} select article_id, block_index, item_id, json_array_length('["' || 'x' || '"]')::int as one, '/html/body/article/div/p[' || block_index || ']' as xpath, "start", "end" from qt""")
+@register("l08_selector_json", f"""with {QUOTES} select article_id, block_index, item_id, 'XPathSelector' as kind, '/html/body/article/div/p[' || block_index || ']' as xpath, "start", "end", exact, prefix, suffix,
+2 + (prefix is not null)::int + (suffix is not null)::int - 1 as n_quote from qt""")
 def _(spark, d):
     q = _quotes(spark, d).withColumn("xpath", F.concat(F.lit("/html/body/article/div/p["), F.col("block_index").cast("string"), F.lit("]")))
-    j = q.withColumn("j", L.to_json(F.col("start"), F.col("end"), F.col("exact"), F.col("prefix"), F.col("suffix"), F.col("xpath")))
+    j = q.select("article_id", "block_index", "item_id", L.to_json(F.col("start"), F.col("end"), F.col("exact"), F.col("prefix"), F.col("suffix"), F.col("xpath")).alias("j"))
     get = lambda p: F.get_json_object("j", p)
-    return j.select("article_id", "block_index", "item_id", F.lit(1).alias("one"), get("$.value").alias("xpath"), get("$.refinedBy.start").cast("int").alias("start"), get("$.refinedBy.end").cast("int").alias("end"))
+    return j.select(
+        "article_id", "block_index", "item_id", get("$.type").alias("kind"), get("$.value").alias("xpath"), get("$.refinedBy.start").cast("int").alias("start"), get("$.refinedBy.end").cast("int").alias("end"),
+        get("$.quote.exact").alias("exact"), get("$.quote.prefix").alias("prefix"), get("$.quote.suffix").alias("suffix"), F.size(F.call_function("json_object_keys", get("$.quote"))).alias("n_quote"),
+    )
 
 
 @register("l09_citation_audit", f"with {QUOTES}, tp as ({TAMPER}), v as (select {VERIFY} as status from tp) select status, count(*) as n from v group by all")
@@ -562,9 +619,9 @@ def _(spark, d):
     return C.stratified_sample(_docs(spark, d), "source", "doc_id", "seed", 5, {"src0": 8}).select("doc_id", "source", "rn")
 
 
-@register("w03_ordinality", f"select conv_id, turn, unnest(range(0, len(string_split(text, ' ')))) as pos, unnest(string_split(text, ' ')) as word from conversations where turn = 0")
+@register("w03_ordinality", f"select conv_id, turn, unnest(range(0, len(string_split(text, ' ')))) as pos, unnest(string_split(text, ' ')) as word from conversations")
 def _(spark, d):
-    return table(spark, d, "conversations").where("turn = 0").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+    return table(spark, d, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("pos", "word"))
 
 
 @register("o01_total_order", f"with {ARTICLES} select article_id, row_number() over (order by article_id % 5 desc, published_at desc nulls last, article_id) as place from art qualify place <= 50")

@@ -133,11 +133,23 @@ def url_parts(u: str) -> dict[str, str]:
 
 
 def canonical_url(u: str) -> str:
-    p = url_parts(u)
-    host = f"case when {p['scheme']} = 'http' then regexp_replace({p['host']}, ':80$', '') when {p['scheme']} = 'https' then regexp_replace({p['host']}, ':443$', '') else {p['host']} end"
+    """The identity form in steps of its own: parameters as [name, value] lists, percent codes by DuckDB's functions."""
+    rest = f"regexp_replace(trim({u}), '^[A-Za-z][A-Za-z0-9+.-]*:', '')"
+    scheme = f"(case when regexp_matches(trim({u}), '^[A-Za-z][A-Za-z0-9+.-]*:') then lower(split_part(trim({u}), ':', 1)) else 'https' end)"
+    bare = f"split_part({rest}, '#', 1)"
+    before = f"split_part({bare}, '?', 1)"
+    host = f"lower(regexp_extract({before}, '^//([^/]*)', 1))"
+    host = f"(case {scheme} when 'http' then regexp_replace({host}, ':80$', '') when 'https' then regexp_replace({host}, ':443$', '') else {host} end)"
+    path = f"regexp_replace({before}, '^//[^/]*', '')"
+    path = f"(case when {path} = '' then '/' when {path} = '/' then '/' else (case when starts_with({path}, '/') then '' else '/' end) || rtrim({path}, '/') end)"
+    given = f"list_filter(string_split(case when contains({bare}, '?') then substring({bare}, strpos({bare}, '?') + 1) else '' end, '&'), lambda x: x <> '')"
+    plain = lambda x: f"url_decode(replace({x}, '+', ' '))"
+    pairs = f"list_transform({given}, lambda x: [{plain('split_part(x, chr(61), 1)')}, case when contains(x, '=') then {plain('substring(x, strpos(x, chr(61)) + 1)')} else '' end])"
     drop = "[" + ", ".join(map(quoted, urls.TRACKING)) + "]"
-    query = f"array_to_string(list_sort(list_filter(string_split({p['query']}, '&'), lambda x: x <> '' and not list_contains({drop}, split_part(x, '=', 1)))), '&')"
-    return f"({p['scheme']} || '://' || {host} || regexp_replace({p['path']}, '/+$', '') || case when {query} <> '' then '?' || {query} else '' end)"
+    kept = f"list_sort(list_filter({pairs}, lambda p: not list_contains({drop}, lower(p[1]))))"
+    coded = lambda x: f"replace(url_encode({x}), '%20', '+')"
+    query = f"array_to_string(list_transform({kept}, lambda p: {coded('p[1]')} || '=' || {coded('p[2]')}), '&')"
+    return f"(case when {u} = '' then {u} else {scheme} || '://' || {host} || {path} || case when {query} <> '' then '?' || {query} else '' end end)"
 
 
 def outlet(u: str) -> str:

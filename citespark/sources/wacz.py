@@ -51,13 +51,15 @@ def records(stream: io.BufferedIOBase) -> Iterator[dict]:
 
 
 def decode(body: bytes, content_type: str) -> str:
-    """By the header's charset, else one named in the first 4096 bytes, else UTF-8; what cannot be read is replaced."""
+    """By the header's charset, else one named in the first 4096 bytes; as UTF-8 where that fails; what neither reads is replaced."""
     m = re.search(r"charset=[\"']?([\w-]+)", content_type or "", re.I) or re.search(rb"charset=[\"']?([\w-]+)", body[:4096], re.I)
     name = m[1].decode() if m and isinstance(m[1], bytes) else m[1] if m else "utf-8"
-    try:
-        return body.decode(name, "replace")
-    except LookupError:
-        return body.decode("utf-8", "replace")
+    for charset in (name, "utf-8"):
+        try:
+            return body.decode(charset)
+        except (LookupError, UnicodeDecodeError):
+            pass
+    return body.decode("utf-8", "replace")
 
 
 def skipped(uri: str, content_type: str) -> bool:

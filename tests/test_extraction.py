@@ -8,16 +8,16 @@ from citespark.sources.wacz import decode, page_entries, read_capture, read_capt
 
 PAGE = """<html lang="hu-HU"><head><title>T</title><script type="application/ld+json">{"@graph":[{"@type":"NewsArticle","headline":"Cím",
 "datePublished":"2024-01-02","author":[{"name":"Kiss Anna"},"Lap"],"publisher":{"name":"Lap"},"keywords":"a, b,A"}]}</script></head><body>
-<nav>menü</nav><article><h1>egy</h1><p>Első <b>bekezdés</b>.<p>Második <a href="https://www.lap.hu/x">itt</a> és <a href="https://m.hu/y">ott</a>.</p><h3>három</h3>
-<figure><img data-src="/k.jpg"><figcaption>Kép</figcaption></figure><blockquote><p>Elso mondat.</p><p>Masodik.</p></blockquote>
-<ul><li>elso</li><li>masodik</li></ul><ul><li><a href="/a">címke</a></li><li><a href="/b">másik</a></li></ul><table><tr><td>1</td></tr></table></article><footer>f</footer></body></html>"""
+<nav>menü</nav><article><h1>fent</h1><p>Első <b>bekezdés</b>.<p>Második <a href="https://www.lap.hu/x">itt</a> és <a href="https://m.hu/y">ott</a>.</p><h3>lent</h3>
+<figure><img data-src="/k.jpg"><figcaption>Kép</figcaption></figure><blockquote><p>Idézett sor.</p><p>Vége.</p></blockquote>
+<ul><li>alma</li><li>körte</li></ul><ul><li><a href="/a">címke</a></li><li><a href="/b">másik</a></li></ul><table><tr><td>1</td></tr></table></article><footer>f</footer></body></html>"""
 
 
 def test_extract():
     x = H.extract(PAGE, "https://lap.hu/belfold/2024/cikk")
     assert (x["title"], x["authors"], x["tags"], x["language"], x["section"], x["published_at"]) == ("Cím", ["Kiss Anna"], ["a", "b"], "hu", "belfold", "2024-01-02")
     assert [(b["type"], b["text"]) for b in x["blocks"]] == [
-        ("heading", "egy"), ("paragraph", "Első bekezdés."), ("paragraph", "Második itt és ott."), ("heading", "három"), ("image", ""), ("quote", "Elso mondat. Masodik."), ("list", "elso masodik"),
+        ("heading", "fent"), ("paragraph", "Első bekezdés."), ("paragraph", "Második itt és ott."), ("heading", "lent"), ("image", ""), ("quote", "Idézett sor. Vége."), ("list", "alma körte"),
     ]
     assert [b.get("level") for b in x["blocks"] if b["type"] == "heading"] == [2, 3]
     assert x["blocks"][1]["xpath"].endswith("/p[1]") and x["blocks"][3]["xpath"].endswith("/h3")
@@ -61,3 +61,40 @@ def test_captures(spark, tmp_path):
     rows = {r.path.rsplit("/", 1)[1]: r for r in read_captures(spark, str(tmp_path)).collect()}
     assert rows["a.wacz"].http_status == 200 and rows["a.wacz"].has_screenshot and rows["b.wacz"].error
     assert json.dumps(sorted(rows)) == '["a.wacz", "b.wacz"]'
+
+
+def test_deep_markup_and_wrong_charsets():
+    deep = "<div>" * 3000 + "<p>Far below stands a line.</p>" + "</div>" * 3000
+    x = H.extract(deep, "https://h.example/")
+    assert [b["text"] for b in x["blocks"]] == ["Far below stands a line."]
+    assert "Far below" in H.sanitise(H.parse(deep)) and "Far below" in H.neutralise(deep)
+    many = "<div>" * 400 + "".join(f"<p>Line {i} of many in one place.</p>" for i in range(3000))
+    assert len(H.extract(many, "")["blocks"]) == 3000
+    assert decode("ő".encode(), "text/html; charset=us-ascii") == "ő" and decode("ő".encode("iso8859-2"), "text/html; charset=iso-8859-2") == "ő"
+
+
+def test_quotes_inside_words(spark):
+    """Needles of one word or more are found wherever the text holds them."""
+    from citespark.operators.selectors import locate_quotes
+
+    texts = ["xhello worldy and more", "hello", "say hello world twice: hello world", "one two three four", "é", ""]
+    needles = ["hello world", "ello", "o", "two three", "one two three four", "ne two three f", "é", "zz", "", "hello"]
+    blocks = spark.createDataFrame([(i, 1, t) for i, t in enumerate(texts)], "article_id long, block_index int, block_text string")
+    wanted = sorted((i, k, t.index(n), t.index(n) + len(n)) for i, t in enumerate(texts) for k, n in enumerate(needles) if n and n in t)
+    got = locate_quotes(blocks, spark.createDataFrame(list(enumerate(needles)), "item_id long, needle string")).collect()
+    assert sorted((r.article_id, r.item_id, r.start, r.end) for r in got) == wanted
+
+
+def test_derived_tables_follow_their_source(spark, tmp_path):
+    from citespark.sources.tables import derived
+
+    path, built = str(tmp_path / "t"), []
+
+    def get():
+        source = spark.read.parquet(path)
+        return derived(spark, source, "test", lambda: built.append(1) or source.selectExpr("id + 1 as x"), lambda t, p: t.write.parquet(p)).count()
+
+    spark.range(3).write.parquet(path)
+    assert [get(), get(), len(built)] == [3, 3, 1]
+    spark.range(5).write.mode("overwrite").parquet(path)
+    assert [get(), len(built)] == [5, 2]

@@ -167,14 +167,12 @@ def nearest(rows: DataFrame, every: int = 50, k: int = 5, recall: float = 0.98,
             out.append(leaves)
         return pd.Series(out)
 
-    blocks = F.lit(1).cast("long")
-    for leaf, n in sizes.items():
-        if n > leaf_rows:
-            blocks = F.when(F.col("leaf") == leaf, F.lit(-(-n // leaf_rows))).otherwise(blocks)
-    placed = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks))
+    large = F.broadcast(spark.createDataFrame([(leaf, -(-n // leaf_rows)) for leaf, n in sizes.items() if n > leaf_rows], "leaf long, blocks long"))  # one row per leaf at most
+    blocks = F.coalesce("blocks", F.lit(1).cast("long"))
+    placed = index.join(large, "leaf", "left").withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks)).drop("blocks")
     queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = queries.select("vec_id", "embedding", F.explode(plan("embedding")).alias("leaf"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    asked = asked.join(large, "leaf", "left").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).drop("blocks")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []

@@ -385,6 +385,12 @@ def test_pii(spark):
     assert "iban:5:32" in by[8] and by[8].count("iban") == 1 and by[9].startswith("nid:4:15") and by[7].startswith("tel:5:17")
 
 
+def test_iban_ends_by_its_length(spark):
+    texts = ["IBAN BE68 5390 0754 7034 BIC GEBABEBB", "AT61 1904 3002 3457 3201 PAID", "ES9121000418450200051332 1", "DE89 3704 0044 0532 0130 00 EUR", "BE68 5390 0754 7035 BIC", "ZZ82 WEST 1234 5698 7654 32"]
+    got = {r.doc_id: r.spans for r in find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [[s for s in got[i].split(",") if s.startswith("iban")] for i in range(6)] == [["iban:5:24"], ["iban:0:24"], ["iban:0:24"], ["iban:0:27"], [], []]
+
+
 def test_mix(docs):
     got = [r.asDict() for r in mix(docs).collect()]
     assert len(got) == len(ROWS)

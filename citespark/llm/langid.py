@@ -73,7 +73,8 @@ class Model:
 
         def table(order: int, counts: dict) -> dict[str, int]:
             total = totals[order]
-            floor = self.floors[order] = np.log(0.5 / (total + 1))
+            # one floor for all, that of the most text: else languages of little text would win wherever words are unknown to them
+            floor = self.floors[order] = np.full(len(total), np.log(0.5 / (total.max(initial=0) + 1)))
             index = {}
             for key, by_lang in counts.items():
                 index[key] = len(first) - 1

@@ -649,7 +649,7 @@ def test_language_by_brute_force(spark, monkeypatch):
     for n, c in count.items():
         for (lang, _), x in c.items():
             total[n][lang] += x
-    logp = lambda n, lang, g: math.log((count[n][lang, g] + 0.5) / (total[n][lang] + 1))
+    logp = lambda n, lang, g: math.log((count[n][lang, g] + 0.5) / ((total[n][lang] if count[n][lang, g] else max(total[n].values())) + 1))
 
     def score(t):
         sums = dict.fromkeys(names, 0.0)

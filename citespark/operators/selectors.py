@@ -63,9 +63,10 @@ def locate_quotes(blocks: DataFrame, needles: DataFrame) -> DataFrame:
     by_word = blocks.select("article_id", "block_index", F.explode(F.array_distinct(words(F.col("block_text")))).alias("key"))
     met = by_word.join(long.select("item_id", "needle", word.alias("key")), "key")
     short = needles.where(F.size(words(F.col("needle"))) <= 2)
-    if not short.isEmpty():
-        grams = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("block_text"), F.lit(1))), lambda i: F.substring(F.col("block_text"), i, F.lit(n)))
-        every = F.array_distinct(F.concat(*[grams(n) for n in range(1, GRAM + 1)]))
+    lengths = [r[0] for r in short.select(F.least(F.length("needle"), F.lit(GRAM))).distinct().collect()]  # GRAM numbers at most
+    if lengths:
+        grams = lambda n: F.regexp_extract_all("block_text", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))  # noqa: E731  one at each place
+        every = F.array_distinct(F.concat(*[grams(n) for n in lengths]))
         by_gram = blocks.select("article_id", "block_index", F.explode(every).alias("key"))
         met = met.unionByName(by_gram.join(short.select("item_id", "needle", F.substring("needle", 1, GRAM).alias("key")), "key"))
     found = met.drop("key").join(blocks.select("article_id", "block_index", "block_text"), ["article_id", "block_index"]).where(F.instr("block_text", F.col("needle")) > 0)

@@ -4,8 +4,9 @@ The corpus is cut into chunks of about a million tokens, each a file in the shar
 triples ...) a chunk tells buckets of contexts its distinct n-grams, and is told their corpus counts, so every n-gram travels once
 per chunk, packed: frequent words are no hot keys. Tables (Parquet, in the shared folder), one for each level, by bucket of contexts:
 
-* n-gram replies: per chunk the corpus counts of its n-grams, whether other chunks have them, and for each context the whole numbers
-  that its backoff weight is made of; the first level also gives words short numbers, by which n-grams are named from then on
+* n-gram replies: per chunk the corpus counts of its n-grams, whether other chunks have them, for each context the least count of its
+  continuations, and for contexts before an n-gram of the chunk that training never saw, which alone back off, the whole numbers that the
+  backoff weight is made of; the first level also gives words short numbers, by which n-grams are named from then on
 * parts: the same numbers of contexts so frequent that their continuations are dealt to several tasks
 
 A context that occurs in one chunk alone is settled there and asks nobody. Evaluation is recursive: the probability at a
@@ -116,9 +117,11 @@ def _chunks(frames: Iterator[pd.DataFrame], folder: str, buckets: int, chunk_tok
         rank[order] = np.arange(len(keys))
         keys, count, bucket = keys[order], count[order], bucket[order]
         path = f"{base}/{uuid.uuid4().hex}"
-        start = int(np.flatnonzero(keys == np.uint64(_START))[0])
+        every = np.bincount(rank[at])
+        often = np.empty(len(keys), np.int64)  # frequent words first, which packs better
+        often[np.argsort(-every, kind="stable")] = np.arange(len(keys))
         with target.open_output_stream(path) as f:
-            f.write(_pack(ids, none, out, lens, rank[at], np.array([len(keys), start])))
+            f.write(_pack(ids, none, out, lens, often[rank[at]], every))
         ends = np.searchsorted(bucket, np.arange(buckets + 1))
         return _rows([("ask", path, b, 0, _pack(keys[i:j].view(np.int64), count[i:j])) for b, (i, j) in enumerate(zip(ends[:-1], ends[1:])) if i < j])
 
@@ -202,6 +205,17 @@ def _sums(context: np.ndarray, total: np.ndarray, below: np.ndarray, contexts: i
     return out
 
 
+def _least(sums: np.ndarray) -> np.ndarray:
+    """The least count of each context's seen continuations, K + 1 if none is seen 1 .. K times."""
+    some = sums[:K] > 0
+    return np.where(some.any(0), some.argmax(0) + 1, K + 1)
+
+
+def _told(total: np.ndarray, runs: np.ndarray, split: np.ndarray) -> np.ndarray:
+    """Which contexts a reply tells the sums of: those with an n-gram never seen, but for split ones, whose sums come as wholes."""
+    return np.logical_or.reduceat(total == 0, runs) & ~split
+
+
 class _Level:
     """The distinct n-grams of a chunk at one level."""
 
@@ -213,7 +227,9 @@ class _Level:
     left: np.ndarray  # context: an n-gram one level below
     right: np.ndarray  # token
     below: np.ndarray  # the n-gram without its first token, one level below
-    sums: np.ndarray  # by context (index one level below)
+    least: np.ndarray  # by context (index one level below): least count of its continuations, see _least
+    open: np.ndarray  # contexts before an n-gram never seen: the only ones whose weight is asked for
+    sums: np.ndarray  # of these
 
 
 class _Chunk:
@@ -224,13 +240,18 @@ class _Chunk:
         self.path = frame.chunk.iloc[0]
         target, path = filesystem(self.path)
         with target.open_input_stream(path) as f:
-            self.ids, self.none, self.out, self.lens, at, (n, self.start) = _unpack(f.read())
-        self.tokens = int(n)
+            self.ids, self.none, self.out, self.lens, at, every = _unpack(f.read())
+        self.tokens = len(every)
         self.depth = np.arange(len(at)) - np.repeat(np.cumsum(self.lens) - self.lens, self.lens)
         self.train = np.repeat(~self.out, self.lens)
         one = _Level()
         told = [_unpack(b) for b in frame[frame.kind == "n1"].sort_values("bucket").blob]
-        one.count, self.word, one.shared = (np.concatenate(x) for x in zip(*told))
+        told = [np.concatenate(x) for x in zip(*told)]
+        by_name = np.argsort(told[1])  # so contexts are asked about in the order of their names
+        place = np.empty(self.tokens, np.int64)
+        place[by_name] = np.arange(self.tokens)
+        at = place[np.argsort(-every, kind="stable")][at]
+        one.count, self.word, one.shared = (x[by_name] for x in told)
         one.names = [self.word]
         one.index, one.own = at, np.bincount(at[self.train], minlength=self.tokens)
         self.levels = [None, one]
@@ -276,7 +297,8 @@ class _Chunk:
         for w, i, j in zip(where.tolist(), at.tolist(), [*at[1:].tolist(), len(left)]):
             r = g.run[slice(*np.searchsorted(g.run, (i, j)))]
             rows.append(("ask", self.path, w >> 32, w & 0xFFFFFFFF, _pack(
-                np.diff(np.append(r, j)), (g.splits[r] > 1).astype(np.int64), self.word[right[i:j]], g.own[g.asked[i:j]], lower.count[g.below[g.asked[i:j]]], *(x[left[r]] for x in lower.names),
+                np.diff(np.append(r, j)), (g.splits[r] > 1).astype(np.int64), self.word[right[i:j]], g.own[g.asked[i:j]], lower.count[g.below[g.asked[i:j]]],
+                np.diff(lower.names[0][left[r]], prepend=0), *(x[left[r]] for x in lower.names[1:]),
             )))
         many, bucket = self._many(g, lower)
         rows += [("many", self.path, int(b), -1, _pack(*(x[many[bucket == b]] for x in lower.names))) for b in np.unique(bucket)]
@@ -299,15 +321,21 @@ class _Chunk:
         g.names = [*(x[g.left] for x in lower.names), self.word[g.right]]
         alone = np.ones(len(g.left), bool)
         alone[g.asked] = False
-        g.sums = _sums(g.left[alone], g.own[alone], lower.count[g.below[alone]], len(lower.count))
+        sums = _sums(g.left[alone], g.own[alone], lower.count[g.below[alone]], len(lower.count))
+        g.least = _least(sums)
         if told:
             g.count[g.asked] = np.concatenate([t[0] for t in told])
             g.shared[g.asked] = np.concatenate([np.unpackbits(t[1])[: len(t[0])] for t in told])
-            g.sums[:, g.left[g.asked[g.run]]] = np.stack([np.concatenate([t[k] for t in told]) for k in range(-_SUMS, 0)])
+            contexts = g.left[g.asked[g.run]]
+            g.least[contexts] = np.concatenate([t[2] for t in told])
+            sums[:, contexts[_told(g.count[g.asked], g.run, g.splits[g.run] > 1)]] = np.stack([np.concatenate([t[k] for t in told]) for k in range(-_SUMS, 0)])
         many, _ = self._many(g, lower)
         if len(many):
             whole = [_unpack(b) for b in frame[frame.kind == f"whole{n}"].sort_values("bucket").blob]
-            g.sums[:, many] = np.stack([np.concatenate(x) for x in zip(*whole)])
+            sums[:, many] = np.stack([np.concatenate(x) for x in zip(*whole)])
+            g.least[many] = _least(sums[:, many])
+        g.open = np.unique(g.left[g.count == 0])
+        g.sums = sums[:, g.open]
         self.levels.append(g)
 
 
@@ -323,6 +351,8 @@ def _answers(n: int):
         if split < 0:  # messages for the next step
             return frame
         blobs = [_unpack(b) for b in frame.blob]
+        for b in blobs:
+            b[5] = np.cumsum(b[5])
         column = lambda k: np.concatenate([b[k] for b in blobs])
         names = [column(k) for k in range(5, len(blobs[0]))]
         context, run_of = _tuples(names)
@@ -331,11 +361,14 @@ def _answers(n: int):
         total = np.bincount(at, weights=column(3)).astype(np.int64)
         shared = (np.bincount(at) > 1).astype(np.uint8)
         sums = _sums(key // len(words), total, column(4)[first], len(context))
+        least = _least(sums)
         rows = []
         i = r = 0
         for chunk, b in zip(frame.chunk, blobs):
             j, s = i + len(b[2]), r + len(b[0])
-            rows.append((f"n{n}", chunk, bucket, split, _pack(total[at[i:j]], np.packbits(shared[at[i:j]]), *sums[:, run_of[r:s]])))
+            own, counts = run_of[r:s], total[at[i:j]]
+            told = _told(counts, np.cumsum(b[0]) - b[0], b[1] > 0)
+            rows.append((f"n{n}", chunk, bucket, split, _pack(counts, np.packbits(shared[at[i:j]]), least[own], *sums[:, own[told]])))
             i, r = j, s
         many = np.unique(run_of[column(1) > 0])
         if len(many):
@@ -378,14 +411,16 @@ def _scores(d: list[np.ndarray], n: int, v: int, spare: float, unseen: float, bu
         final = below[one.index[here]]
         for k in range(2, len(d)):
             g, lower = c.levels[k], c.levels[k - 1]
-            freed = _freed(d[k]) @ g.sums[:K]
             # where no continuation is rare enough to be discounted, half a count is added for what was not seen
-            extra = np.where((lower.count > 0) & (freed <= 0), 0.5, 0.0)
+            rare = np.append(d[k][1:] < 1, False)[g.least - 1]
+            extra = np.where((lower.count > 0) & ~rare, 0.5, 0.0)
+            over = lower.count + extra
             # what is left one level below for those not seen: no difference of near numbers, so always above 0
-            rest = (divisor - g.sums[K] + _freed(d[k - 1]) @ g.sums[K + 1 :]) / np.maximum(divisor, 1)
+            whole = divisor[g.open]
+            rest = (whole - g.sums[K] + _freed(d[k - 1]) @ g.sums[K + 1 :]) / np.maximum(whole, 1)
             # a context that training never saw leaves everything to the level below
-            weight = np.where(lower.count > 0, (freed + extra) / np.maximum(lower.count + extra, 1) / np.where(rest > 0, rest, 1), 1.0)
-            over = lower.count + extra
+            weight = np.full(len(over), np.nan)
+            weight[g.open] = np.where(lower.count[g.open] > 0, (_freed(d[k]) @ g.sums[:K] + extra[g.open]) / np.maximum(over[g.open], 1) / np.where(rest > 0, rest, 1), 1.0)
             now = np.where(g.count > 0, _discounted(g.count, d[k]) / np.maximum(over[g.left], 1), weight[g.left] * below[g.below])
             has = g.index[here] >= 0
             final[has] = now[g.index[here[has]]]

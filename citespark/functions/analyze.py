@@ -23,8 +23,7 @@ _FOLD = str.maketrans(ACCENTED, PLAIN)
 
 
 def stem_col(token: Column) -> Column:
-    cut = F.regexp_extract(token, LIGHT, 1)
-    return F.when(cut != "", cut).otherwise(token)
+    return F.regexp_replace(token, LIGHT, "$1")
 
 
 def stem(token: str) -> str:
@@ -36,11 +35,19 @@ def fold_word(token: str) -> str:
     return token.translate(_FOLD).lower()
 
 
+def _lexemes(token: Column, folded: Column, lemma: Column) -> Column:
+    return F.when(folded.isin(*STOPWORDS), F.array(token)).otherwise(F.array_distinct(F.array(folded, fold(lemma), lemma, token)))
+
+
 def lexemes_col(token: Column) -> Column:
     """Distinct lexemes of a lower-case token: folded surface, folded lemma, accented lemma. Stop words have only their raw form."""
-    folded = fold(token)
-    raw = F.array(token)
-    return F.when(folded.isin(*STOPWORDS), raw).otherwise(F.array_distinct(F.array(folded, fold(stem_col(token)), stem_col(token), token)))
+    return _lexemes(token, fold(token), stem_col(token))
+
+
+def lexemes_of(tokens: Column) -> Column:
+    """The lexemes of each token of an array, one after the other; each form is made once."""
+    forms = F.transform(tokens, lambda t: F.struct(t.alias("t"), fold(t).alias("f"), stem_col(t).alias("s")))
+    return F.flatten(F.transform(forms, lambda x: _lexemes(x["t"], x["f"], x["s"])))
 
 
 def words(text: str) -> list[str]:

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from citespark.functions.text import collapse, html_text, is_boilerplate
 
 
+def text_lines(text: Column) -> Column:
+    """The non-empty lines of a text, white space collapsed."""
+    return F.filter(F.transform(F.split(text, "\n"), collapse), lambda x: x != "")
+
+
 def text_blocks(docs: DataFrame) -> DataFrame:
     """A block per non-empty line: article_id, block_index (from 1, contiguous), text. No shuffle: order comes from the array."""
-    lines = F.filter(F.transform(F.split("text", "\n"), collapse), lambda x: x != "")
-    return docs.select(F.col("doc_id").alias("article_id"), "lang", "source", F.posexplode(lines).alias("pos", "block_text")).select(
+    return docs.select(F.col("doc_id").alias("article_id"), "lang", "source", F.posexplode(text_lines(F.col("text"))).alias("pos", "block_text")).select(
         "article_id", "lang", "source", (F.col("pos") + 1).alias("block_index"), "block_text"
     )
 

@@ -2,32 +2,88 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citespark.functions.analyze import lexemes_col, stem_col
+from citespark.functions.analyze import fold_word, lexemes_col, lexemes_of, stem_col
 from citespark.functions.text import fold, tokens
 from citespark.operators.selectors import make_selector
-from citespark.plans.query import Plan, compile_query, phrase_patterns
+from citespark.plans.query import Plan, compile_query, lemma_lexemes, phrase_patterns
 
 #: Weights of the vector classes A to D; title is A, section and outlet B, body and captions D.
 WEIGHTS = {"A": 10, "B": 4, "C": 2, "D": 1}
 
 
 def vectors(blocks: DataFrame) -> DataFrame:
-    """Texts to index: (article_id, vec_kind, vec_id, weight, vec_text). The first block is the title as well (metadata, class A)."""
-    body = blocks.select("article_id", F.lit("b").alias("vec_kind"), F.col("block_index").alias("vec_id"), F.lit(WEIGHTS["D"]).alias("weight"), F.col("block_text").alias("vec_text"))
-    title = blocks.where("block_index = 1").select("article_id", F.lit("m").alias("vec_kind"), F.lit(0).alias("vec_id"), F.lit(WEIGHTS["A"]).alias("weight"), F.col("block_text").alias("vec_text"))
-    return body.unionByName(title)
+    """Texts to index: (article_id, vec_kind, vec_id, weight, vec_text), in one pass. The first block is the title as well (metadata, class A)."""
+    vec = lambda kind, at, weight: F.struct(F.lit(kind).alias("vec_kind"), at.alias("vec_id"), F.lit(weight).alias("weight"))
+    body, title = vec("b", F.col("block_index"), WEIGHTS["D"]), vec("m", F.lit(0), WEIGHTS["A"])
+    both = F.when(F.col("block_index") == 1, F.array(body, title)).otherwise(F.array(body))
+    return blocks.select("article_id", F.explode(both).alias("v"), F.col("block_text").alias("vec_text")).select("article_id", "v.*", "vec_text")
+
+
+def holds(lexeme: Column, wanted: Iterable[tuple[str, bool]]) -> Column:
+    """Whether a lexeme is one of `wanted`: (text, matches as prefix)."""
+    return _any_of([lexeme.startswith(x) if prefix else lexeme == x for x, prefix in wanted])
+
 
+def postings(texts: DataFrame, wanted: Iterable[tuple[str, bool]] | None = None) -> DataFrame:
+    """(article_id, vec_kind, vec_id, weight, lexeme, tf) of (article_id, vec_kind, vec_id, weight, vec_text). Write it sorted by lexeme to prune scans.
 
-def postings(texts: DataFrame) -> DataFrame:
-    """(article_id, vec_kind, vec_id, weight, lexeme, tf) of (article_id, vec_kind, vec_id, weight, vec_text). Write it sorted by lexeme to prune scans."""
+    With `wanted`, (lexeme, matches as prefix), only the postings of these, and only they are shuffled: a lexeme's folded form begins the
+    folded token, and so stands in the folded text; other texts and tokens go before lexemes are made.
+    """
+    starts = None if wanted is None else sorted({fold_word(x) for x, _ in wanted})
+    if starts is not None:
+        texts = texts.where(_any_of([fold("vec_text").contains(x) for x in starts]))
     t = texts.select("article_id", "vec_kind", "vec_id", "weight", F.explode(tokens("vec_text")).alias("token"))
+    if starts is not None:
+        t = t.where(_any_of([fold("token").startswith(x) for x in starts]))
     x = t.select("article_id", "vec_kind", "vec_id", "weight", F.explode(lexemes_col(F.col("token"))).alias("lexeme"))
+    if starts is not None:
+        x = x.where(holds(F.col("lexeme"), wanted))
     return x.groupBy("article_id", "vec_kind", "vec_id", "weight", "lexeme").agg(F.count("*").alias("tf"))
 
 
+def postings_of_rows(texts: DataFrame) -> DataFrame:
+    """`postings` of texts whose (article_id, vec_kind, vec_id) are unique: counted in the row, as runs of its sorted lexemes, without a shuffle."""
+    lexemes = F.array_sort(lexemes_of(tokens("vec_text")))
+    starts = F.filter(F.transform("all", lambda x, i: F.when((i == 0) | (x != F.get("all", i - 1)), i)), lambda i: i.isNotNull())
+    run = lambda at, k: F.struct(F.get("all", at).alias("lexeme"), (F.coalesce(F.get("at", k + 1), F.size("all")) - at).cast("long").alias("tf"))
+    vec = ("article_id", "vec_kind", "vec_id", "weight")
+    return texts.select(*vec, lexemes.alias("all")).select(*vec, "all", starts.alias("at")).select(*vec, F.explode(F.transform("at", run)).alias("p")).select(*vec, "p.*")
+
+
+def document_frequency(texts: DataFrame, articles: DataFrame) -> DataFrame:
+    """(lexeme, ndoc, nentry): the articles that hold a lexeme and its places in all `texts` (vectors).
+
+    `articles` is (article_id, lines), each article once. Only sums by token and by lexeme are shuffled: places are counted by token before
+    lexemes are made, and an article tells each of its lexemes once.
+    """
+    n = texts.select(F.explode(tokens("vec_text")).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    entries = n.select(F.explode(lexemes_col(F.col("token"))).alias("lexeme"), F.lit(0).cast("long").alias("ndoc"), F.col("n").alias("nentry"))
+    words = F.array_distinct(F.flatten(F.transform("lines", tokens)))
+    held = articles.where("article_id is not null").select(F.explode(F.array_distinct(lexemes_of(words))).alias("lexeme")).groupBy("lexeme").agg(F.count("*").alias("ndoc"))
+    both = entries.unionByName(held.select("lexeme", "ndoc", F.lit(0).cast("long").alias("nentry")))
+    return both.groupBy("lexeme").agg(F.sum("ndoc").alias("ndoc"), F.sum("nentry").alias("nentry"))
+
+
+def lexeme_spread(texts: DataFrame, least: int = 1) -> DataFrame:
+    """(lexeme, first, last, n_title) of lexemes of `least` letters or more: smallest and largest article that hold one, and its title places. One article holds it if they are equal."""
+    title = F.when(F.col("vec_kind") == "m", 1).otherwise(0)
+    t = texts.select("article_id", title.alias("title"), F.explode(tokens("vec_text")).alias("token")).where(F.length("token") >= least)  # a lexeme is no longer than its token
+    spread = lambda x, first, last, n, by: x.groupBy(by).agg(F.min(first).alias("first"), F.max(last).alias("last"), F.sum(n).alias("n_title"))
+    x = spread(t, "article_id", "article_id", "title", "token").select(F.explode(lexemes_col(F.col("token"))).alias("lexeme"), "first", "last", "n_title")
+    return spread(x.where(F.length("lexeme") >= least), "first", "last", "n_title", "lexeme")
+
+
+def _any_of(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
 def write_index(index: DataFrame, path: str) -> None:
     """Sorted by lexeme, in ranges of it, and in row groups small enough to skip."""
     index.repartitionByRange("lexeme", "article_id").sortWithinPartitions("lexeme", "article_id").write.option("parquet.block.size", 4 << 20).parquet(path)
@@ -38,17 +94,14 @@ def lexeme_hits(index: DataFrame, plan: Plan) -> DataFrame:
     rows = plan.rows()
     if not rows:
         return index.where(F.lit(False)).select("*", *[F.lit(0).alias(c) for c in ("ord", "side", "n_lex", "which")])
-    test = [F.col("lexeme").startswith(x) if p else F.col("lexeme") == x for _, _, _, x, p in rows]
-    any_of = test[0]
-    for t in test[1:]:
-        any_of = any_of | t
+    test = [holds(F.col("lexeme"), [(x, p)]) for _, _, _, x, p in rows]
     marks = F.array(*[F.when(t, F.struct(F.lit(o).alias("ord"), F.lit(s).alias("side"), F.lit(n).alias("n_lex"), F.lit(i).alias("which"))) for i, (t, (o, s, n, _, _)) in enumerate(zip(test, rows))])
-    return index.where(any_of).select("*", F.explode(F.array_compact(marks)).alias("m")).select(*index.columns, "m.*")
+    return index.where(_any_of(test)).select("*", F.explode(F.array_compact(marks)).alias("m")).select(*index.columns, "m.*")
 
 
 def term_hits(index: DataFrame, plan: Plan) -> DataFrame:
     """(article_id, vec_kind, vec_id, ord, rank): vectors in which a side of the term matches whole, with rank = sum of weight * tf."""
-    hits = lexeme_hits(index, plan)
+    hits = lexeme_hits(index, plan).where("article_id is not null")
     full = hits.groupBy("article_id", "vec_kind", "vec_id", "ord", "side", "n_lex").agg(F.count_distinct("which").alias("n"), F.collect_set(F.struct("lexeme", (F.col("weight") * F.col("tf")).alias("r"))).alias("lex")).where("n = n_lex")
     whole = full.groupBy("article_id", "vec_kind", "vec_id", "ord").agg(F.array_distinct(F.flatten(F.collect_list("lex"))).alias("lex"))
     return whole.select("article_id", "vec_kind", "vec_id", "ord", F.aggregate("lex", F.lit(0).cast("long"), lambda a, x: a + x["r"]).alias("rank"))
@@ -90,6 +143,7 @@ def ranks(hits: DataFrame, plan: Plan) -> DataFrame:
 def phrase_match(text: Column, needle: str) -> Column:
     """Whether the words of `needle` stand in `text` in order and adjacent, by any branch in force; null text matches nothing."""
     words = tokens(text)
+    folded = fold(text)
     forms = {
         "simple": lambda: F.array_join(words, " "), "folded": lambda: F.array_join(F.transform(words, fold), " "),
         "lemma": lambda: F.array_join(F.transform(words, lambda w: fold(stem_col(w))), " "), "accented_lemma": lambda: F.array_join(F.transform(words, stem_col), " "),
@@ -97,6 +151,8 @@ def phrase_match(text: Column, needle: str) -> Column:
     out = F.lit(False)
     for branch, pattern in phrase_patterns(needle).items():
         out = out | forms[branch]().rlike(pattern)
+    for x in lemma_lexemes(needle):  # each begins a folded word in every branch: other texts are told without their words
+        out = folded.contains(x) & out
     return F.coalesce(out, F.lit(False))
 
 

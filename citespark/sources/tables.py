@@ -26,17 +26,18 @@ def shared_folder(spark: SparkSession) -> str:
 _WRITTEN: dict = {}
 
 
-def derived(spark: SparkSession, source: DataFrame, name: str, build, write) -> DataFrame:
+def derived(spark: SparkSession, source: DataFrame, name: str | tuple, build, write) -> DataFrame:
     """A table built from `source` once and kept in the shared folder for later queries of the application.
 
     It is built anew when the files of `source` are not those it was built from. `build` gives the table, `write` (table, path) writes it.
+    What a tuple holds after a name tells tables of that name apart.
     """
     files = source.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
     state = files.agg(F.count("*"), F.sum(F.xxhash64("file_path", "file_size", "file_modification_time").cast("decimal(38,0)"))).first()
     key = (spark.sparkContext.applicationId, name, str(state[0]), str(state[1]))
     if key not in _WRITTEN:
         table = build()
-        path = f"{shared_folder(spark)}/citespark/{name}-{uuid.uuid4().hex}"
+        path = f"{shared_folder(spark)}/citespark/{name if isinstance(name, str) else name[0]}-{uuid.uuid4().hex}"
         write(table, path)
         _WRITTEN[key] = (path, table.schema)
     path, schema = _WRITTEN[key]

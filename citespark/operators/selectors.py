@@ -48,28 +48,33 @@ def verify(text: Column, start: Column, end: Column, exact: Column) -> Column:
     )
 
 
+def _one_of(letters: list[str]) -> str:
+    """A pattern for one of `letters`, whatever they mean in a pattern."""
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(letters)) + "]"
+
+
 def locate_quotes(blocks: DataFrame, needles: DataFrame) -> DataFrame:
     """Selectors of each needle (item_id, needle) at its first place in every block that holds it, also inside words.
 
     Needles meet blocks by an equi-join before the exact test. A needle of three words or more is met by its longest inner word, which
-    stands between blanks wherever the needle occurs; a shorter one by its first letters (GRAM at most), at any place of a block. Only keys
-    are shuffled; the text joins the candidates. Empty needles are nowhere.
+    stands between blanks wherever the needle occurs; a shorter one by its first letters (GRAM at most), at any place of a block where each
+    letter is one that some short needle has there. Only keys are shuffled; the text joins the candidates. Empty needles are nowhere.
     """
     words = lambda x: F.split(x, " ")
     needles = needles.where("needle <> ''").select("item_id", "needle")
     long = needles.where(F.size(words(F.col("needle"))) > 2)
     inner = F.slice(words(F.col("needle")), F.lit(2), F.size(words(F.col("needle"))) - 2)
     word = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    by_word = blocks.select("article_id", "block_index", F.explode(F.array_distinct(words(F.col("block_text")))).alias("key"))
-    met = by_word.join(long.select("item_id", "needle", word.alias("key")), "key")
     short = needles.where(F.size(words(F.col("needle"))) <= 2)
-    lengths = [r[0] for r in short.select(F.least(F.length("needle"), F.lit(GRAM))).distinct().collect()]  # GRAM numbers at most
-    if lengths:
-        grams = lambda n: F.regexp_extract_all("block_text", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))  # noqa: E731  one at each place
-        every = F.array_distinct(F.concat(*[grams(n) for n in lengths]))
-        by_gram = blocks.select("article_id", "block_index", F.explode(every).alias("key"))
-        met = met.unionByName(by_gram.join(short.select("item_id", "needle", F.substring("needle", 1, GRAM).alias("key")), "key"))
-    found = met.drop("key").join(blocks.select("article_id", "block_index", "block_text"), ["article_id", "block_index"]).where(F.instr("block_text", F.col("needle")) > 0)
+    letters = [F.collect_set(F.substring("needle", i + 1, 1)).alias(f"at{i}") for i in range(GRAM)]
+    starts = short.groupBy(F.least(F.length("needle"), F.lit(GRAM)).alias("n")).agg(*letters).collect()  # GRAM rows at most, of letters
+    grams = lambda r: F.regexp_extract_all("block_text", F.lit(f"(?=({''.join(_one_of(r[f'at{i}']) for i in range(r.n))}))"), F.lit(1))
+    keys = F.array_distinct(F.concat(words(F.col("block_text")), *[grams(r) for r in starts]))
+    keyed = long.select("item_id", "needle", word.alias("key")).unionByName(short.select("item_id", "needle", F.substring("needle", 1, GRAM).alias("key")))
+    met = blocks.select("article_id", "block_index", F.explode(keys).alias("key")).join(keyed, "key")
+    met = met.select(F.col("article_id").alias("a"), F.col("block_index").alias("i"), "item_id", "needle").distinct()  # ids may repeat or be null
+    same = F.col("article_id").eqNullSafe(F.col("a")) & (F.col("block_index") == F.col("i"))
+    found = blocks.select("article_id", "block_index", "block_text").join(met, same).where(F.instr("block_text", F.col("needle")) > 0)
     s = find_selector(F.col("block_text"), F.col("needle"))
     return found.select("article_id", "block_index", "item_id", s.alias("s"), "block_text").select("article_id", "block_index", "item_id", "s.*", "block_text")
 

@@ -5,14 +5,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from citespark.operators import search as Z
+from citespark.operators import selectors as L
 from citespark.plans import catalog
 from tests.test_engine import TABLES, _plain
 
 ODD_DOCUMENTS = [
     (1, "Für with this und\nwith this from thanedble\nfurs fur für für", "en", "src1"), (1, "with this again running runs\nthanedbles from", "en", "src1"), (2, None, "en", "src1"), (3, "", None, None),
     (None, "with this of nobody unheardofword", "fr", "src2"), (None, "fur another unheardofword", "fr", "src2"), (4, "\n \nStatements statement furry\nthintions thintion the with", "fr", "src2"),
-    (5, "THIS with\x00 this​x\n" + "over " * 50 + "thintion Überfür", "de", "src3"), (6, "aloneword walking alonewords\ntail", "de", "src3"),
+    (5, "THIS with\x00 this​x\n" + "over " * 50 + "thintion Überfür", "de", "src3"), (6, "[a]\U0001f600-\U0001f600 \\Q aloneword walking alonewords\ntail", "de", "src3"),
 ]
+ODD_PAGES = [
+    (7_000_001, "https://h.example/a", "<html><article><p>One word two word</p><p>one <b>more</b></p><h1>--</h1><p>two</p></article>tail</html>"), (7_000_001, "https://h.example/a", "<article><p>other words here</p></article>"),
+    (7_000_002, "https://h.example/b", None), (7_000_003, "https://h.example/c", "<article><p>split<!-- no -->ted wo<br>rd</p><ul>a b c</ul></article>"), (None, "https://h.example/d", "<article><p>nobody's page</p></article>"), (7_000_004, "", ""),
+]
+ODD_NEEDLES = [(9_000_001, "fur"), (9_000_002, "h\nTHIS with"), (9_000_003, "\U0001f600"), (9_000_004, "[a"), (9_000_005, "of nobody"), (9_000_006, "with this again")]
 
 
 @pytest.fixture(scope="session")
@@ -21,6 +27,9 @@ def odd(spark, sf, tmp_path_factory):
     for t in TABLES:
         spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(f"{d}/{t}.parquet")
     rows = spark.createDataFrame(ODD_DOCUMENTS, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text"))
+    pages = spark.createDataFrame(ODD_PAGES, "page_id long, url string, html string")
+    pages.write.mode("append").parquet(f"{d}/pages.parquet")
+    spark.createDataFrame(ODD_NEEDLES, "item_id long, text string").write.mode("append").parquet(f"{d}/benchmark.parquet")
     kind = dict(spark.read.parquet(f"{sf}/documents.parquet").dtypes)
     rows.select(*[F.col(c).cast(t) for c, t in kind.items()]).write.mode("append").parquet(f"{d}/documents.parquet")
     return str(d)
@@ -69,3 +78,20 @@ def test_counts_by_lexeme_shuffle_no_postings(spark, sf):
     for name in ("a11_document_frequency", "m12_prose_only_words"):
         found = exchanged(catalog.QUERIES[name](spark, sf))
         assert "hashpartitioning(lexeme" in found and "article_id" not in found
+
+
+@pytest.mark.parametrize("name", ["l02_find_quotes", "l03_verify", "l04_slices", "l05_passage", "l07_repair", "l09_citation_audit"])
+def test_odd_rows(spark, odd, name):
+    against_sql(spark, odd, name)
+
+
+
+
+
+def test_short_quotes_tell_few_grams(spark):
+    """Only grams of letters that short needles have there become keys."""
+    blocks = spark.createDataFrame([(1, 1, "abcdefghij " * 50 + "x[.z"), (2, 1, None)], "article_id long, block_index int, block_text string")
+    needles = spark.createDataFrame([(1, "[.z"), (2, "zz zz")], "item_id long, needle string")
+    found = L.locate_quotes(blocks, needles)
+    assert [(r.article_id, r.item_id, r.start) for r in found.collect()] == [(1, 1, 551)]
+    assert ".{" not in found._jdf.queryExecution().executedPlan().toString()

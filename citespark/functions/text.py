@@ -78,8 +78,15 @@ REGIONAL = r"(?i)\b(baon|bama|beol|boon|delmagyar|duol|feol|kisalfold|haon|heol|
 
 def is_boilerplate(x: Column | str, phrases: tuple[str, ...] = BOILERPLATE_PHRASES) -> Column:
     """A furniture line: a known phrase, a short line with a regional domain, or one or two words in capitals."""
-    line = collapse(x)
-    folded = fold(line)
+    return _let(collapse(x), lambda line: _let(fold(line), lambda folded: _furniture(line, folded, phrases)))
+
+
+def _let(x: Column, f) -> Column:
+    """f(x) with x evaluated once; a filter else evaluates it at each place it stands."""
+    return F.exists(F.array(x), f)
+
+
+def _furniture(line: Column, folded: Column, phrases: tuple[str, ...]) -> Column:
     phrase = F.lit(False)
     for p in phrases:
         phrase = phrase | folded.contains(p)

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from citespark.functions.text import is_boilerplate
 from citespark.operators import search as Z
 from citespark.operators import selectors as L
 from citespark.plans import catalog
@@ -80,13 +81,17 @@ def test_counts_by_lexeme_shuffle_no_postings(spark, sf):
         assert "hashpartitioning(lexeme" in found and "article_id" not in found
 
 
-@pytest.mark.parametrize("name", ["l02_find_quotes", "l03_verify", "l04_slices", "l05_passage", "l07_repair", "l09_citation_audit"])
+@pytest.mark.parametrize("name", ["e09_boilerplate_lines", "e10_clean_lines", "l02_find_quotes", "l03_verify", "l04_slices", "l05_passage", "l07_repair", "l09_citation_audit"])
 def test_odd_rows(spark, odd, name):
     against_sql(spark, odd, name)
 
 
 
 
+def test_boilerplate_filter_folds_a_line_once(spark):
+    plan = spark.range(1).select(F.col("id").cast("string").alias("x")).where(is_boilerplate("x"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("translate(") == 1
+
 
 def test_short_quotes_tell_few_grams(spark):
     """Only grams of letters that short needles have there become keys."""

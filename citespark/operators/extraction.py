@@ -18,19 +18,29 @@ ARTICLE = (
 )
 
 
-def extract_pages(pages: DataFrame) -> DataFrame:
-    """An article for each (page_id, url, html)."""
+#: Characters of markup whose articles a worker holds at once: an Arrow batch may be 10,000 pages, and articles take many times their text.
+HELD = 1 << 20
+
+
+def extract_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = [c.split()[0] for c in ARTICLE.split(", ")]
+    for frame in frames:
+        rows, held = [], 0
+        for page_id, url, markup in zip(frame.page_id, frame.url, frame.html):
+            x = H.extract(markup, url or "")
+            x["blocks"] = [{"index": b["index"], "type": b["type"], "level": b.get("level"), "text": b["text"], "xpath": b["xpath"]} for b in x["blocks"]]
+            rows.append({"page_id": page_id, **{k: v for k, v in x.items() if k != "warnings"}})
+            held += len(markup or "")
+            if held >= HELD:
+                yield pd.DataFrame(rows, columns=columns)
+                rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for page_id, url, markup in zip(frame.page_id, frame.url, frame.html):
-                x = H.extract(markup, url or "")
-                x["blocks"] = [{"index": b["index"], "type": b["type"], "level": b.get("level"), "text": b["text"], "xpath": b["xpath"]} for b in x["blocks"]]
-                rows.append({"page_id": page_id, **{k: v for k, v in x.items() if k != "warnings"}})
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in ARTICLE.split(", ")])
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, ARTICLE)
+def extract_pages(pages: DataFrame) -> DataFrame:
+    """An article for each (page_id, url, html)."""
+    return pages.select("page_id", "url", "html").mapInPandas(extract_frames, ARTICLE)
 
 
 def blocks_table(articles: DataFrame) -> DataFrame:

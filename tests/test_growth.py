@@ -1,10 +1,12 @@
 """Steps that must grow no faster than their input: what they shuffle, write or hold, and equal results on odd rows."""
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from citespark.functions.text import is_boilerplate
+from citespark.operators import extraction as X
 from citespark.operators import search as Z
 from citespark.operators import selectors as L
 from citespark.plans import catalog
@@ -100,3 +102,11 @@ def test_short_quotes_tell_few_grams(spark):
     found = L.locate_quotes(blocks, needles)
     assert [(r.article_id, r.item_id, r.start) for r in found.collect()] == [(1, 1, 551)]
     assert ".{" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_worker_holds_few_articles(spark):
+    """A batch of many pages comes out in pieces (an Arrow batch may be 10,000 pages)."""
+    page = "<html><article>" + "<p>word</p>" * 1000 + "</article></html>"
+    pieces = X.extract_frames(iter([pd.DataFrame({"page_id": range(300), "url": "https://h.example/", "html": page})]))
+    rows = [len(p) for p in pieces]
+    assert sum(rows) == 300 and max(rows) * len(page) <= X.HELD + len(page)

@@ -57,6 +57,18 @@ def postings_of_rows(texts: DataFrame) -> DataFrame:
     return texts.select(*vec, lexemes.alias("all")).select(*vec, "all", starts.alias("at")).select(*vec, F.explode(F.transform("at", run)).alias("p")).select(*vec, "p.*")
 
 
+def token_frequency(articles: DataFrame, least: int = 1) -> DataFrame:
+    """(token, n, ndoc) of tokens of `least` letters or more: places, and articles that hold one, of `articles` as in document_frequency.
+
+    An article's sorted tokens tell the first of each; only sums by token are shuffled.
+    """
+    every = F.array_sort(F.filter(F.flatten(F.transform("lines", tokens)), lambda t: F.length(t) >= least))
+    first = lambda x, i: F.when(F.col("article_id").isNotNull() & ((i == 0) | (x != F.get("all", i - 1))), 1).otherwise(0)
+    told = F.transform("all", lambda x, i: F.struct(x.alias("token"), first(x, i).alias("first")))
+    rows = articles.select("article_id", every.alias("all")).select(F.explode(told).alias("t")).select("t.*")
+    return rows.groupBy("token").agg(F.count("*").alias("n"), F.sum("first").alias("ndoc"))
+
+
 def document_frequency(texts: DataFrame, articles: DataFrame) -> DataFrame:
     """(lexeme, ndoc, nentry): the articles that hold a lexeme and its places in all `texts` (vectors).
 

@@ -83,12 +83,16 @@ def test_counts_by_lexeme_shuffle_no_postings(spark, sf):
         assert "hashpartitioning(lexeme" in found and "article_id" not in found
 
 
-@pytest.mark.parametrize("name", ["e09_boilerplate_lines", "e10_clean_lines", "l02_find_quotes", "l03_verify", "l04_slices", "l05_passage", "l07_repair", "l09_citation_audit"])
+@pytest.mark.parametrize("name", ["e09_boilerplate_lines", "e10_clean_lines", "l02_find_quotes", "l03_verify", "l04_slices", "l05_passage", "l07_repair", "l09_citation_audit", "m06_probe_words"])
 def test_odd_rows(spark, odd, name):
     against_sql(spark, odd, name)
 
 
 
+def test_probe_words_shuffle_no_articles(spark, sf):
+    found = exchanged(catalog.QUERIES["m06_probe_words"](spark, sf))
+    assert "folded" in found and "article_id" not in found
+
 
 def test_boilerplate_filter_folds_a_line_once(spark):
     plan = spark.range(1).select(F.col("id").cast("string").alias("x")).where(is_boilerplate("x"))._jdf.queryExecution().executedPlan().toString()

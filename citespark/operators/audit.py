@@ -13,8 +13,32 @@ def token_overlap(blocks: DataFrame, captures: DataFrame, key: str, floor: float
     b = blocks.select(key, "block_index", F.explode(F.array_distinct(tokens("block_text"))).alias("word"))
     c = captures.select(key, F.explode(F.array_distinct(tokens("capture_text"))).alias("word")).withColumn("there", F.lit(1))
     out = b.join(c, [key, "word"], "left").groupBy(key, "block_index").agg(F.count("*").alias("n_words"), F.count("there").alias("n_found"))
+    return _suspects(out, floor)
+
+
+def row_overlap(pages: DataFrame, key: str, floor: float = 0.8) -> DataFrame:
+    """`token_overlap` of (key, texts, capture_text) with unique keys, texts being the blocks: words meet in the row, and two sums a block are shuffled.
+
+    A null key has no capture, as in a join. Words of blocks and capture are sorted with their block's index, the capture's as 0; a run of one word that begins with 0 is found.
+    """
+    word = lambda w, i: F.struct(w.alias("word"), i.cast("int").alias("at"))
+    told = lambda i, words, found: F.struct(i.cast("int").alias("block_index"), words.cast("long").alias("n_words"), found.cast("long").alias("n_found"))
+    words = F.transform("texts", lambda t: F.array_distinct(tokens(t)))
+    mine = F.flatten(F.transform("words", lambda ws, i: F.transform(ws, lambda w: word(w, i + 1))))
+    theirs = F.transform(F.array_distinct(tokens(F.when(F.col(key).isNotNull(), F.col("capture_text")).otherwise(""))), lambda w: word(w, F.lit(0)))
+    starts = F.filter(F.transform("all", lambda x, i: F.when((i == 0) | (x["word"] != F.get("all", i - 1)["word"]), i)), lambda i: i.isNotNull())
+    end = lambda k: F.coalesce(F.get("starts", k + 1), F.size("all"))
+    run = lambda at, k: F.slice("all", at + 2, F.when(F.get("all", at)["at"] == 0, end(k) - at - 1).otherwise(0))
+    found = F.transform(F.flatten(F.transform("starts", run)), lambda x: told(x["at"], F.lit(0), F.lit(1)))
+    own = F.filter(F.transform("words", lambda ws, i: told(i + 1, F.size(ws), F.lit(0))), lambda x: x["n_words"] > 0)
+    rows = pages.select(key, words.alias("words"), "capture_text").select(key, "words", F.array_sort(F.concat(mine, theirs)).alias("all"))
+    rows = rows.select(key, "words", "all", starts.alias("starts")).select(key, F.explode(F.concat(own, found)).alias("t")).select(key, "t.*")
+    return _suspects(rows.groupBy(key, "block_index").agg(F.sum("n_words").alias("n_words"), F.sum("n_found").alias("n_found")), floor)
+
+
+def _suspects(counted: DataFrame, floor: float) -> DataFrame:
     ratio = F.round(F.col("n_found") / F.col("n_words"), 6)
-    return out.withColumn("overlap", ratio).withColumn("suspect", (F.col("overlap") < floor) & (F.col("n_words") - F.col("n_found") >= 2))
+    return counted.withColumn("overlap", ratio).withColumn("suspect", (F.col("overlap") < floor) & (F.col("n_words") - F.col("n_found") >= 2))
 
 
 def recurring(blocks: DataFrame, group: str, least: int = 5) -> DataFrame:

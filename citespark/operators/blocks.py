@@ -41,20 +41,24 @@ def page_title(html: Column) -> Column:
     return html_text(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
 
 
+def page_pieces(html: Column) -> Column:
+    """The tag and the text of each block of a page's article, in order, as an array."""
+    body = F.translate(article_body(html), "\x01\x02\x03", "")
+    marked = F.regexp_replace(body, r"(?i)<(p|h[1-6]|blockquote|ul)(?:\s[^>]*)?>", "\x01$1\x03")
+    marked = F.regexp_replace(marked, r"(?i)</(?:p|h[1-6]|blockquote|ul)\s*>", "\x02")
+    pieces = F.slice(F.split(marked, "\x01"), 2, 1 << 30)  # to the end: a size would cut the markup again
+    inside = lambda x: F.split_part(F.split_part(x, F.lit("\x03"), F.lit(2)), F.lit("\x02"), F.lit(1))
+    cut = F.transform(pieces, lambda x: F.struct(F.lower(F.split_part(x, F.lit("\x03"), F.lit(1))).alias("tag"), html_text(inside(x)).alias("text")))
+    return F.filter(cut, lambda x: x["text"] != "")
+
+
 def page_blocks(pages: DataFrame) -> DataFrame:
     """Blocks of each page's article: page_id, block_index, block_type, heading_level, block_text, xpath.
 
     A paragraph or heading runs to the next one's start or its own end (end tags may be missing). A heading's level is 2 at
     least. The XPath numbers a tag only where its parent has several; it is a window over the page's own blocks.
     """
-    body = F.translate(article_body(F.col("html")), "\x01\x02\x03", "")
-    marked = F.regexp_replace(body, r"(?i)<(p|h[1-6]|blockquote|ul)(?:\s[^>]*)?>", "\x01$1\x03")
-    marked = F.regexp_replace(marked, r"(?i)</(?:p|h[1-6]|blockquote|ul)\s*>", "\x02")
-    pieces = F.slice(F.split(marked, "\x01"), F.lit(2), F.greatest(F.size(F.split(marked, "\x01")) - 1, F.lit(0)))
-    inside = lambda x: F.split_part(F.split_part(x, F.lit("\x03"), F.lit(2)), F.lit("\x02"), F.lit(1))
-    cut = F.transform(pieces, lambda x: F.struct(F.lower(F.split_part(x, F.lit("\x03"), F.lit(1))).alias("tag"), html_text(inside(x)).alias("text")))
-    kept = F.filter(cut, lambda x: x["text"] != "")
-    b = pages.select("page_id", F.posexplode(kept).alias("pos", "b")).select("page_id", (F.col("pos") + 1).alias("block_index"), F.col("b.tag").alias("tag"), F.col("b.text").alias("block_text"))
+    b = pages.select("page_id", F.posexplode(page_pieces(F.col("html"))).alias("pos", "b")).select("page_id", (F.col("pos") + 1).alias("block_index"), F.col("b.tag").alias("tag"), F.col("b.text").alias("block_text"))
     level = F.greatest(F.substring("tag", 2, 1).try_cast("int"), F.lit(2))
     heading = F.col("tag").rlike("^h[1-6]$")
     name = F.when(heading, F.concat(F.lit("h"), level.cast("string"))).otherwise(F.col("tag"))

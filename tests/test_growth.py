@@ -83,11 +83,15 @@ def test_counts_by_lexeme_shuffle_no_postings(spark, sf):
         assert "hashpartitioning(lexeme" in found and "article_id" not in found
 
 
-@pytest.mark.parametrize("name", ["e09_boilerplate_lines", "e10_clean_lines", "l02_find_quotes", "l03_verify", "l04_slices", "l05_passage", "l07_repair", "l09_citation_audit", "m06_probe_words"])
+@pytest.mark.parametrize("name", ["e09_boilerplate_lines", "e10_clean_lines", "l02_find_quotes", "l03_verify", "l04_slices", "l05_passage", "l07_repair", "l09_citation_audit", "m01_fidelity", "m06_probe_words"])
 def test_odd_rows(spark, odd, name):
     against_sql(spark, odd, name)
 
 
+def test_fidelity_shuffles_no_words(spark, sf):
+    found = exchanged(catalog.QUERIES["m01_fidelity"](spark, sf))
+    assert "page_id" in found and "word" not in found.replace("n_words", "")
+
 
 def test_probe_words_shuffle_no_articles(spark, sf):
     found = exchanged(catalog.QUERIES["m06_probe_words"](spark, sf))
